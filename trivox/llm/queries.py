@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trivox.llm.langid import op3_langid
+from trivox.llm.linededup import OP6_SQL, op6_linededup
+from trivox.llm.mixing import op10_mixing
 from trivox.llm.simhash import op1_simhash
+from trivox.llm.syncmers import op9_syncmers
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash,)}
+    return {f.__name__: f for f in (op1_simhash, op3_langid, op6_linededup, op9_syncmers, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_linededup": OP6_SQL}
