@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trivox.llm.bpe import op7_bpe
+from trivox.llm.embeddings import op8_embeddings
 from trivox.llm.langid import op3_langid
 from trivox.llm.linededup import OP6_SQL, op6_linededup
 from trivox.llm.mixing import op10_mixing
+from trivox.llm.quality import op5_quality
 from trivox.llm.simhash import op1_simhash
 from trivox.llm.syncmers import op9_syncmers
+from trivox.llm.tokencounts import op2_tokencounts
+from trivox.llm.toxicity import op4_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_langid, op6_linededup, op9_syncmers, op10_mixing)}
+    return {f.__name__: f for f in (op1_simhash, op2_tokencounts, op3_langid, op4_toxicity, op5_quality, op6_linededup, op7_bpe, op8_embeddings, op9_syncmers, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
