@@ -30,8 +30,8 @@ from trivox.llm.common import table
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Characters of the documents in a chunk, unless one document has more.
 CHUNK = 12_000_000
-#: Parts into which a hash deals out words, 256 at most.
-PARTS = 64
+#: Parts into which a hash deals out words: a task holds the distinct words of a part. 65,536 at most.
+PARTS = 256
 _SLICE = 1 << 18
 _LETTER, _NUMBER, _OTHER, _SPACE = range(4)
 
@@ -158,7 +158,7 @@ def _chunk(keys: list, texts: list[str]) -> Iterator[tuple[int, bytes, list | No
     rank[order] = np.arange(len(number), dtype=np.uint32)
     all_words = [w.encode() for w in number]
     words = [all_words[i] for i in order.tolist()]
-    part = np.fromiter((crc32(w) % PARTS for w in words), np.uint8, len(words))
+    part = np.fromiter((crc32(w) % PARTS for w in words), np.uint16, len(words))
     yield -1, _pack(rank[place] if len(place) else place, part), keys, counts
     for p in np.unique(part).tolist():
         own = [words[i] for i in np.flatnonzero(part == p).tolist()]
@@ -173,24 +173,25 @@ def _encoded(docs: DataFrame, key: str, text: str, path: str) -> DataFrame:
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, keys, texts, held = TaskContext.get().partitionId() << 32, [], [], 0
 
-        def rows() -> Iterator[pa.RecordBatch]:
-            for p, data, ks, counts in _chunk(keys, texts):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p if p >= 0 else chunk % PARTS], pa.int32()), pa.array([chunk], pa.int64()), pa.array([p], pa.int32()), pa.array([data], pa.binary()), pa.array([ks], pa.list_(key_type)), pa.array([counts], pa.list_(pa.int32()))],
-                    ["route", "chunk", "part", "data", "keys", "counts"],
-                )
+        def rows() -> pa.RecordBatch:
+            parts, data, of_keys, of_counts = zip(*_chunk(keys, texts), strict=True)
+            routes = [p if p >= 0 else crc32(str(chunk).encode()) % PARTS for p in parts]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(routes, pa.int32()), pa.array([chunk] * len(parts), pa.int64()), pa.array(parts, pa.int32()), pa.array(data, pa.binary()), pa.array(of_keys, pa.list_(key_type)), pa.array(of_counts, pa.list_(pa.int32()))],
+                ["route", "chunk", "part", "data", "keys", "counts"],
+            )
 
         for batch in batches:
             key_type = batch.schema.field(0).type
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if texts and held + len(t or "") > CHUNK:
-                    yield from rows()
+                    yield rows()
                     chunk, keys, texts, held = chunk + 1, [], [], 0
                 keys.append(k)
                 texts.append(t or "")
                 held += len(t or "")
         if texts:
-            yield from rows()
+            yield rows()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, list[int]] = {}
@@ -221,7 +222,7 @@ def _assembled(table: pa.Table) -> Iterator[tuple[object, np.ndarray]]:
     """Each key of a chunk with the ids of its text."""
     rows = {p: i for i, p in enumerate(table.column("part").to_pylist())}
     first = rows.pop(-1)
-    place, part = _unpack(table.column("data")[first].as_py(), np.uint32, np.uint8)
+    place, part = _unpack(table.column("data")[first].as_py(), np.uint32, np.uint16)
     lengths, starts, flat, at = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64), [], 0
     for p, i in rows.items():
         n, ids = _unpack(table.column("data")[i].as_py(), np.uint32, np.uint32)
@@ -277,5 +278,18 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
     return made.withColumnRenamed("k", key)
 
 
+def tokenized(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = RANKS) -> DataFrame:
+    """``(key, n_tokens, ids, decoded_sha256)`` for each row: the ids of its text, and the digest of what they decode to."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def join(table: pa.Table) -> pa.Table:
+        keys, ids = zip(*_assembled(table), strict=True)
+        back = [hashlib.sha256(vocabulary(path).decode(x)).hexdigest() for x in ids]
+        return pa.table({"k": pa.array(keys, table.schema.field("keys").type.value_type), "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "ids": pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), "decoded_sha256": back})
+
+    made = _encoded(docs, key, text, path).groupBy("chunk").applyInArrow(join, f"k {kind}, n_tokens long, ids array<int>, decoded_sha256 string")
+    return made.withColumnRenamed("k", key)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
