@@ -1,0 +1,219 @@
+"""The domain rules on small hand-made tables."""
+
+import json
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from trivox.functions.text import is_generic_path, next_due, noise_rule
+from trivox.operators import admission, consensus, eligibility, registry, reports, retention, workflow
+from trivox.sources import landing, schemas
+from trivox.streaming import accumulate
+
+T0 = datetime(2024, 1, 1)
+
+
+def comment(i, author, video="v", text="希望有个软件能做这件事", platform="douyin", level=1, at=T0, parent=None, likes=0):
+    return (platform, video, str(i), parent, level, author, text, at, at, likes)
+
+
+def video(v="v", author="owner", platform="douyin", title="一个足够清楚的标题说明", rank=1, at=T0):
+    return (platform, v, author, title, None, None, None, at, at, {"likes": 9}, rank)
+
+
+@pytest.fixture
+def frame(spark):
+    return lambda rows, name: spark.createDataFrame(rows, schemas.SCHEMAS[name])
+
+
+def passed(frame, comments, videos=None, stable=True, cluster=None):
+    ready = eligibility.eligible(frame(comments, "comment"), frame(videos or [video()], "video"))
+    ready = eligibility.first_per_key(ready, ["platform", "comment_id"], ["first_ingested_at", "text"])
+    members = frame([(c[0], c[1], cluster or "c", c[2], stable, "p1", "r1") for c in comments], "cluster_member").distinct()
+    return {(r.platform, r.video_id): (r.users, r.passed) for r in consensus.clusters(members, ready).collect()}
+
+
+CASES = {
+    "three_users": ([comment(1, "a"), comment(2, "b"), comment(3, "c")], (3, True)),
+    "two_users": ([comment(1, "a"), comment(2, "b")], (2, False)),
+    "one_user_three_comments": ([comment(i, "a") for i in range(3)], (1, False)),
+    "likes_only": ([comment(1, "a", likes=9999)], (1, False)),
+    "null_author_third": ([comment(1, "a"), comment(2, "b"), comment(3, None)], (2, False)),
+    "video_author_third": ([comment(1, "a"), comment(2, "b"), comment(3, "owner")], (2, False)),
+    "noise_third": ([comment(1, "a"), comment(2, "b"), comment(3, "c", text="😀😀!!")], (2, False)),
+    "reply_counts": ([comment(1, "a"), comment(2, "b"), comment(3, "c", level=2, parent="1")], (3, True)),
+    "duplicate_comment_id": ([comment(1, "a"), comment(2, "b"), comment(2, "b")], (2, False)),
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_gate(frame, name):
+    comments, want = CASES[name]
+    assert passed(frame, comments)["douyin", "v"] == want
+
+
+def test_gate_across_videos_and_platforms(frame):
+    three = [comment(i, f"u{i}", video=f"v{i}") for i in range(3)]
+    assert all(not ok for _, ok in passed(frame, three, [video(f"v{i}") for i in range(3)]).values())
+    two = [comment(1, "a"), comment(2, "b"), comment(3, "c", platform="bilibili")]
+    assert not any(ok for _, ok in passed(frame, two, [video(), video(platform="bilibili")]).values())
+    assert passed(frame, CASES["three_users"][0], stable=False)["douyin", "v"] == (3, False)
+    unknown = [video(author=None)]
+    assert passed(frame, CASES["three_users"][0], unknown)["douyin", "v"] == (3, True)
+
+
+def test_accumulation_and_purge(frame):
+    now = T0 + timedelta(days=9)
+    comments = [comment(1, "a"), comment(2, "b"), comment(3, "c", at=now)]
+    rows = retention.live(frame(comments, "comment"), now)
+    assert rows.count() == 3
+    assert retention.live(frame(comments, "comment"), T0 + timedelta(days=11)).count() == 1
+    raw = frame([comment(1, "a", at=T0 + timedelta(days=2)), comment(2, "b", at=T0), comment(3, "c", at=T0)], "comment")
+    cited = frame([("o", "douyin", "v", "3", "x", "t", True)], "opportunity_evidence")
+    kept, gone = retention.purge(raw, cited, ["platform", "comment_id"], T0 + timedelta(days=11))
+    assert {r.comment_id for r in kept.collect()} == {"1", "3"} and {r.comment_id for r in gone.collect()} == {"2"}
+    marks = retention.fingerprints(raw, "salt")
+    assert marks.count() == 3 and "text" not in marks.columns
+    again = retention.merged(marks, retention.fingerprints(frame([comment(1, "a", at=now)], "comment"), "salt"))
+    row = again.where("id = '1'").first()
+    assert again.count() == 3 and (row.first_seen, row.last_seen) == (T0 + timedelta(days=2), now)
+    assert eligibility.unprocessed(raw, marks.where("id <> '2'"), "comment", "comment_id").count() == 1
+
+
+def test_budget(frame):
+    videos = frame([video(f"v{i:02}", rank=i) for i in range(60)], "video")
+    comments = frame([comment(f"{i:02}-{j:03}", f"u{j}", video=f"v{i:02}") for i in range(60) for j in range(100)], "comment")
+    v, c, flag = eligibility.within_budget(videos, comments, 50, 4950, 99)
+    assert (v.count(), c.count(), flag.first()[0]) == (50, 4950, True)
+    v, c, flag = eligibility.within_budget(videos, comments, 60, 250, 100)
+    assert (v.count(), c.count(), flag.first()[0]) == (3, 250, True)
+    assert eligibility.within_budget(videos, comments, 100, 10_000, 200)[2].first()[0] is False
+    assert eligibility.within_budget(videos.limit(0), comments.limit(0), 1, 1, 1)[2].first()[0] is False
+
+
+def test_noise_and_phrases(spark):
+    rows = [("😀👍", "symbols_only"), ("", "symbols_only"), (None, "symbols_only"), ("哈哈哈", "empty_agreement"), ("转发抽三位", "lottery"), ("加微信拿优惠券", "advert"), ("私信领取资料", "diversion"), ("买它买它买它买它买它买它", "bot"), ("我也想要", None), ("求一个能记账的App", None)]
+    got = spark.createDataFrame(rows, "t string, want string").select("want", noise_rule(F.col("t")).alias("r")).collect()
+    assert all(r.want == r.r for r in got)
+    paths = spark.createDataFrame([("投广告。", True), ("", True), (None, True), ("在宝妈记账视频下演示自动分类", False)], "p string, want boolean")
+    assert all(r.want == r.g for r in paths.select("want", is_generic_path(F.col("p")).alias("g")).collect())
+
+
+def test_context(frame):
+    comments = [comment(i, f"u{i}", text="我也想要") for i in range(3)]
+    members = frame([("douyin", "v", "c", str(i), True, "p", "r") for i in range(3)], "cluster_member")
+    ready = eligibility.eligible(frame(comments, "comment"), frame([video(title="好")], "video"))
+    clusters = consensus.clusters(members, ready)
+    with_text = members.join(ready.select("platform", "comment_id", "text"), ["platform", "comment_id"])
+    needed = admission.needs_context(clusters, with_text, frame([video(title="好")], "video"))
+    assert needed.first().needs_context
+    assert not admission.needs_context(clusters, with_text, frame([video()], "video")).first().needs_context
+    context = lambda ok: members.sparkSession.createDataFrame([("douyin", "v", "c", ok)], "platform string, video_id string, cluster_id string, resolved boolean")
+    for ok, image, want in ((True, True, "ready"), (False, True, "context_insufficient"), (True, False, "context_insufficient"), (None, True, "context_insufficient")):
+        assert admission.with_outcome(needed, context(ok), image).first().status == want
+
+
+def candidate(**change):
+    chain = [{"seq": i, "title": "t", "kind": "fact" if i % 2 else "inference", "body": "b", "basis": "x", "evidence_refs": ["1"]} for i in range(6)]
+    return json.dumps({n: "文字" for n in admission.REQUIRED} | {"acquisition_path": "在原视频评论区回复", "is_software": True, "passes_ops": True, "passes_acq": True, "chain": chain} | change)
+
+
+def test_admission(spark):
+    rows = [("ok", candidate()), ("ops", candidate(passes_ops=False)), ("why", candidate(ops_rationale=" ")), ("acq", candidate(acquisition_path="投广告")), ("chain", candidate(chain=[])), ("soft", candidate(is_software=None)), ("bad", "{"), ("none", None)]
+    made = admission.parsed(spark.createDataFrame(rows, "id string, output string"))
+    assert {r.id for r in made.where("valid").collect()} == {"ok", "ops", "acq", "chain", "soft"}
+    got = {r.id: r.rejected_by for r in admission.admitted(made).collect()}
+    assert got["ok"] is None and (got["ops"], got["why"], got["acq"], got["chain"], got["soft"]) == ("needs_operations", "no_operations_rationale", "generic_acquisition", "incomplete_chain", "not_software")
+    assert admission.to_ask(made.select("id"), made.where("valid").select("id"), ["id"]).count() == 3
+
+
+def test_registry(spark, frame):
+    verdicts = spark.createDataFrame([("n1", "o1", True, True), ("n2", "o1", True, False), ("n1", "o2", True, True)], "opportunity_id string, known_id string, same_problem boolean, same_solution boolean")
+    routes = registry.routed(spark.createDataFrame([("n1",), ("n2",)], "opportunity_id string"), verdicts)
+    assert {tuple(r) for r in routes.collect()} == {("n1", "o1"), ("n2", "n2")}
+    old = frame([("o1", "douyin", "v", "1", "a", "t", True)], "opportunity_evidence")
+    new = frame([("n1", "bilibili", "w", "9", "b", "t", True), ("n1", "douyin", "v", "1", "a", "other", False), ("n2", "douyin", "v", "2", "c", "t", True)], "opportunity_evidence")
+    both = registry.merged_evidence(old, new, routes)
+    assert {(r.opportunity_id, r.comment_id, r.text) for r in both.collect()} == {("o1", "1", "t"), ("o1", "9", "t"), ("n2", "2", "t")}
+    chain = spark.createDataFrame([("a", "b", "duplicate", T0), ("b", "c", "duplicate", T0), ("c", "d", "duplicate", T0)], schemas.SCHEMAS["opportunity_relation"])
+    assert {tuple(r) for r in registry.primaries(chain).collect()} == {("a", "d"), ("b", "d"), ("c", "d")}
+
+
+def test_workflow(spark, frame):
+    move = lambda o, s, a, b, who="user": (o, s, a, b, "r", who, T0 + timedelta(hours=s))
+    moves = frame([move("n", 1, None, "new", "system"), move("f", 1, None, "new", "system"), move("f", 2, "new", "feasibility"), move("d", 1, "requirements", "deferred"), move("x", 1, "new", "abandoned"), move("g", 1, "acquisition", "decision_ready")], "lifecycle_transition")
+    stages = workflow.current_stage(moves)
+    defs = workflow.definitions(spark)
+    assert defs.count() == 30
+    ticks = frame([("f", "feasibility", i, True) for i in range(1, 8)] + [("g", "decision_ready", 1, True)], "stage_checklist")
+    said = frame([("f", "feasibility", "可行")], "stage_conclusion")
+    state = workflow.checklist(stages, ticks, said, defs)
+    got = {r.opportunity_id: (r.done, r.total, r.complete, r.next_action) for r in state.collect()}
+    assert got["f"] == (7, 7, True, "进入下一阶段") and got["g"][:3] == (1, 3, False) and got["g"][3] == workflow.CHECKLIST["decision_ready"][1]
+    nothing = workflow.checklist(stages, ticks, said.limit(0), defs).where("opportunity_id = 'f'").first()
+    assert (nothing.complete, nothing.next_action) == (False, "填写阶段结论")
+    asks = [("f", "competition", None, "user", None), ("f", "competition", None, "system", "not_a_person"), ("f", "requirements", None, "user", "not_next"), ("n", "feasibility", None, "user", None), ("f", "deferred", " ", "user", "no_reason"), ("f", "abandoned", "x", "user", None), ("d", "requirements", None, "user", None), ("d", "feasibility", None, "user", "restore_elsewhere"), ("x", "new", "r", "user", "ended"), ("f", "develop", "r", "user", "not_ready"), ("g", "develop", "r", "user", None), ("new1", "new", None, "system", None), ("new2", "new", None, "user", "not_created"), ("f", "new", None, "user", "not_created"), ("f", "odd", None, "user", "unknown_stage")]
+    out = workflow.checked(spark.createDataFrame([a[:4] for a in asks], "opportunity_id string, to_stage string, reason string, actor string"), moves, state).collect()
+    said = {(r.opportunity_id, r.to_stage, r.actor): r.refused_by for r in out}
+    assert len(out) == len(asks) and all(said[a[0], a[1], a[3]] == a[4] for a in asks)
+    assert [r.opportunity_id for r in reports.inbox(frame([("n",) + (None,) * 11 + (T0, T0) + (None,) * 3], "opportunity"), stages).collect()] == ["n"]
+
+
+def test_notes(frame):
+    note = lambda i, v, text, gone=False, links=None: (i, v, "o", "s", text, links, None, 1, gone, T0, T0)
+    notes = frame([note("a", 1, "x"), note("a", 2, "y"), note("b", 1, "z"), note("b", 2, "z", True), note("c", 1, " "), note("d", 1, "t", links=["1", "2"])], "stage_note")
+    assert [(r.note_id, r.text) for r in workflow.note_versions(notes.where(workflow.valid_note())).collect()] == [("a", "y")]
+
+
+def test_runs(spark, frame):
+    results = frame([("1", "douyin", "ok", None), ("1", "bilibili", "ok", None), ("2", "douyin", "ok", None), ("2", "bilibili", "captcha", "captcha"), ("3", "douyin", "login_expired", None), ("4", "douyin", "failed", None)], "crawl_result")
+    status = {r.run_id: r.status for r in reports.run_status(results, spark.createDataFrame([("9", 1)], "run_id string, opportunities long")).collect()}
+    assert status == {"1": "success_empty", "2": "partial_failure", "3": "login_expired", "4": "failed"}
+    assert [r.platform for r in reports.to_retry(results, "2").collect()] == ["bilibili"]
+    run = ("1", None, datetime(2024, 1, 1, 23, 0), None, "success_empty", 0, 0, 0, 0, False, None)
+    runs = frame([run], "exploration_run")
+    # 23:00 UTC is the next day in Shanghai
+    assert not reports.missed_today(runs, F.lit(datetime(2024, 1, 2, 3, 0)), "Asia/Shanghai").first().missed
+    assert reports.missed_today(runs, F.lit(datetime(2024, 1, 2, 3, 0)), "UTC").first().missed
+    assert next_due(datetime(2024, 1, 1, 9, 0, tzinfo=timezone.utc)).day == 2
+    schemas.assert_no_scores(reports.tokens(frame([], "model_invocation"), "model"))
+    with pytest.raises(ValueError):
+        schemas.assert_no_scores(spark.createDataFrame([(1,)], "need_strength int"))
+
+
+def test_landing_and_versions(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    good = {"platform": "douyin", "video_id": "v", "comment_id": "1", "level": 1, "text": "t", "extra": 1}
+    (tmp_path / "in/a.json").write_text("\n".join([json.dumps(good), json.dumps({"platform": "douyin"}), "{broken"]))
+    rows, bad = landing.read_contract(spark, str(tmp_path / "in"), "comment")
+    assert (rows.count(), bad.count()) == (1, 2) and rows.columns == schemas.empty(spark, "comment").columns
+    base = str(tmp_path / "store")
+    assert [landing.commit_version(rows, base), landing.commit_version(rows.unionByName(rows), base)] == [1, 2]
+    assert landing.current_version(spark, base) == 2 and landing.read_version(spark, base).count() == 2
+    frames = {"douyin": rows, "bilibili": rows}
+    assert landing.platform_union(frames, landing.Settings(platforms=("douyin",))).count() == 1
+    assert landing.redacted(spark.createDataFrame([(1, "x")], "a int, api_key string")).columns == ["a"]
+
+
+def test_stream(spark, tmp_path):
+    rows = [(1, "a", T0), (1, "a", T0), (1, "b", T0), (1, "c", T0), (2, "a", T0), (2, "b", T0), (1, None, T0)]
+    spark.createDataFrame(rows, "item int, person string, at timestamp").write.parquet(str(tmp_path / "s"))
+    stream = spark.readStream.schema("item int, person string, at timestamp").parquet(str(tmp_path / "s"))
+    made = accumulate.gate_stream(stream, ["item"], "person", "at")
+    q = made.writeStream.outputMode("complete").format("memory").queryName("gate_stream").option("checkpointLocation", str(tmp_path / "c")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert [tuple(r) for r in spark.table("gate_stream").collect()] == [(1, 3)]
+    seen = []
+    once = accumulate.once_per_batch(lambda df, i: seen.append(i), lambda i: i in seen)
+    once(None, 1), once(None, 1)
+    assert seen == [1]
+
+
+def test_evidence_is_one_row_per_person(spark):
+    rows = [(1, "a", 1), (1, "a", 2), (1, "b", 3), (1, "c", 4), (1, "d", 5), (1, None, 0)]
+    df = spark.createDataFrame(rows, "item int, person string, id int")
+    assert [(r.person, r.id, r.place) for r in consensus.evidence(df, ["item"], "person", ["id"]).orderBy("place").collect()] == [("a", 1, 1), ("b", 3, 2), ("c", 4, 3)]
+    shuffled = spark.createDataFrame(rows[::-1] * 2, "item int, person string, id int")
+    assert consensus.gate(df, ["item"], "person").first().users == consensus.gate(shuffled, ["item"], "person").first().users == 4
