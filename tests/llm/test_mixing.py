@@ -48,6 +48,13 @@ def test_mix(spark):
     assert sum(a > b for a, b in zip(got, got[1:], strict=False)) <= 2  # rows with equal keys may change places
 
 
+def test_ranges_do_not_change_the_mix(spark):
+    rows = [(i, "hot" if i % 3 else f"s{i % 7}") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    places = lambda n: {(r.doc_id, r.slot, r.place) for r in mix(df, block=4, resolution=100, range_rows=n).collect()}
+    assert places(1) == places(10) == places(1 << 16) and len(places(10)) == 900
+
+
 def test_edges(spark):
     df = spark.createDataFrame([], "doc_id long, source string")
     assert mix(df).collect() == []

@@ -13,14 +13,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trivox.llm.common import cut, table
+from trivox.llm.common import table
 
 #: Slots of a period; weights are rounded to so many parts. There can be as many sources at most.
 RESOLUTION = 10_000
 #: Documents in a block.
 BLOCK = 32
-#: Ranges of the order hash that are counted and numbered apart from each other.
-RANGES = 1024
+#: Rows in a range of the order hash, about and at most twice as many: ranges are counted and numbered apart.
+RANGE_ROWS = 65_536
 
 
 def whole_weights(weights: Mapping[str, float], resolution: int = RESOLUTION) -> dict[str, int]:
@@ -66,7 +66,7 @@ def _name(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
 
-def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key: str = "doc_id", source: str = "source", block: int = BLOCK, resolution: int = RESOLUTION) -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key: str = "doc_id", source: str = "source", block: int = BLOCK, resolution: int = RESOLUTION, range_rows: int = RANGE_ROWS) -> DataFrame:
     """All rows and columns of ``docs``, with their place in the mix.
 
     Columns that follow: ``block`` (number of the block in its source, from 0), ``release``, ``deadline`` and ``slot``
@@ -75,15 +75,13 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key:
     slots to less than one block. No row is dropped: when a source ends its slots stay empty and the others go on in
     their order. ``weights`` gives each source's target (the null source by the key None); the sources in the table
     must all have one. Without it a source weighs the square root of its rows, which raises small sources without
-    repeating them. Inside a source, documents come in the order of a hash of their key; rows with equal keys come
-    together, in any order. An empty table gives no rows.
+    repeating them. Inside a source, documents come in the order of a hash of their key, however many ranges count them;
+    rows with equal keys come together, in any order. An empty table gives no rows.
     """
     names = docs.columns
     named = docs.select(*names, _name(F.col(source)).alias("__s"), F.xxhash64(F.col(key), F.lit("order")).alias("__h"))
-    ranged = named.withColumn("__r", F.shiftrightunsigned("__h", 64 - RANGES.bit_length() + 1))
-    sizes = cut(ranged.groupBy("__s", "__r").agg(F.count("*").alias("n")))
     # as many rows as there are sources, which the resolution bounds
-    totals = {r["__s"]: r["n"] for r in sizes.groupBy("__s").agg(F.sum("n").alias("n")).limit(resolution + 1).collect()}
+    totals = {r["__s"]: r["n"] for r in named.groupBy("__s").agg(F.count("*").alias("n")).limit(resolution + 1).collect()}
     if weights is None:
         chosen = {s: n**0.5 for s, n in totals.items()}
     else:
@@ -93,17 +91,25 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key:
         chosen = {s: w for s, w in given.items() if s in totals}
     parts = whole_weights(chosen, resolution)
     spark = docs.sparkSession
-    slots = spark.createDataFrame(period(parts), "__s string, __j long, r0 long, d0 long, s0 long")
-    share = spark.createDataFrame([(s, w, -(-totals[s] // block)) for s, w in parts.items()], "__s string, __w long, __n long")
-    ends = [(n // parts[s]) * resolution + next((t for q, j, _, _, t in period(parts) if q == s and j == n % parts[s]), 0) for s in parts for n in [-(-totals[s] // block)]]
+    turns = period(parts)
+    slot_of = {(s, j): slot for s, j, _, _, slot in turns}
+    n_blocks = {s: -(-totals[s] // block) for s in parts}
+    ends = [n // parts[s] * resolution + slot_of[s, n % parts[s]] for s, n in n_blocks.items()]
+    # both tables have as many rows as the resolution at most
+    slots = spark.createDataFrame(turns, "__s string, __j long, r0 long, d0 long, s0 long")
+    share = spark.createDataFrame([(s, w, ((totals[s] - 1) // range_rows).bit_length()) for s, w in parts.items()], "__s string, __w long, __bits int")
+    # a source is cut by the first bits of the hash into ranges in the hash's order, so a hot one is many tasks
+    shared = named.join(F.broadcast(share), "__s")
+    ranged = shared.withColumn("__r", F.when(F.col("__bits") == 0, F.lit(0).cast("long")).otherwise(F.expr("shiftright(__h, 64 - __bits)")))
     before = Window.partitionBy("__s").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("__s", "__r").agg(F.count("*").alias("n"))
     offsets = sizes.select("__s", "__r", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
     within = Window.partitionBy("__s", "__r").orderBy("__h", key)
-    numbered = ranged.withColumn("__i", F.row_number().over(within) - 1).join(F.broadcast(offsets), ["__s", "__r"])
+    # both sides are partitioned by (source, range); there is an offset for each RANGE_ROWS rows
+    numbered = ranged.withColumn("__i", F.row_number().over(within) - 1).join(offsets, ["__s", "__r"])
     number = F.col("__offset") + F.col("__i")
-    blocks = numbered.select(*names, "__s", F.floor(number / block).alias("__b"), (number % block).cast("int").alias("__p"))
-    timed = blocks.join(F.broadcast(share), "__s").withColumn("__j", F.col("__b") % F.col("__w"))
-    placed = timed.join(F.broadcast(slots), ["__s", "__j"])
+    timed = numbered.select(*names, "__s", "__w", F.floor(number / block).alias("__b"), (number % block).cast("int").alias("__p"))
+    placed = timed.withColumn("__j", F.col("__b") % F.col("__w")).join(F.broadcast(slots), ["__s", "__j"])
     turn = F.floor(F.col("__b") / F.col("__w")) * resolution
     return placed.select(
         *names, F.col("__b").alias("block"), (turn + F.col("r0")).alias("release"), (turn + F.col("d0")).alias("deadline"),
