@@ -20,7 +20,7 @@ RESOLUTION = 10_000
 #: Documents in a block.
 BLOCK = 32
 #: Rows in a range of the order hash, about and at most twice as many: ranges are counted and numbered apart.
-RANGE_ROWS = 65_536
+RANGE_ROWS = 1024
 
 
 def whole_weights(weights: Mapping[str, float], resolution: int = RESOLUTION) -> dict[str, int]:
