@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trivox.functions.lineage import cut
+
 
 def exact_groups(df: DataFrame, digest: str, key: str, source: str) -> DataFrame:
     """Digests that occur in two sources or more, with the smallest key."""
@@ -32,13 +34,21 @@ def merged_evidence(known: DataFrame, new: DataFrame, routes: DataFrame) -> Data
     return both.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_new")
 
 
-def primaries(relations: DataFrame, rounds: int = 8) -> DataFrame:
-    """``(from_id, primary_id)``: where each duplicate leads, chains followed by doubling (2 ** rounds links at most)."""
-    at = relations.where("type = 'duplicate'").groupBy("from_id").agg(F.min("to_id").alias("primary_id"))
+def primaries(relations: DataFrame, rounds: int = 32) -> DataFrame:
+    """``(from_id, primary_id)``: where each duplicate leads in the end.
+
+    Chains are followed by doubling until nothing moves, so a round halves what is left of the longest one; each ends in
+    a checkpoint. Of several relations of one duplicate the smallest target counts. A chain that still moves after
+    ``rounds`` leads round in a circle and is refused.
+    """
+    at = cut(relations.where("type = 'duplicate'").groupBy("from_id").agg(F.min("to_id").alias("primary_id")))
     for _ in range(rounds):
         on = at.select(F.col("from_id").alias("primary_id"), F.col("primary_id").alias("_p"))
-        at = at.join(on, "primary_id", "left").select("from_id", F.coalesce("_p", "primary_id").alias("primary_id"))
-    return at
+        moved = cut(at.join(on, "primary_id", "left").select("from_id", F.coalesce("_p", "primary_id").alias("primary_id"), F.col("_p").isNotNull().alias("_moved")))
+        at = moved.drop("_moved")
+        if moved.where("_moved").isEmpty():
+            return at
+    raise ValueError("duplicates lead round in a circle")
 
 
 def with_evidence(opportunities: DataFrame, evidence: DataFrame, videos: DataFrame) -> DataFrame:
