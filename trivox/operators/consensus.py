@@ -37,10 +37,15 @@ def clusters(members: DataFrame, comments: DataFrame) -> DataFrame:
     return made.select(*group, "users", ((F.col("users") >= PEOPLE) & F.col("_stable")).alias("passed"))
 
 
+def first_of_each(rows: DataFrame, group: list[str], person: str, order: list[str]) -> DataFrame:
+    """Each known person's first row in each group: all rows that may be evidence, dealt out by group and person."""
+    own = Window.partitionBy(*group, person).orderBy(*order)
+    return rows.where(F.col(person).isNotNull()).withColumn("_n", F.row_number().over(own)).where("_n = 1").drop("_n")
+
+
 def evidence(rows: DataFrame, group: list[str], person: str, order: list[str], k: int = PEOPLE) -> DataFrame:
     """The first ``k`` rows of each group by different people: each person's first row, then the first of those."""
-    own = Window.partitionBy(*group, person).orderBy(*order)
-    first = rows.where(F.col(person).isNotNull()).withColumn("_n", F.row_number().over(own)).where("_n = 1").drop("_n")
+    first = first_of_each(rows, group, person, order)
     return first.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("place") <= k)
 
 
