@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trivox.functions.text import is_generic_path, next_due, noise_rule
-from trivox.operators import admission, consensus, eligibility, registry, reports, retention, workflow
+from trivox.operators import admission, consensus, eligibility, registry, reports, retention, runs, semantics, workflow
 from trivox.sources import landing, schemas
 from trivox.streaming import accumulate
 
@@ -138,6 +138,11 @@ def test_registry(spark, frame):
     assert {(r.opportunity_id, r.comment_id, r.text) for r in both.collect()} == {("o1", "1", "t"), ("o1", "9", "t"), ("n2", "2", "t")}
     chain = spark.createDataFrame([("a", "b", "duplicate", T0), ("b", "c", "duplicate", T0), ("c", "d", "duplicate", T0)], schemas.SCHEMAS["opportunity_relation"])
     assert {tuple(r) for r in registry.primaries(chain).collect()} == {("a", "d"), ("b", "d"), ("c", "d")}
+    long = [(f"{i:03}", f"{i + 1:03}", "duplicate", T0) for i in range(300)]
+    assert {r.primary_id for r in registry.primaries(spark.createDataFrame(long, schemas.SCHEMAS["opportunity_relation"])).collect()} == {"300"}
+    circle = spark.createDataFrame([("a", "b", "duplicate", T0), ("b", "c", "duplicate", T0), ("c", "a", "duplicate", T0)], schemas.SCHEMAS["opportunity_relation"])
+    with pytest.raises(ValueError):
+        registry.primaries(circle, 6)
 
 
 def test_workflow(spark, frame):
@@ -197,14 +202,23 @@ def test_landing_and_versions(spark, tmp_path):
 
 
 def test_stream(spark, tmp_path):
-    rows = [(1, "a", T0), (1, "a", T0), (1, "b", T0), (1, "c", T0), (2, "a", T0), (2, "b", T0), (1, None, T0)]
-    spark.createDataFrame(rows, "item int, person string, at timestamp").write.parquet(str(tmp_path / "s"))
-    stream = spark.readStream.schema("item int, person string, at timestamp").parquet(str(tmp_path / "s"))
+    day = lambda n: T0 + timedelta(days=n)
+    batches = [
+        [(1, "a", T0), (1, "a", T0), (1, "b", T0), (1, "c", T0), (2, "a", T0), (2, "b", T0), (1, None, T0), (3, "a", T0), (4, "a", T0)],
+        # one person three times over a month is one person; a third within ten days passes, one after ten does not
+        [(3, "a", day(5)), (4, "b", day(5)), (2, "c", day(9))],
+        [(3, "a", day(16)), (3, "b", day(16)), (4, "c", day(12)), (5, "x", None), (2, "d", day(9))],
+    ]
+    schema = "item int, person string, at timestamp"
+    (tmp_path / "s").mkdir()
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "s"))
     made = accumulate.gate_stream(stream, ["item"], "person", "at")
-    q = made.writeStream.outputMode("complete").format("memory").queryName("gate_stream").option("checkpointLocation", str(tmp_path / "c")).start()
-    q.processAllAvailable()
+    q = made.writeStream.outputMode("append").format("memory").queryName("gate_stream").option("checkpointLocation", str(tmp_path / "c")).start()
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "s"))
+        q.processAllAvailable()
     q.stop()
-    assert [tuple(r) for r in spark.table("gate_stream").collect()] == [(1, 3)]
+    assert {tuple(r) for r in spark.table("gate_stream").collect()} == {(1, 3, T0), (2, 3, day(9))}
     seen = []
     once = accumulate.once_per_batch(lambda df, i: seen.append(i), lambda i: i in seen)
     once(None, 1), once(None, 1)
@@ -217,3 +231,43 @@ def test_evidence_is_one_row_per_person(spark):
     assert [(r.person, r.id, r.place) for r in consensus.evidence(df, ["item"], "person", ["id"]).orderBy("place").collect()] == [("a", 1, 1), ("b", 3, 2), ("c", 4, 3)]
     shuffled = spark.createDataFrame(rows[::-1] * 2, "item int, person string, id int")
     assert consensus.gate(df, ["item"], "person").first().users == consensus.gate(shuffled, ["item"], "person").first().users == 4
+
+
+def test_model_is_asked_once(spark, tmp_path):
+    inputs = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), (None, "z")], "id string, text string")
+    none = spark.createDataFrame([], "id string, model string, prompt_version string, output string")
+    model = lambda texts: [f"<{t}>" for t in texts]
+    made = semantics.ask(inputs, none, ["id"], "text", model, "m", "p1")
+    made.write.parquet(str(tmp_path / "answers"))
+    stored = spark.read.parquet(str(tmp_path / "answers"))
+    assert {tuple(r) for r in stored.collect()} == {("a", "m", "p1", "<x>"), ("b", "m", "p1", "<y>")}
+    assert semantics.ask(inputs, stored, ["id"], "text", model, "m", "p1").isEmpty()
+    assert semantics.ask(inputs, stored, ["id"], "text", model, "m", "p2").count() == 2
+
+
+def test_clusters_stay_inside_an_item(spark):
+    rows = [(v, i, "ab"[i % 2]) for v in ("v", "w") for i in range(6)] + [("w", 9, None)]
+    made = semantics.clusters_by_item(spark.createDataFrame(rows, "video string, id int, text string"), ["video"], "id", "text", semantics.same_text, ["id"], 5)
+    assert {tuple(r) for r in made.collect()} == {(v, i, 1 + i % 2) for v in ("v", "w") for i in range(5)}
+
+
+def test_running(spark, frame):
+    run = lambda i, status: (i, None, T0, None, status, 0, 0, 0, 0, False, None)
+    assert [r.run_id for r in runs.current_run(frame([run("1", "failed"), run("2", "running"), run("3", "waiting")], "exploration_run")).collect()] == ["2"]
+    assert runs.current_run(frame([run("1", "failed")], "exploration_run")).isEmpty()
+    ran = []
+    steps = [(n, lambda n=n: ran.append(n)) for n in "abc"]
+    assert runs.run_steps(steps, lambda: len(ran) == 2) == (["a", "b"], "c") and ran == ["a", "b"]
+    assert runs.run_steps(steps[:1], lambda: False) == (["a"], None)
+    waits, left = [], [1, 1]
+
+    def shaky():
+        if left:
+            raise OSError(f"busy {left.pop()}")
+
+    assert runs.attempts(shaky, 3, 1.0, waits.append) is None and waits == [1.0, 2.0]
+    left.extend([1] * 5)
+    assert runs.attempts(shaky, 2, 1.0, waits.append) == "OSError: busy 1"
+    event = lambda i, actor, action, what="o": (i, T0, actor, action, what, None, None)
+    audit = frame([event("1", "user", "stage.advance"), event("2", None, "purge"), event("3", "user", "dance"), event("4", "user", None), event("5", "system", "gate", None)], "audit_event")
+    assert {r.event_id for r in runs.audit_faults(audit).collect()} == {"2", "3", "4", "5"}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trivox.functions.text import author_hash, content_hash, is_deictic, noise_rule
-from trivox.operators import consensus, eligibility, registry, reports, workflow
+from trivox.operators import consensus, eligibility, registry, reports, runs, semantics, workflow
 
 ITEM = ["k", "week"]
 GROUP = [*ITEM, "event_type"]
@@ -129,7 +129,7 @@ AND NOT EXISTS (SELECT 1 FROM e JOIN g USING (k, week, event_type) WHERE g.users
 def purge_unreferenced(t):
     ev = _events(t)
     gone = ev.join(F.broadcast(_cutoff(t)), F.col("ts") < F.col("cutoff"))
-    cited = consensus.evidence(ev, GROUP, "user_id", ["ts", "event_id"], 1 << 30).join(consensus.gate(ev, GROUP, "user_id").select(*GROUP), GROUP, "left_semi")
+    cited = consensus.first_of_each(ev, GROUP, "user_id", ["ts", "event_id"]).join(consensus.gate(ev, GROUP, "user_id").select(*GROUP), GROUP, "left_semi")
     return gone.join(cited.select("event_id"), "event_id", "left_anti").select("event_id", "user_id")
 
 
@@ -308,3 +308,46 @@ def duplicate_primary(t):
     w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
     chain = t("orders").select(F.col("o_orderkey").alias("from_id"), F.lag("o_orderkey").over(w).alias("to_id"), F.lit("duplicate").alias("type"))
     return registry.primaries(chain.where("to_id is not null"))
+
+
+@query(f"""WITH {_GATE}, {_FIRST}, c AS (SELECT e.event_id FROM e JOIN g USING (k, week, event_type) WHERE g.users >= 3),
+m AS (SELECT max(ts) - INTERVAL 10 DAY AS cutoff FROM events)
+SELECT count(*) FILTER (WHERE ts >= cutoff) AS live, count(*) FILTER (WHERE ts < cutoff) AS expired,
+count(*) FILTER (WHERE ts < cutoff AND event_id NOT IN (SELECT event_id FROM c)) AS to_purge FROM ev, m""")
+def purge_preview(t):
+    ev = _events(t)
+    cited = consensus.first_of_each(ev, GROUP, "user_id", ["ts", "event_id"]).join(consensus.gate(ev, GROUP, "user_id").select(*GROUP), GROUP, "left_semi")
+    return runs.purge_sizes(ev, cited, ["event_id"], "ts", _cutoff(t))
+
+
+@query("SELECT o_orderkey AS run_id, o_custkey AS started_by FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderdate DESC, o_orderkey LIMIT 1")
+def latest_success(t):
+    done = F.when(F.col("o_orderstatus") == "F", "success_found").otherwise("failed")
+    made = t("orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_custkey").alias("started_by"), F.col("o_orderdate").alias("started_at"), done.alias("status"))
+    return reports.last_success(made).select("run_id", "started_by")
+
+
+@query("""SELECT o_orderkey AS run_id, o_orderstatus AS status, lag(o_orderkey) OVER w AS retry_of, lag(o_orderstatus) OVER w AS original_status
+FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)""")
+def retry_status(t):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    made = t("orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_orderstatus").alias("status"), F.lag("o_orderkey").over(w).alias("retry_of"))
+    return reports.with_retries(made).select("run_id", "status", "retry_of", "original_status")
+
+
+@query("""SELECT note_id, l_orderkey, l_linenumber FROM (SELECT l_partkey AS note_id, l_orderkey, l_linenumber, l_returnflag,
+row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS n FROM lineitem) WHERE n = 1 AND l_returnflag <> 'R'""")
+def note_latest(t):
+    made = t("lineitem").select(
+        F.col("l_partkey").alias("note_id"), F.struct("l_shipdate", "l_orderkey", "l_linenumber").alias("version"), (F.col("l_returnflag") == "R").alias("deleted"),
+        F.lit("o").alias("opportunity_id"), F.lit("s").alias("stage"), F.lit(0).alias("position"), "l_orderkey", "l_linenumber",
+    )
+    return workflow.note_versions(made).select("note_id", "l_orderkey", "l_linenumber")
+
+
+@query("""SELECT k, week, event_id, CAST(dense_rank() OVER (PARTITION BY k, week ORDER BY event_type) AS INTEGER) AS cluster FROM
+(SELECT *, row_number() OVER (PARTITION BY k, week ORDER BY ts, event_id) AS n FROM (WITH """ + _EV + """ SELECT * FROM ev)) WHERE n <= 200""")
+def clusters_in_item(t):
+    return semantics.clusters_by_item(_events(t), ITEM, "event_id", "event_type", semantics.same_text, ["ts", "event_id"])
