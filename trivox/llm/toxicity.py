@@ -3,7 +3,7 @@
 Confirmed toxic texts are the positives, texts of the corpus whatever they are the unlabelled. With the share of toxic
 texts as class prior p, the risk of a classifier g is p R+(g) + max(0, Ru-(g) - p R-(g)): the risk of calling
 unlabelled texts toxic less what toxic ones among them add to it, which is kept from falling below zero. A logistic
-linear model over distinct words and word beginnings is fitted to it with numpy.
+linear model over distinct words, word beginnings and beginnings that several words share is fitted to it with numpy.
 """
 
 from __future__ import annotations
@@ -27,9 +27,12 @@ THRESHOLD = 0.3
 POSITIVES, UNLABELLED = 5_000, 12_000
 #: Lengths of the word beginnings that are features beside whole words.
 STEMS = (4, 5)
+#: Distinct words with one beginning, from which on their number is a feature too.
+REPEATS = (2, 3)
 #: A feature must be in so many positives, and be so many standard deviations from its share in unlabelled texts.
 LEAST, DEVIATIONS = 3, 4.0
 STEPS, RATE, DECAY = 300, 0.05, 1e-3
+_ODD = np.uint32(0x9E3779B1)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -39,11 +42,14 @@ def _of_word(word: str) -> tuple[int, ...]:
 
 
 def features(text: str | None) -> np.ndarray:
-    """Hashes of the distinct words, lowered, of a whole text and of their beginnings; sorted."""
-    made: set[int] = set()
+    """Hashes of the distinct words, lowered, of a whole text, of their beginnings, and of beginnings that several of
+    the words have; sorted."""
+    made: list[int] = []
     for word in set(_WORD.findall((text or "").lower())):
-        made.update(_of_word(word))
-    return np.sort(np.fromiter(made, np.uint32, len(made)))
+        made += _of_word(word)
+    codes, n = np.unique(np.array(made, np.uint32), return_counts=True)
+    more = [codes[n >= k] * _ODD + np.uint32(k) for k in REPEATS]
+    return np.unique(np.concatenate((codes, *more)))
 
 
 @dataclass
