@@ -7,48 +7,23 @@ of the engine.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trivox.functions.text import author_hash, content_hash, is_deictic, noise_rule
 from trivox.operators import consensus, eligibility, registry, reports, runs, semantics, workflow
+from trivox.plans.register import oracle_sql, queries, query
+
+__all__ = ["oracle_sql", "queries"]
 
 ITEM = ["k", "week"]
 GROUP = [*ITEM, "event_type"]
 SALT = "salt"
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
 _EV = "ev AS (SELECT event_id, ts, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(date_trunc('week', ts) AS DATE) AS week FROM events)"
 _GATE = f"{_EV}, g AS (SELECT k, week, event_type, count(DISTINCT user_id) AS users, count(*) AS n_rows FROM ev GROUP BY ALL)"
 
 
-def query(sql: str | None = None):
-    """Register a query of (tables) under its name, with its SQL."""
-
-    def keep(f):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-        _QUERIES[f.__name__] = run
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return keep
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
 def _events(t) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     return t("events").select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"), F.date_trunc("week", "ts").cast("date").alias("week"))
@@ -351,3 +326,6 @@ def note_latest(t):
 (SELECT *, row_number() OVER (PARTITION BY k, week ORDER BY ts, event_id) AS n FROM (WITH """ + _EV + """ SELECT * FROM ev)) WHERE n <= 200""")
 def clusters_in_item(t):
     return semantics.clusters_by_item(_events(t), ITEM, "event_id", "event_type", semantics.same_text, ["ts", "event_id"])
+
+
+import trivox.plans.decisions  # noqa: E402,F401  registers its queries after those above
