@@ -26,6 +26,16 @@ def test_learns_from_positives_and_unlabelled():
     assert (said & truth).sum() / truth.sum() > 0.95 and (said & truth).sum() / said.sum() > 0.9
 
 
+def test_score_is_that_of_the_features():
+    rows = corpus(2000)
+    model = fit([features(t) for _, t, y in rows if y], [features(t) for _, t, _ in rows], 1 / 9)
+    rng = random.Random(1)
+    stems = ["vile" + "".join(rng.choice("abc") for _ in range(3)) for _ in range(20)]
+    for text in [t for _, t, _ in rows[:300]] + [" ".join(rng.sample(stems, n)) for n in range(1, 9)] + ["", None]:
+        z = model.bias + model.weights[np.isin(model.names, features(text))].sum()
+        assert abs(model.score(text) - 1 / (1 + np.exp(-z))) < 1e-12
+
+
 def test_edges(spark):
     rows = [(i, t, "x", 2.0) for i, t, _ in corpus(200)] + [(500, None, "x", 1.0), (501, "", "x", 1.0), (None, "vileword", "x", 1.0), (502, "word " * 50000, "x", 1.0), (1, "again", "x", 1.0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic string, score double")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -36,17 +36,19 @@ _ODD = np.uint32(0x9E3779B1)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-@functools.lru_cache(1 << 18)
 def _of_word(word: str) -> tuple[int, ...]:
     return (crc32(word.encode()), *(crc32(f"^{word[:n]}".encode()) for n in STEMS if len(word) > n))
 
 
+_remembered = functools.lru_cache(1 << 18)(_of_word)
+
+
 def features(text: str | None) -> np.ndarray:
     """Hashes of the distinct words, lowered, of a whole text, of their beginnings, and of beginnings that several of
     the words have; sorted."""
     made: list[int] = []
     for word in set(_WORD.findall((text or "").lower())):
-        made += _of_word(word)
+        made += _remembered(word)
     codes, n = np.unique(np.array(made, np.uint32), return_counts=True)
     more = [codes[n >= k] * _ODD + np.uint32(k) for k in REPEATS]
     return np.unique(np.concatenate((codes, *more)))
@@ -58,14 +60,32 @@ class Model:
     weights: np.ndarray
     bias: float
 
+    def scorer(self) -> Callable[[str | None], float]:
+        """Scores a text as by ``features``, but looks at those words only that some weight could come from."""
+        rules: dict[int, list[tuple[int, int]]] = {}
+        back = pow(int(_ODD), -1, 1 << 32)
+        for i, code in enumerate(self.names.tolist()):
+            rules.setdefault(code, []).append((1, i))
+            for k in REPEATS:
+                rules.setdefault((code - k) * back % (1 << 32), []).append((k, i))
+
+        @functools.lru_cache(1 << 18)
+        def known(word: str) -> tuple[int, ...]:
+            return tuple(c for c in _of_word(word) if c in rules)
+
+        def score(text: str | None) -> float:
+            count: dict[int, int] = {}
+            for word in set(_WORD.findall((text or "").lower())):
+                for code in known(word):
+                    count[code] = count.get(code, 0) + 1
+            hit = sorted({i for code, n in count.items() for k, i in rules[code] if n >= k})
+            z = self.bias + float(self.weights[hit].sum()) if hit else self.bias
+            return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+
+        return score
+
     def score(self, text: str | None) -> float:
-        own = features(text)
-        if len(self.names) and len(own):
-            at = np.minimum(np.searchsorted(self.names, own), len(self.names) - 1)
-            z = self.bias + float(self.weights[at[self.names[at] == own]].sum())
-        else:
-            z = self.bias
-        return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+        return self.scorer()(text)
 
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
@@ -140,8 +160,9 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     """``(key, score)`` for each row; a null text is scored as an empty one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scored = model.scorer()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.score(t) for t in batch.column(1).to_pylist()], pa.float64())], ["k", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([scored(t) for t in batch.column(1).to_pylist()], pa.float64())], ["k", "score"])
 
     return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(work, f"k {docs.schema[key].dataType.simpleString()}, score double").withColumnRenamed("k", key)
 
