@@ -22,7 +22,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row with the smallest doc_id of each group of linked fingerprints."""
+    """Keeps the row with the smallest doc_id of each group of texts linked by a Jaccard index of 0.8 over five words."""
     return simhash.representatives(docs)
 
 

@@ -57,3 +57,31 @@ def test_links(spark, block):
     edges = near_edges(spark.createDataFrame([(int(x),) for x in fps], "fp long"), block=block)
     got = {r.node: r.root for r in components(edges).collect()}
     assert {x: got.get(x, x) for x in fps.tolist()} == groups(fps.tolist(), fps.view(np.uint64))
+
+
+def test_representatives_are_near_copies(spark):
+    """Chains of edits at 0.8 or more over five words go, others stay, also in dense groups and under one key."""
+    from trivox.llm.simhash import shingles, similarity
+
+    rng, texts = random.Random(3), []
+    for _ in range(12):
+        base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+        for n in (0, 1, 2, 3, 4, 5, 7, 9):
+            made = list(base)
+            for i in rng.sample(range(120), n):
+                made[i] = f"e{rng.randrange(5000)}"
+            texts.append(" ".join(made))
+    hot = [f"h{i}" for i in range(200)]
+    for i in range(150):
+        texts.append(" ".join([*hot[:i], f"x{i}", *hot[i + 1 :]]))
+    sets = [shingles(t.encode()) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and similarity(sets[i], sets[j]) >= 0.8:
+                label = [label[j] if x == label[i] else x for x in label]
+    want = sorted({min(i for i, x in enumerate(label) if x == root) for root in set(label)})
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in representatives(df).collect()) == want and 13 < len(want) < 90
+    one = spark.createDataFrame([(1, texts[0]), (1, texts[8]), (1, texts[8]), (2, texts[0])], "doc_id long, text string")
+    assert sorted(r.text for r in representatives(one).collect()) == sorted([texts[0], texts[8]])

@@ -26,6 +26,14 @@ RADIUS = 3
 BLOCK = 65_536
 #: Rows and columns that are compared at once.
 TILE = 512
+#: Near copies: words in a shingle, the Jaccard index from which texts are near copies, and bits of 128 (of the first 64)
+#: in which their fingerprints may differ. At 0.8 exactly they differ in 19.4 on average, standard deviation 4.1.
+COPY_SHINGLE = 5
+SIMILARITY = 0.8
+COPY_RADIUS = 36
+COPY_HALF = 24
+#: Texts in a block of near copies.
+COPY_BLOCK = 131_072
 _PIECE = 1 << 15
 
 
@@ -132,17 +140,147 @@ def hexed(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group: that with the smallest key, of rows with equal keys the one with the smallest text hash.
+def shingles(text: bytes | None, words_in_shingle: int = COPY_SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; fewer words than a shingle has are one, no words are none."""
+    words = (text or b"").lower().split()
+    n = max(1, len(words) - words_in_shingle + 1) if words else 0
+    joined = map(b" ".join, (words[i : i + words_in_shingle] for i in range(n)))
+    return np.unique(np.fromiter((xxh64_intdigest(x, 42) for x in joined), np.uint64, n))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """The Jaccard index of two arrays of distinct hashes; two empty ones are alike."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+
+
+def wide(hashes: np.ndarray) -> tuple[int, int]:
+    """A SimHash of 128 bits of distinct hashes as two signed longs: their own bits, and those of a second mixing."""
+    if not len(hashes):
+        return 0, 0
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    out = []
+    for h in (hashes, mixed ^ (mixed >> np.uint64(32))):
+        ones = np.zeros(64, np.int64)
+        for start in range(0, len(h), _PIECE):
+            part = np.ascontiguousarray(h[start : start + _PIECE])
+            ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0]))
+    return out[0], out[1]
+
+
+def candidates(a: dict[str, np.ndarray], b: dict[str, np.ndarray], same: bool, failed: set[tuple[int, int]], most: int, least: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Pairs of two blocks (or in one, if ``same``) within ``COPY_RADIUS`` bits, of different labels and not ``failed``.
+
+    A pair is given if it is among the first ``most`` of one of its sides, so each side with a pair is in one.
+    """
+    out: list[tuple[int, int]] = []
+    left_a, left_b = np.full(len(a["node"]), most), np.full(len(b["node"]), most)
+    other = left_a if same else left_b
+    for i in range(0, len(left_a), TILE):
+        for j in range(i if same else 0, len(left_b), TILE):
+            near = np.bitwise_count(a["f0"][i : i + TILE, None] ^ b["f0"][None, j : j + TILE]) <= COPY_HALF
+            if same and i == j:
+                near = np.triu(near, 1)
+            r, c = np.divmod(np.flatnonzero(near), near.shape[1])
+            r, c = r + i, c + j
+            wanted = (left_a[r] > 0) | (other[c] > 0)
+            r, c = r[wanted], c[wanted]
+            bits = np.bitwise_count(a["f0"][r] ^ b["f0"][c]).astype(int) + np.bitwise_count(a["f1"][r] ^ b["f1"][c])
+            # sets whose sizes are further apart than the similarity cannot reach it
+            sized = np.minimum(a["n"][r], b["n"][c]) >= least * np.maximum(a["n"][r], b["n"][c])
+            ok = sized & (bits <= COPY_RADIUS) & (a["label"][r] != b["label"][c]) & (a["node"][r] != b["node"][c])
+            for x, y in zip(r[ok].tolist(), c[ok].tolist(), strict=True):
+                if left_a[x] > 0 or other[y] > 0:
+                    pair = int(a["node"][x]), int(b["node"][y])
+                    pair = min(pair), max(pair)
+                    if pair not in failed:
+                        left_a[x] -= 1
+                        other[y] -= 1
+                        out.append(pair)
+    return out
+
+
+def candidate_pairs(nodes: DataFrame, parts: int, most: int, least: float = SIMILARITY) -> DataFrame:
+    """``(a, b)`` with a < b of ``nodes(node, f0, f1, n, label, failed)``, blocks of which meet in pairs."""
+    blocks = nodes.groupBy(F.pmod(F.xxhash64("node"), F.lit(parts)).alias("p")).agg(F.collect_list(F.struct("node", "f0", "f1", "n", "label", "failed")).alias("x"))
+    met = blocks.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    pairs = met.select(F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "x")
+
+    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        sides, failed = [], set()
+        for x in pdf.sort_values("p")["x"]:
+            sides.append({k: np.array([r[k] for r in x], np.int64) for k in ("node", "f0", "f1", "n", "label")})
+            sides[-1] |= {k: sides[-1][k].view(np.uint64) for k in ("f0", "f1")}
+            failed |= {(min(r["node"], o), max(r["node"], o)) for r in x if r["failed"] is not None for o in r["failed"]}
+        same = key[0] == key[1]
+        found = candidates(sides[0], sides[-1], same, failed, most, least) if same or len(sides) == 2 else []
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return pairs.groupBy("i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
+def copies(docs: DataFrame, text: str = "text", words_in_shingle: int = COPY_SHINGLE, least: float = SIMILARITY, block: int = COPY_BLOCK) -> DataFrame:
+    """``(node, root)`` of each text (its ``xxhash64``) that a chain of texts of similarity ``least`` or more links to another.
+
+    SimHash of 128 bits proposes pairs, the Jaccard index of the whole texts' shingles decides. A round proposes a few
+    pairs of each text that are not linked yet and have not failed, more in each round, until there are none: a group
+    of near copies costs pairs in proportion to its size, and no pair is left undecided.
+    """
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, words_in_shingle) for t in raw_texts(batch.column(1))]
+            made = [(*wide(x), len(x)) for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([x[i] for x in made], pa.int64()) for i in range(3)]], ["node", "f0", "f1", "n"])
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ta, tb = raw_texts(batch.column(2)), raw_texts(batch.column(3))
+            said = [similarity(shingles(x, words_in_shingle), shingles(y, words_in_shingle)) >= least for x, y in zip(ta, tb, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(said, pa.bool_())], ["a", "b", "linked"])
+
+    whole = docs.select(F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    nodes = cut(whole.mapInArrow(sign, "node long, f0 long, f1 long, n long").distinct())
+    state = nodes.select("*", F.col("node").alias("label"), F.lit(None).cast("array<long>").alias("failed"))
+    judged, most = None, 1
+    while True:
+        parts = max(8, -(-state.count() // block))
+        pairs = cut(candidate_pairs(state, parts, most, least))
+        if pairs.isEmpty():
+            break
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        texts = whole.join(ends, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t"))
+        with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
+        with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
+        new = with_b.mapInArrow(decide, "a long, b long, linked boolean")
+        judged = cut(new if judged is None else judged.unionByName(new))
+        # from here on only texts with a pair can be in another
+        active = judged.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        bad = judged.where("not linked")
+        apart = bad.select(F.col("a").alias("node"), F.col("b").alias("o")).groupBy("node").agg(F.collect_list("o").alias("failed"))
+        label = components(judged.where("linked").select("a", "b")).withColumnRenamed("root", "label")
+        joined = nodes.join(active, "node", "left_semi").join(label, "node", "left").join(apart, "node", "left")
+        state = cut(joined.select("node", "f0", "f1", "n", F.coalesce("label", "node").alias("label"), "failed"))
+        most *= 4
+    return state.where("node <> label").select("node", F.col("label").alias("root"))
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words_in_shingle: int = COPY_SHINGLE, least: float = SIMILARITY) -> DataFrame:
+    """One row of each group of near copies: that with the smallest key, of rows with equal keys the one with the
+    smallest text hash. Groups are of texts, so rows with equal keys and different texts are each in their own.
 
     Rows with a null key have no identity that a decision could name, so they stay.
     """
     names = docs.columns
-    groups = near_duplicates(docs, key, text).select(F.col(key).alias("__k"), F.col("component_id").alias("__c")).distinct()
-    chosen = groups.where("__k = __c").select("__k")
-    kept = docs.join(chosen, F.col(key) == F.col("__k"), "left_semi")
-    hashed = kept.withColumn("__h", F.xxhash64(text))
-    first = hashed.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy("__h"))).where("__n = 1")
+    hashed = docs.withColumn("__h", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    roots = copies(docs, text, words_in_shingle, least).select(F.col("node").alias("__h"), F.col("root").alias("__r"))
+    # copies are met by aggregation before they are by root
+    known = hashed.where(F.col(key).isNotNull()).groupBy("__h").agg(F.min(key).alias("__k")).join(roots, "__h", "left")
+    chosen = known.groupBy(F.coalesce("__r", "__h").alias("__r")).agg(F.min(F.struct("__k", "__h")).alias("__m")).select("__m.__k", "__m.__h")
+    kept = hashed.join(chosen.withColumnRenamed("__h", "__g"), (F.col(key) == F.col("__k")) & (F.col("__h") == F.col("__g")), "left_semi")
+    first = kept.withColumn("__n", F.row_number().over(Window.partitionBy(key, "__h").orderBy("__h"))).where("__n = 1")
     return first.select(*names).unionByName(docs.where(F.col(key).isNull()))
 
 
