@@ -62,3 +62,31 @@ def test_edges(spark):
     assert [r.slot for r in mix(one).collect()] == [0]
     with pytest.raises(ValueError):
         mix(one, {"a": 1.0})
+
+
+@pytest.mark.parametrize("n,rows,power", [(20, 3_000_000, 0.5), (20, 3_000_000, 1), (5000, 3_000_000, 1), (12_000, 3_000_000, 0.5), (20, 50_000, 1)])
+def test_lag_behind_the_given_weights(n, rows, power):
+    """While the mix is open, rounding adds less than half a block to the block that the schedule allows."""
+    from trivox.llm.mixing import BLOCK, fine_resolution
+
+    sizes = {f"s{i}": rows * 2 // 3 // (n - 1) for i in range(n - 1)} | {"hot": rows // 3}
+    weights = {s: x**power for s, x in sizes.items()}
+    total = sum(weights.values())
+    end = min(-(-sizes[s] // BLOCK) * total / w for s, w in weights.items())
+    resolution = fine_resolution(weights, sizes)
+    parts = whole_weights(weights, resolution)
+    assert sum(parts.values()) == resolution
+    served = Counter()
+    for slot, (s, *_) in enumerate(period(parts)):
+        if slot + 1 > end:
+            break
+        share = weights[s] / total
+        assert served[s] - share * slot > -1.5 and served[s] + 1 - share * (slot + 1) < 1.5
+        served[s] += 1
+    assert all(abs(served[s] - w / total * min(end, resolution)) < 2.5 for s, w in weights.items())
+
+
+def test_small_parts_take_nothing_from_a_hot_source():
+    weights = {f"s{i}": 0.667 / 4999 for i in range(4999)} | {"hot": 0.333}
+    assert abs(whole_weights(weights, 20_000)["hot"] / 20_000 - 0.333) < 0.001
+    assert sum(whole_weights({f"s{i}": 1e-9 for i in range(50)} | {"hot": 1}, 100).values()) == 100

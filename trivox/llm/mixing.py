@@ -2,12 +2,13 @@
 
 A source with weight w releases its block j (from 1) at floor((j - 1) / w), due at ceil(j / w), in slots of one block.
 Serving the released block with the earliest deadline keeps every source within one block of its share at any time.
-Weights are whole numbers out of ``RESOLUTION``, so the schedule repeats after so many slots: one period is worked out
+Weights are whole numbers out of a resolution that grows with the blocks and sources, so the schedule repeats after so many slots: one period is worked out
 on the driver, and the slot of any block of any source follows from it by a join with that bounded table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 
 from trivox.llm.common import table
 
-#: Slots of a period; weights are rounded to so many parts. There can be as many sources at most.
+#: Slots of a period at least; weights are rounded to so many parts or more, as the blocks and sources need.
 RESOLUTION = 10_000
+#: Parts that a period has at most for the sake of a very small weight.
+FINEST = 250_000
 #: Documents in a block.
 BLOCK = 32
 #: Rows in a range of the order hash, about and at most twice as many: ranges are counted and numbered apart.
@@ -24,21 +27,44 @@ RANGE_ROWS = 1024
 
 
 def whole_weights(weights: Mapping[str, float], resolution: int = RESOLUTION) -> dict[str, int]:
-    """Positive whole parts of ``resolution`` in proportion to ``weights``: largest remainders, ties by name."""
+    """Positive whole parts of ``resolution`` in proportion to ``weights``: largest remainders, ties by name.
+
+    Only parts that would be none are raised to one, at the cost of the largest parts.
+    """
     if not weights:
         return {}
     if len(weights) > resolution:
         raise ValueError(f"{len(weights)} sources need a resolution of as many parts at least")
     if min(weights.values()) <= 0:
         raise ValueError("target weights must be positive")
-    total, spare = sum(weights.values()), resolution - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    parts = {s: 1 + int(x) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[: resolution - sum(parts.values())]:
+    total = sum(weights.values())
+    exact = {s: w / total * resolution for s, w in weights.items()}
+    parts = {s: max(1, int(x)) for s, x in exact.items()}
+    spare = resolution - sum(parts.values())
+    for s in sorted(exact, key=lambda s: (parts[s] - exact[s], s))[: max(0, spare)]:
         parts[s] += 1
+    while spare < 0:
+        large = [s for s in sorted(parts, key=lambda s: (exact[s] - parts[s], s)) if parts[s] > 1][:-spare]
+        for s in large:
+            parts[s] -= 1
+        spare += len(large)
     return parts
 
 
+def fine_resolution(weights: Mapping[str, float], rows: Mapping[str, int], block: int = BLOCK, least: int = RESOLUTION) -> int:
+    """Slots of a period by which rounding of the weights stays under half a block as long as the mix is open.
+
+    A weight is rounded by less than one part, so a period of twice the slots of the open mix is enough; it also gives
+    the smallest weight a whole part, up to ``FINEST`` slots.
+    """
+    if not weights:
+        return least
+    total = sum(weights.values())
+    slots = min(-(-rows[s] // block) * total / w for s, w in weights.items())
+    small = min(FINEST, total / min(weights.values()))
+    return max(least, 2 * math.ceil(slots), 2 * math.ceil(small), 2 * len(weights))
+
+
 def period(parts: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
     """One period as ``(source, j, release, deadline, slot)``, j from 0: earliest deadline first among the released.
 
@@ -72,7 +98,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key:
     Columns that follow: ``block`` (number of the block in its source, from 0), ``release``, ``deadline`` and ``slot``
     (longs, in slots), ``place`` (in the block, from 0) and ``open_mix`` (whether all sources still have blocks at that
     slot). ``slot, place`` is a total order of the mix. While ``open_mix`` holds, each source has had its share of the
-    slots to less than one block. No row is dropped: when a source ends its slots stay empty and the others go on in
+    slots by its rounded weight to less than one block, and rounding moves that by less than half a block. No row is dropped: when a source ends its slots stay empty and the others go on in
     their order. ``weights`` gives each source's target (the null source by the key None); the sources in the table
     must all have one. Without it a source weighs the square root of its rows, which raises small sources without
     repeating them. Inside a source, documents come in the order of a hash of their key, however many ranges count them;
@@ -80,8 +106,8 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key:
     """
     names = docs.columns
     named = docs.select(*names, _name(F.col(source)).alias("__s"), F.xxhash64(F.col(key), F.lit("order")).alias("__h"))
-    # as many rows as there are sources, which the resolution bounds
-    totals = {r["__s"]: r["n"] for r in named.groupBy("__s").agg(F.count("*").alias("n")).limit(resolution + 1).collect()}
+    # as many rows as there are sources
+    totals = {r["__s"]: r["n"] for r in named.groupBy("__s").agg(F.count("*").alias("n")).collect()}
     if weights is None:
         chosen = {s: n**0.5 for s, n in totals.items()}
     else:
@@ -89,13 +115,14 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key:
         if lacking := sorted(totals.keys() - given.keys()):
             raise ValueError(f"no target weight for {lacking}")
         chosen = {s: w for s, w in given.items() if s in totals}
+    resolution = fine_resolution(chosen, totals, block, resolution)
     parts = whole_weights(chosen, resolution)
     spark = docs.sparkSession
     turns = period(parts)
     slot_of = {(s, j): slot for s, j, _, _, slot in turns}
     n_blocks = {s: -(-totals[s] // block) for s in parts}
     ends = [n // parts[s] * resolution + slot_of[s, n % parts[s]] for s, n in n_blocks.items()]
-    # both tables have as many rows as the resolution at most
+    # both tables have as many rows as the resolution at most, which grows with the blocks of the open mix
     slots = spark.createDataFrame(turns, "__s string, __j long, r0 long, d0 long, s0 long")
     share = spark.createDataFrame([(s, w, ((totals[s] - 1) // range_rows).bit_length()) for s, w in parts.items()], "__s string, __w long, __bits int")
     # a source is cut by the first bits of the hash into ranges in the hash's order, so a hot one is many tasks
