@@ -11,8 +11,9 @@ from trivox.llm import bpe, langid, linededup, mixing, simhash
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter and those that no profile learned from the labelled rows comes close to."""
-    return langid.known_language(docs, langid.learn(docs))
+    """Rejects texts without a letter and those that no profile comes about as close to as to labelled rows of their size."""
+    profiles = langid.learn(docs)
+    return langid.known_language(docs, profiles, least=langid.bounds(docs, profiles))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

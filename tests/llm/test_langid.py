@@ -51,3 +51,19 @@ def test_held_out_accuracy(spark):
     held = got[got.held_out]
     assert len(got) == len(truth) and 100 < len(held) < 300
     assert (held.lang_pred == held.doc_id.map(truth)).mean() > 0.97
+
+
+def test_unlearned_languages_and_junk_are_rejected(spark):
+    from trivox.llm.langid import bounds
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    other = [
+        "Wczoraj wieczorem poszliśmy do teatru, aby zobaczyć nową sztukę młodego autora, który mieszka w naszym mieście od kilku lat.",
+        "Eilen illalla menimme teatteriin katsomaan nuoren kirjailijan uutta näytelmää, joka on asunut kaupungissamme jo useita vuosia.",
+        "Dün akşam şehrimizde birkaç yıldır yaşayan genç yazarın yeni oyununu görmek için tiyatroya gittik ve çok beğendik.",
+        "asdfkj qwepoi zxcmnv lkjhgf poiuyt mnbvcx qazwsx edcrfv tgbyhn ujmikl asdlkj qweoiu zmxncb sldkfj",
+    ]
+    mixed = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame([(-i, t, None) for i, t in enumerate(other, 1)], "doc_id long, text string, lang string"))
+    model = learn(mixed)
+    kept = {r.doc_id for r in known_language(mixed, model, least=bounds(mixed, model)).collect()}
+    assert not kept & {-1, -2, -3, -4} and len(kept) >= docs.count() - 2

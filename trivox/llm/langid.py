@@ -20,8 +20,13 @@ from trivox.llm.common import remainder, table
 #: N-grams in a profile, of a language and of a text.
 PROFILE = 400
 FOLDS = 5
-#: Closeness below which a language is not taken as known; the pipeline's stage rejects such texts.
+#: Closeness below which no text's language is taken as known, and all there is where too few labelled texts are.
 REJECT = 0.05
+#: A text's language is known from this share of a very low quantile of the labelled texts with about as many n-grams.
+QUANTILE = 0.001
+SHARE = 0.9
+#: Labelled texts that a quantile takes at least; sizes with fewer are put together.
+MIN_TEXTS = 500
 UNKNOWN = "und"
 _BLANK = 32
 _SALTS = 16
@@ -74,16 +79,20 @@ class Profiles:
             self.ranks.append(order)
 
     def closest(self, text: str | None) -> tuple[str, float]:
+        return self.measured(text)[:2]
+
+    def measured(self, text: str | None) -> tuple[str, float, int]:
+        """``closest``, and the bit length of the number of the text's own ranked n-grams."""
         codes = ngrams(text)
         if not len(codes) or not self.langs:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         own = ranked(codes)
         place, far = np.arange(len(own)), []
         for grams, ranks in zip(self.grams, self.ranks, strict=True):
             at = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
             far.append(int(np.where(grams[at] == own, np.abs(ranks[at] - place), PROFILE).sum()))
         best = min(range(len(far)), key=far.__getitem__)
-        return self.langs[best], min(1.0, max(0.0, 1 - far[best] / (PROFILE * len(own))))
+        return self.langs[best], min(1.0, max(0.0, 1 - far[best] / (PROFILE * len(own)))), len(own).bit_length()
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE) -> Profiles:
@@ -142,14 +151,54 @@ def predict(docs: DataFrame, profiles: Profiles, key: str = "doc_id", text: str
     return made.withColumnRenamed("k", key)
 
 
-def known_language(docs: DataFrame, profiles: Profiles, text: str = "text", reject: float = REJECT) -> DataFrame:
-    """The rows of ``docs`` whose language some profile knows: those with a letter and a closeness of ``reject`` or more."""
+def bounds(docs: DataFrame, profiles: Profiles, text: str = "text", lang: str = "lang", min_texts: int = MIN_TEXTS) -> list[float]:
+    """The closeness from which a language is known, by the bit length of the number of a text's n-grams.
+
+    It is ``SHARE`` of the ``QUANTILE`` of the closeness of all labelled texts of that size; from the smallest size on,
+    sizes are put together until they have ``min_texts``, and the rest goes to the last ones. ``REJECT`` with fewer texts.
+    """
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said = [x for x in map(profiles.measured, batch.column(0).to_pylist()) if x[0] != UNKNOWN]
+            yield pa.RecordBatch.from_arrays([pa.array([n for *_, n in said], pa.int32()), pa.array([y for _, y, _ in said], pa.float64())], ["bits", "score"])
+
+    # a bit length for each size of a profile at most
+    last = PROFILE.bit_length()
+    scored = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("t")).mapInArrow(measure, "bits int, score double")
+    tallied = scored.groupBy("bits", F.floor(F.col("score") * 1000).cast("int").alias("s")).agg(F.count("*").alias("n")).collect()
+    groups: list[list[int]] = []
+    have = {bits: sum(r["n"] for r in tallied if r["bits"] == bits) for bits in range(last + 1)}
+    for bits in range(last + 1):
+        if not groups or sum(have[x] for x in groups[-1]) >= min_texts:
+            groups.append([])
+        groups[-1].append(bits)
+    if len(groups) > 1 and sum(have[x] for x in groups[-1]) < min_texts:
+        groups[-2] += groups.pop()
+    out = [REJECT] * (last + 1)
+    for group in groups:
+        scores = sorted((r["s"], r["n"]) for r in tallied if r["bits"] in group)
+        before, low, n = 0, 0, sum(n for _, n in scores)
+        for low, many in scores:
+            before += many
+            if before > QUANTILE * n:
+                break
+        if n >= min_texts:
+            for bits in group:
+                out[bits] = max(REJECT, SHARE * low / 1000)
+    return out
+
+
+def known_language(docs: DataFrame, profiles: Profiles, text: str = "text", least: list[float] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose language some profile knows: those with a letter and the closeness of ``bounds`` or
+    more, ``REJECT`` without."""
     names = docs.columns
+    least = least or [REJECT] * (PROFILE.bit_length() + 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            said = [profiles.closest(t) for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array([name != UNKNOWN and score >= reject for name, score in said], pa.bool_()))
+            said = [profiles.measured(t) for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array([name != UNKNOWN and score >= least[bits] for name, score, bits in said], pa.bool_()))
 
     at = names.index(text)
     return docs.mapInArrow(work, docs.schema)
