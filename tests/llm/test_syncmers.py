@@ -44,3 +44,15 @@ def test_anchors_are_context_free(spark):
     inside = {(x.pos - 3, x.hash) for x in first if x.pos >= 3}
     assert inside == {(x.pos, x.hash) for x in second if x.pos <= 40 - K} and len(inside) > 8
     assert len(short) == 1 and none == [] and S < K
+
+
+def test_few_words_and_no_blanks(spark):
+    """Two thirds of a short text, or of one without blanks, stay recognisable after an edit."""
+    import random
+
+    rng = random.Random(5)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    rows = [(i, han(300 + i)) for i in range(8)] + [(10 + i, f"a short text of words number{i} here") for i in range(8)] + [(30, "someotherword"), (31, han(20000))]
+    got = {r.doc_id: r for r in fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(0.1 < r.near_edited < 1 for r in got.values()), {d: r.near_edited for d, r in got.items()}
+    assert all(got[i].near_next < 0.1 for i in range(7))

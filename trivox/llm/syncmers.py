@@ -2,7 +2,8 @@
 
 Words are hashed; a k-mer is k words in a row and an s-mer s words. A k-mer is an anchor if the smallest of its s-mer
 hashes is the first or the last one, which depends on nothing outside of it: the same passage has the same anchors
-wherever it stands. A fingerprint is the sorted smallest anchor hashes.
+wherever it stands. A fingerprint is the sorted smallest anchor hashes. Texts of few words, or of few for their length,
+as in scripts without blanks, have characters in place of words.
 """
 
 from __future__ import annotations
@@ -16,14 +17,29 @@ K = 4
 S = 2
 #: Anchor hashes in a fingerprint, 8 hex digits each.
 SIZE = 64
+#: A text of fewer words, or of more characters a word, is taken by its characters.
+FEW_WORDS = 16
+LONG_WORDS = 24
 #: Documents in a range of neighbours, and the most ranges.
 RANGE_ROWS = 4096
 MAX_RANGES = 100_000
 
 
-def _hashes(text: Column) -> Column:
-    words = F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != "")
+
+
+def _units(text: Column) -> Column:
+    """Hashes of a text's words, or of its characters (of each run of blanks one) by a rule of the text alone."""
+
+    def chosen(words: Column) -> Column:
+        joined = F.array_join(words, " ")
+        few = (F.size(words) < FEW_WORDS) | (F.char_length(joined) > LONG_WORDS * F.size(words))
+        return F.when(few, F.filter(F.split(joined, ""), lambda c: c != "")).otherwise(words)
+
+    # bound once by a one-element transform
+    units = F.get(F.transform(F.array(_words(text)), chosen), F.lit(0))
+    return F.transform(units, lambda w: F.xxhash64(w))
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
@@ -31,6 +47,11 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
 
     A text of fewer than k words has one anchor, of all its words; one without words, or null, has none.
     """
+    return _anchors(F.transform(_words(F.coalesce(text, F.lit(""))), lambda w: F.xxhash64(w)), k, s)
+
+
+def _anchors(hashes: Column, k: int, s: int) -> Column:
+    """The anchors of an array of hashes, of words or characters."""
     if not 0 < s < k:
         raise ValueError("an s-mer must be shorter than a k-mer")
     # each intermediate array is bound once by a one-element transform
@@ -51,12 +72,12 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
         none = F.slice(whole, 1, 0)
         return F.when(F.size(h) >= k, of_words(h)).when(F.size(h) > 0, whole).otherwise(none)
 
-    return F.get(F.transform(F.array(_hashes(F.coalesce(text, F.lit("")))), given), F.lit(0))
+    return F.get(F.transform(F.array(hashes), given), F.lit(0))
 
 
 def sketch(text: Column, k: int = K, s: int = S, size: int = SIZE) -> Column:
-    """The ``size`` smallest distinct anchor hashes, cut to 32 bits, in order."""
-    low = F.transform(anchors(text, k, s), lambda a: a["hash"].bitwiseAND(F.lit(0xFFFFFFFF)))
+    """The ``size`` smallest distinct anchor hashes, of words or characters, cut to 32 bits, in order."""
+    low = F.transform(_anchors(_units(F.coalesce(text, F.lit(""))), k, s), lambda a: a["hash"].bitwiseAND(F.lit(0xFFFFFFFF)))
     return F.slice(F.array_sort(F.array_distinct(low)), 1, size)
 
 
