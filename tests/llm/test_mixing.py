@@ -90,3 +90,42 @@ def test_small_parts_take_nothing_from_a_hot_source():
     weights = {f"s{i}": 0.667 / 4999 for i in range(4999)} | {"hot": 0.333}
     assert abs(whole_weights(weights, 20_000)["hot"] / 20_000 - 0.333) < 0.001
     assert sum(whole_weights({f"s{i}": 1e-9 for i in range(50)} | {"hot": 1}, 100).values()) == 100
+
+
+@pytest.mark.parametrize("n", [1, 20, 5000, 20_001])
+@pytest.mark.parametrize("power", [0, 0.5, 1])
+def test_less_than_one_block_from_the_given_weights(n, power):
+    """Weights are not rounded: windows and lag hold for the fractions that were asked for, with a hot source among many."""
+    from trivox.llm.mixing import schedule
+
+    blocks = {f"s{i}": 1 + 40_000 // n + i % 5 for i in range(n - 1)} | {"hot": 20_000}
+    weights = {s: b**power for s, b in blocks.items()} | ({"hot": 0.9 * n} if not power else {})
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    total = sum(exact.values())
+    turns = schedule(blocks, weights)
+    assert Counter(s for s, *_ in turns) == blocks and len({t[-1] for t in turns}) == len(turns)
+    last = {s: slot for s, *_, slot in turns}
+    end = min(last.values())
+    for i, (s, j, release, deadline, slot) in enumerate(turns):
+        share = exact[s] / total if i < 2000 else float(exact[s] / total) if i % 97 == 0 else None
+        if share is not None:
+            if i < 2000:
+                assert (release, deadline) == (math.floor(j / share), math.ceil((j + 1) / share))
+            if slot <= end:
+                assert release <= slot < deadline and abs(j - share * slot) < 1 and abs(j + 1 - share * (slot + 1)) < 1
+
+
+def test_names_blocks_and_order(spark):
+    """Clashing names, as many sources as rows, blocks that grow, and slots that a brute-force schedule gives."""
+    from trivox.llm.mixing import schedule
+
+    rows = [(i, f"s{i % 3}" if i < 300 else f"t{i}") for i in range(400)]
+    df = spark.createDataFrame([(*r, r[0], r[0], r[0]) for r in rows], ["doc_id", "source", "slot", "a.b", "place"])
+    out = mix(df, block=4, scheduled=100).collect()
+    assert set(out[0].asDict()) == {"doc_id", "source", "slot_in", "a.b", "place_in", "block", "release", "deadline", "slot", "place", "open_mix"}
+    assert all(r["slot_in"] == r["a.b"] == r.doc_id for r in out) and len(out) == 400
+    sizes = Counter(s for _, s in rows)
+    assert max(r.place for r in out) == 3
+    turns = schedule({f"={s}": -(-n // 4) for s, n in sizes.items()}, {f"={s}": n**0.5 for s, n in sizes.items()})
+    assert {(f"={r.source}", r.block, r.release, r.deadline, r.slot) for r in out} == set(turns)
+    assert max(r.place for r in mix(df, block=4, scheduled=20).collect()) == 19

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,19 +14,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines see: what ``spark.checkpoint.dir`` names.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where none is named (a test on one
-    machine) is a temporary one made.
+    Only a session on one machine may do without; a cluster without one is refused, as its machines' own folders are
+    lost with them.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    import tempfile
+
+    return tempfile.mkdtemp(prefix="checkpoints-")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def sealed(docs: DataFrame) -> tuple[DataFrame, Callable[[str], str]]:
+    """``docs`` with names by position, which clash with nothing and need no quoting, and the new name of an old one."""
+    names = docs.columns
+    return docs.toDF(*[f"__{i}" for i in range(len(names))]), lambda name: f"__{names.index(name)}"
+
+
+def apart(names: list[str], added: Iterable[str]) -> list[str]:
+    """``names`` of input columns beside ``added`` ones: one of a name that is added gets ``_in`` behind it, until it is free."""
+    added, out = {a.lower() for a in added}, []
+    taken = added | {n.lower() for n in names}
+    for name in names:
+        if name.lower() in added:
+            while name.lower() in taken:
+                name += "_in"
+            taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def raw_texts(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, without decoding them."""
     return column.cast(pa.binary()).to_pylist()
