@@ -55,3 +55,10 @@ def test_random(spark, seed):
     rows = [(i, "\n".join(rng.choice("abc") for _ in range(rng.randint(0, 12)))) for i in range(60)]
     want = brute(rows)
     assert {r.doc_id: r.text for r in run(spark, rows)} == {d: want[d, t] for d, t in rows}
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a\nb\nc", 5, 6, 7), (2, "a\nb\nc", 5, 6, 7)], ["doc_id", "text", "n_lines", "n_lines_in", "cover.x"])
+    out = drop_repeated_windows(df)
+    assert out.columns == ["doc_id", "text", "n_lines_in_in", "n_lines_in", "cover.x", "n_lines", "n_removed"]
+    assert sorted(map(tuple, out.collect())) == [(1, "a\nb\nc", 5, 6, 7, 3, 0), (2, "", 5, 6, 7, 3, 3)]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trivox.llm.common import table
+from trivox.llm.common import apart, sealed, table
 
 LINES = 3
 
@@ -54,29 +54,30 @@ def drop_repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "tex
     Lines end at ``\\n`` and count as they stand. A window's first occurrence is that with the smallest (key, text hash,
     position); every line that a later one covers goes, whether in the same document or in another. Texts of fewer than
     three lines and null texts stay as they are, and a text that is covered whole becomes empty. Rows that repeat in key
-    and text are one document, so they do not remove each other. Two columns follow: ``n_lines`` and ``n_removed``.
+    and text are one document, so they do not remove each other. Two columns follow: ``n_lines`` and ``n_removed``; a
+    column of ``docs`` with such a name gets ``_in`` behind it, other names do not matter. An empty table gives no rows.
     """
-    names = docs.columns
-    keyed = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
+    plain, of = sealed(docs)
+    own, hashed = of(text), F.xxhash64(of(text))
+    keyed = plain.select(F.col(of(key)).alias("k"), hashed.alias("th"), F.col(own).alias("t"))
     cover = covered(keyed.where(F.col("t").isNotNull()), lines)
-    cover = cover.select(F.col("k").alias("__k"), F.col("th").alias("__th"), F.col("cover").alias("__cover"))
-    joined = docs.join(cover, F.col(key).eqNullSafe(F.col("__k")) & (F.xxhash64(text) == F.col("__th")), "left")
-    split, cuts = F.split(F.col(text), "\n", -1), F.col("__cover")
+    joined = plain.join(cover, F.col(of(key)).eqNullSafe(F.col("k")) & (hashed == F.col("th")), "left")
+    split, cuts = F.split(F.col(own), "\n", -1), F.col("cover")
 
     def before(j: Column) -> Column:
         """The slice of lines between interval j - 1 and interval j."""
         start = F.when(j == 0, F.lit(0)).otherwise(F.get(cuts, j - 1)["e"] + 1)
         end = F.when(j == F.size(cuts), F.size(split)).otherwise(F.get(cuts, j)["s"])
-        return F.slice("__lines", start + 1, end - start)
+        return F.slice("lines", start + 1, end - start)
 
     kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(cuts)), before)), "\n")
     removed = F.aggregate(cuts, F.lit(0), lambda n, c: n + c["e"] - c["s"] + 1)
-    return (
-        joined.withColumn("__lines", split)
-        .withColumn("__text", F.when(cuts.isNull(), F.col(text)).otherwise(kept))
-        .withColumn("__removed", F.coalesce(removed, F.lit(0)).cast("long"))
-        .select(*[F.col("__text").alias(n) if n == text else n for n in names], F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_lines"), F.col("__removed").alias("n_removed"))
-    )
+    made = joined.withColumn("lines", split).select(
+        *[F.when(cuts.isNull(), F.col(own)).otherwise(kept).alias(n) if n == own else n for n in plain.columns],
+        F.coalesce(F.size("lines"), F.lit(0)).cast("long"), F.coalesce(removed, F.lit(0)).cast("long"),
+    )
+    added = ["n_lines", "n_removed"]
+    return made.toDF(*apart(docs.columns, added), *added)
 
 
 def op6_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
