@@ -98,3 +98,50 @@ def test_near_copies_of_the_stage(spark):
                 label = {k: low if v == high else v for k, v in label.items()}
     want = {i for i, x in label.items() if i == x}
     assert {r.doc_id for r in cp.drop_near_duplicates(spark, docs, D).collect()} == want and len(want) < len(sets)
+
+
+ODD = ["n_lines", "n_removed", "slot", "place", "block", "release", "open_mix", "a.b", "k", "h", "s", "node", "__0", "cover"]
+
+
+def test_clashing_names_and_the_order_of_the_mix(spark, tmp_path):
+    """Columns with the names that stages use, through all of them as ``run`` reads and writes them; the result has the
+    rows in the order that the mix gives, and nothing but near copies and rejected rows is lost."""
+    from pyspark.sql import functions as F
+
+    from trivox.llm.mixing import mix
+
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    docs = docs.select("*", *[F.col("doc_id").alias(n) for n in ODD])
+    for name, f in cp.STAGES:
+        names = docs.columns
+        made = f(spark, docs, D)
+        assert name == "bpe" or made.columns == names
+        made.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name != "bpe":
+            assert docs.where("`a.b` <> doc_id or slot <> doc_id or node <> doc_id").isEmpty()
+    kept = spark.read.parquet(str(tmp_path / "near_dedup")).select("doc_id", "source")
+    want = [r.doc_id for r in mix(kept).orderBy("slot", "place").collect()]
+    place = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    assert [r.doc_id for r in docs.select("doc_id", *place).orderBy("file_name", "row_index").collect()] == want and len(want) > 100
+
+
+def test_run_goes_on_where_it_was_broken_off(spark, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    whole, stages = sorted(map(tuple, cp.run(spark, D).select("doc_id", "n_tokens").collect())), list(cp.STAGES)
+    monkeypatch.setattr(cp, "STAGES", [*stages[:3], ("mixing", broken), stages[4]])
+    with pytest.raises(RuntimeError):
+        cp.run(spark, D, "again")
+    monkeypatch.setattr(cp, "STAGES", [(n, broken) for n, _ in stages[:3]] + stages[3:])
+    assert sorted(map(tuple, cp.run(spark, D, "again").select("doc_id", "n_tokens").collect())) == whole
+
+
+def test_equal_ids_of_different_texts(spark):
+    """Each text of an id is judged by itself; nothing but copies goes."""
+    from trivox.llm.simhash import representatives
+
+    rows = [(5, "alpha beta gamma"), (2, "X"), (5, "X"), (7, "zeta eta"), (7, "other text"), (7, "other text")]
+    kept = representatives(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, h int"))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, "X"), (5, "alpha beta gamma"), (7, "other text"), (7, "zeta eta")]
