@@ -85,3 +85,36 @@ def test_representatives_are_near_copies(spark):
     assert sorted(r.doc_id for r in representatives(df).collect()) == want and 13 < len(want) < 90
     one = spark.createDataFrame([(1, texts[0]), (1, texts[8]), (1, texts[8]), (2, texts[0])], "doc_id long, text string")
     assert sorted(r.text for r in representatives(one).collect()) == sorted([texts[0], texts[8]])
+
+
+def test_large_groups_are_split(spark):
+    """A group of near copies in many pairs of blocks has the components that one task gives it."""
+    from pyspark.sql import functions as F
+
+    from trivox.llm.simhash import copies, with_copy_marks
+
+    rng, rows = random.Random(8), []
+    hot = [f"h{i}" for i in range(120)]
+    for k in range(90):
+        made = list(hot)
+        for i in rng.sample(range(120), 1 + k % 2):
+            made[i] = f"x{k}.{i}"
+        rows.append((k, " ".join(made)))
+    docs = spark.createDataFrame(rows, "k long, t string").withColumn("h", F.xxhash64("t")).select("k", "h", "t")
+    marked = with_copy_marks(docs)
+    whole = {(r.node, r.root) for r in copies(marked, docs).collect()}
+    assert whole == {(r.node, r.root) for r in copies(marked, docs, held=20_000).collect()} and len(whole) > 20
+
+
+def test_reach_of_fingerprints():
+    """Sets of an index of 0.8 lie within the radius, small ones too."""
+    from trivox.llm.simhash import reach, wide
+
+    rng = np.random.default_rng(4)
+    for n, m, size in ((4, 1, 500), (8, 2, 500), (45, 5, 300), (400, 50, 100)):  # n + m and n shingles, or n + m of each
+        for _ in range(size):
+            x = rng.integers(0, 2**63, n + 2 * m).astype(np.uint64)
+            a, b = (x[:n], x[: n + m]) if n < 10 else (x[: n + m], np.concatenate((x[:n], x[n + m :])))
+            f = [np.array(wide(np.unique(s)), np.int64).view(np.uint64) for s in (a, b)]
+            bits = np.bitwise_count(f[0] ^ f[1])
+            assert bits.sum() <= reach(256, small=len(a) <= 8) and bits[0] <= reach(64, small=len(a) <= 8)

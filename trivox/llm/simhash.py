@@ -9,16 +9,16 @@ spanning forest of its links, not the links, so a group of near copies costs row
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from trivox.llm.common import components, cut, forest, raw_texts, table, tile_edges
+from trivox.llm.common import components, cut, forest, raw_texts, sealed, table, tile_edges
 
 SHINGLE = 3
 RADIUS = 3
@@ -26,15 +26,21 @@ RADIUS = 3
 BLOCK = 65_536
 #: Rows and columns that are compared at once.
 TILE = 512
-#: Near copies: words in a shingle, the Jaccard index from which texts are near copies, and bits of 128 (of the first 64)
-#: in which their fingerprints may differ. At 0.8 exactly they differ in 19.4 on average, standard deviation 4.1.
+#: Near copies: words in a shingle, and the Jaccard index from which texts are near copies.
 COPY_SHINGLE = 5
 SIMILARITY = 0.8
-COPY_RADIUS = 36
-COPY_HALF = 24
-#: Texts in a block of near copies.
-COPY_BLOCK = 131_072
+#: Standard deviations by which a pair at that index may have more bits apart than it has on average.
+SPREAD = 4.3
+#: Sets of so few shingles or fewer have uneven bits, and a wider radius.
+SMALL = 8
+#: Texts of about one size in a block: 65,536, or a sixteenth of them, up to 262,144.
+COPY_BLOCK = (65_536, 262_144)
+#: Bytes of shingle sets that a task holds on a side.
+SETS = 4 << 20
+#: Tasks that pairs of blocks are dealt to at most.
+TASKS = 4096
 _PIECE = 1 << 15
+_WIDE = 4 * TILE
 
 
 def fingerprint(text: bytes | None, words_in_shingle: int = SHINGLE) -> int:
@@ -96,29 +102,35 @@ def links(a: np.ndarray, b: np.ndarray, same: bool, radius: int = RADIUS) -> Ite
                             yield int(xs[r].astype(np.int64)), int(ys[c].astype(np.int64))
 
 
+def _met(rows: DataFrame, key: str, parts: dict[int, int], radius: int) -> DataFrame:
+    """``(p, q, first, xs)``: blocks of ``rows(w, key, x)`` in pairs, of values of ``w`` that differ by ``radius`` at most.
+
+    ``parts`` has the blocks of each value, few values. The pairs are dealt out by number, as they are small to move but
+    long to compare.
+    """
+    spark = rows.sparkSession
+    shape = spark.createDataFrame(list(parts.items()), "w int, parts long")
+    near = [(w, v, n) for w in parts for v, n in parts.items() if abs(v - w) <= radius]
+    partners = spark.createDataFrame(near, "w int, w2 int, parts2 long")
+    blocks = rows.join(F.broadcast(shape), "w").groupBy("w", F.pmod(F.xxhash64(key), "parts").alias("s")).agg(F.collect_list("x").alias("xs"))
+    met = blocks.join(F.broadcast(partners), "w").withColumn("s2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts2") - 1)))
+    mine, other = F.struct("w", "s"), F.struct(F.col("w2").alias("w"), F.col("s2").alias("s"))
+    pairs = met.select(F.least(mine, other).alias("p"), F.greatest(mine, other).alias("q"), (mine <= other).alias("first"), "xs")
+    return pairs.repartition(max(1, min(TASKS, sum(parts[w] * n for w, _, n in near) // 2)), "p", "q")
+
+
 def near_edges(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """``(a, b)``: edges whose components are those of all links among distinct fingerprints ``fps(fp)``."""
-    weighed = fps.select("fp", F.bit_count("fp").cast("int").alias("w"))
+    weighed = fps.select("fp", F.bit_count("fp").cast("int").alias("w"), F.col("fp").alias("x"))
     # 65 population counts at most
     parts = {r["w"]: -(-r["n"] // block) for r in weighed.groupBy("w").agg(F.count("*").alias("n")).collect()}
-    spark = fps.sparkSession
-    shape = spark.createDataFrame([(w, n) for w, n in parts.items()], "w int, parts long")
-    partners = spark.createDataFrame([(w, v, n) for w in parts for v, n in parts.items() if abs(v - w) <= radius], "w int, w2 int, parts2 long")
-    blocks = (
-        weighed.join(F.broadcast(shape), "w")
-        .groupBy("w", F.pmod(F.xxhash64("fp"), "parts").alias("s"))
-        .agg(F.collect_list("fp").alias("fps"))
-    )
-    met = blocks.join(F.broadcast(partners), "w").withColumn("s2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts2") - 1)))
-    mine, other = F.struct("w", "s"), F.struct(F.col("w2").alias("w"), F.col("s2").alias("s"))
-    pairs = met.select(F.least(mine, other).alias("p"), F.greatest(mine, other).alias("q"), (mine <= other).alias("first"), "fps")
 
-    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        sides = [np.asarray(x, np.int64).view(np.uint64) for x in pdf.sort_values("first", ascending=False)["fps"]]
-        found = forest(links(sides[0], sides[-1], len(sides) == 1, radius))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    def compare(found: pa.Table) -> pa.Table:
+        order = sorted(range(found.num_rows), key=lambda i: not found.column("first")[i].as_py())
+        sides = [found.column("xs")[i].values.to_numpy(zero_copy_only=False).view(np.uint64) for i in order]
+        return _edges(forest(links(sides[0], sides[-1], len(sides) == 1, radius)))
 
-    return pairs.groupBy("p", "q").applyInPandas(compare, "a long, b long")
+    return _met(weighed, "fp", parts, radius).groupBy("p", "q").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -154,134 +166,199 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
 
-def wide(hashes: np.ndarray) -> tuple[int, int]:
-    """A SimHash of 128 bits of distinct hashes as two signed longs: their own bits, and those of a second mixing."""
+def wide(hashes: np.ndarray) -> tuple[int, ...]:
+    """A SimHash of 256 bits of distinct hashes as four signed longs, each from another mixing of the hashes."""
     if not len(hashes):
-        return 0, 0
-    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return 0, 0, 0, 0
     out = []
-    for h in (hashes, mixed ^ (mixed >> np.uint64(32))):
+    for word in range(4):
+        h = hashes + np.uint64((word + 1) * 0x9E3779B97F4A7C15 % 2**64)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
         ones = np.zeros(64, np.int64)
         for start in range(0, len(h), _PIECE):
-            part = np.ascontiguousarray(h[start : start + _PIECE])
-            ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            ones += np.unpackbits(h[start : start + _PIECE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         out.append(int(np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0]))
-    return out[0], out[1]
+    return tuple(out)
 
 
-def candidates(a: dict[str, np.ndarray], b: dict[str, np.ndarray], same: bool, failed: set[tuple[int, int]], most: int, least: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Pairs of two blocks (or in one, if ``same``) within ``COPY_RADIUS`` bits, of different labels and not ``failed``.
+def reach(bits: int, least: float = SIMILARITY, small: bool = False) -> int:
+    """The bits of ``bits`` in which fingerprints of sets of similarity ``least`` differ at most, but for a share of 1e-5.
 
-    A pair is given if it is among the first ``most`` of one of its sides, so each side with a pair is in one.
+    A bit differs with the chance that a random plane parts the sets, acos(2 J / (1 + J)) / pi for sets of one size and
+    less for others. Small sets have a chance of up to 3/16 at 0.8, that of four of five shingles.
     """
-    out: list[tuple[int, int]] = []
-    left_a, left_b = np.full(len(a["node"]), most), np.full(len(b["node"]), most)
-    other = left_a if same else left_b
-    for i in range(0, len(left_a), TILE):
-        for j in range(i if same else 0, len(left_b), TILE):
-            near = np.bitwise_count(a["f0"][i : i + TILE, None] ^ b["f0"][None, j : j + TILE]) <= COPY_HALF
-            if same and i == j:
-                near = np.triu(near, 1)
-            r, c = np.divmod(np.flatnonzero(near), near.shape[1])
-            r, c = r + i, c + j
-            wanted = (left_a[r] > 0) | (other[c] > 0)
-            r, c = r[wanted], c[wanted]
-            bits = np.bitwise_count(a["f0"][r] ^ b["f0"][c]).astype(int) + np.bitwise_count(a["f1"][r] ^ b["f1"][c])
-            # sets whose sizes are further apart than the similarity cannot reach it
-            sized = np.minimum(a["n"][r], b["n"][c]) >= least * np.maximum(a["n"][r], b["n"][c])
-            ok = sized & (bits <= COPY_RADIUS) & (a["label"][r] != b["label"][c]) & (a["node"][r] != b["node"][c])
-            for x, y in zip(r[ok].tolist(), c[ok].tolist(), strict=True):
-                if left_a[x] > 0 or other[y] > 0:
-                    pair = int(a["node"][x]), int(b["node"][y])
-                    pair = min(pair), max(pair)
-                    if pair not in failed:
-                        left_a[x] -= 1
-                        other[y] -= 1
-                        out.append(pair)
-    return out
-
-
-def candidate_pairs(nodes: DataFrame, parts: int, most: int, least: float = SIMILARITY) -> DataFrame:
-    """``(a, b)`` with a < b of ``nodes(node, f0, f1, n, label, failed)``, blocks of which meet in pairs."""
-    blocks = nodes.groupBy(F.pmod(F.xxhash64("node"), F.lit(parts)).alias("p")).agg(F.collect_list(F.struct("node", "f0", "f1", "n", "label", "failed")).alias("x"))
-    met = blocks.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    pairs = met.select(F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "x")
-
-    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        sides, failed = [], set()
-        for x in pdf.sort_values("p")["x"]:
-            sides.append({k: np.array([r[k] for r in x], np.int64) for k in ("node", "f0", "f1", "n", "label")})
-            sides[-1] |= {k: sides[-1][k].view(np.uint64) for k in ("f0", "f1")}
-            failed |= {(min(r["node"], o), max(r["node"], o)) for r in x if r["failed"] is not None for o in r["failed"]}
-        same = key[0] == key[1]
-        found = candidates(sides[0], sides[-1], same, failed, most, least) if same or len(sides) == 2 else []
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return pairs.groupBy("i", "j").applyInPandas(compare, "a long, b long").distinct()
-
-
-def copies(docs: DataFrame, text: str = "text", words_in_shingle: int = COPY_SHINGLE, least: float = SIMILARITY, block: int = COPY_BLOCK) -> DataFrame:
-    """``(node, root)`` of each text (its ``xxhash64``) that a chain of texts of similarity ``least`` or more links to another.
-
-    SimHash of 128 bits proposes pairs, the Jaccard index of the whole texts' shingles decides. A round proposes a few
-    pairs of each text that are not linked yet and have not failed, more in each round, until there are none: a group
-    of near copies costs pairs in proportion to its size, and no pair is left undecided.
+    p = math.acos(min(1.0, 2 * least / (1 + least))) / math.pi + (0.036 if small else 0)
+    return math.ceil(bits * p + SPREAD * math.sqrt(bits * p * (1 - p)))
+
+
+def copy_links(a: dict[str, np.ndarray], b: dict[str, np.ndarray], same: bool, least: float = SIMILARITY) -> Iterator[tuple[int, int]]:
+    """Pairs of nodes that connect the members of two blocks (or of one, if ``same``) as pairs that may be near copies do.
+
+    These have sizes ``n`` and fingerprints ``f0`` to ``f3`` that similarity ``least`` allows. Blocks are in the order of
+    size, so a tile of rows meets a range of columns; tiles whose population counts differ beyond the radius are passed.
+    """
+    counts = [sum(np.bitwise_count(x[f"f{i}"]).astype(np.int64) for i in range(4)) for x in (a, b)]
+    for i in range(0, len(a["n"]), TILE):
+        rows = slice(i, i + TILE)
+        small = a["n"][i] <= SMALL
+        half, radius = reach(64, least, small), reach(256, least, small)
+        low, high = counts[0][rows].min(), counts[0][rows].max()
+        first, last = np.searchsorted(b["n"], [a["n"][rows][0] * least - 1e-9, a["n"][rows][-1] / least + 1e-9])
+        for j in range(max(int(first), i) if same else int(first), int(last), _WIDE):
+            cols = slice(j, min(j + _WIDE, int(last)))
+            if counts[1][cols].min() - high > radius or low - counts[1][cols].max() > radius:
+                continue
+            r, c = np.nonzero(np.bitwise_count(a["f0"][rows][:, None] ^ b["f0"][cols][None, :]) <= half)
+            x, y = r + i, c + j
+            apart = sum(np.bitwise_count(a[f"f{k}"][x] ^ b[f"f{k}"][y]).astype(np.int64) for k in range(4))
+            sized = np.minimum(a["n"][x], b["n"][y]) >= least * np.maximum(a["n"][x], b["n"][y]) - 1e-9
+            ok = (apart <= radius) & sized & (a["node"][x] != b["node"][y])
+            if same:
+                ok &= x < y
+            if ok.any():
+                mask = np.zeros((rows.stop - i, cols.stop - j), bool)
+                mask[r[ok], c[ok]] = True
+                yield from ((int(a["node"][i + p]), int(b["node"][j + q])) for p, q in tile_edges(mask))
+
+
+def copy_edges(nodes: DataFrame, least: float = SIMILARITY, sizes: tuple[int, int] = COPY_BLOCK) -> DataFrame:
+    """``(a, b)``: edges that connect the ``nodes(node, n, f0, f1, f2, f3)`` which may be near copies.
+
+    Sizes of near copies lie in one band or in neighbouring ones, so only blocks of these meet. A set too small for any
+    other to reach ``least`` is passed over.
     """
+    band = F.floor(F.log(F.col("n").cast("double")) / -math.log(least)).cast("int")
+    shaped = nodes.where(F.col("n") / (F.col("n") + 1) >= least - 1e-9).withColumn("w", band)
+    # a band for each factor of 1 / least in size
+    count = {r["w"]: r["n"] for r in shaped.groupBy("w").agg(F.count("*").alias("n")).collect()}
+    parts = {w: -(-n // max(sizes[0], min(sizes[1], n // 16))) for w, n in count.items()}
+    pairs = _met(shaped.select("w", "node", F.struct("node", "n", "f0", "f1", "f2", "f3").alias("x")), "node", parts, 1)
+
+    def compare(found: pa.Table) -> pa.Table:
+        sides = []
+        for i in sorted(range(found.num_rows), key=lambda i: not found.column("first")[i].as_py()):
+            one = found.column("xs")[i].values
+            x = {k: one.field(k).to_numpy(zero_copy_only=False) for k in ("node", "n", "f0", "f1", "f2", "f3")}
+            order = np.argsort(x["n"], kind="stable")
+            sides.append({k: v[order].view(np.uint64) if k[0] == "f" else v[order] for k, v in x.items()})
+        return _edges(forest(copy_links(sides[0], sides[-1], len(sides) == 1, least)))
+
+    return pairs.groupBy("p", "q").applyInArrow(compare, "a long, b long")
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+
+def near_sets(a: list[np.ndarray], b: list[np.ndarray] | None = None, least: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Row and column numbers that connect sets as all links of a Jaccard index of ``least`` or more do: those between
+    ``a`` and ``b``, or within ``a``. Sets are arrays of distinct values, none empty, in the order of their size."""
+    same, sets = b is None, a + (b or [])
+    n = np.array([len(x) for x in sets], np.int64)
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(n)
+    starts, first = ends - n, 0 if same else len(a)
+    marked, label, edges = np.zeros(len(values), np.int32), np.arange(len(sets)), []
+    for i in range(len(a)):
+        low, high = first + np.searchsorted(n[first:], [n[i] * least - 1e-9, n[i] / least + 1e-9])
+        low = max(int(low), i + 1) if same else int(low)
+        if low >= high:
+            continue
+        own = ids[starts[i] : ends[i]]
+        marked[own] = 1
+        both = np.add.reduceat(marked[ids[starts[low] : ends[high - 1]]], starts[low:high] - starts[low])
+        marked[own] = 0
+        for j in (low + np.flatnonzero(both / (n[i] + n[low:high] - both) >= least)).tolist():
+            if label[j] != label[i]:
+                edges.append((i, j - first))
+                label[label == label[j]] = label[i]
+    return edges
+
+
+def copies(marked: DataFrame, docs: DataFrame, words_in_shingle: int = COPY_SHINGLE, least: float = SIMILARITY, held: int = SETS) -> DataFrame:
+    """``(node, root)`` of each text that a chain of texts of similarity ``least`` or more links to a text of another node.
+
+    ``docs(k, h, t)`` are the texts, ``marked`` what ``with_copy_marks`` makes of them. SimHash says which nodes may be
+    linked; the shingles of the texts of each of the groups so formed are then compared exactly, a group beyond ``held``
+    bytes in pairs of blocks. So each text of a group travels once, and pairs are never rows.
+    """
+    nodes = cut(marked.select("node", "n", "f0", "f1", "f2", "f3").distinct())
+    group = components(copy_edges(nodes, least)).withColumnRenamed("root", "g")
+    # one row for each node that is in a group
+    chosen = cut(marked.join(group, "node").groupBy("node").agg(F.first("g").alias("g"), F.first("n").alias("n"), F.min(F.struct("h", "k")).alias("one")).select("node", "g", "n", F.col("one.h").alias("h1"), F.col("one.k").alias("k1")))
+    weight = chosen.groupBy("g").agg((8 * F.sum("n")).alias("size"))
+    total = weight.agg(F.sum("size")).first()[0] or 0
+    # at most one group for each ``held`` bytes of sets
+    big = weight.where(F.col("size") > held).select("g", F.ceil(F.col("size") / held).alias("parts"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingles(t, words_in_shingle).tobytes() for t in raw_texts(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], ["node", "g", "x"])
+
+    texts = docs.join(chosen, (F.col("h") == F.col("h1")) & F.col("k").eqNullSafe(F.col("k1"))).select("node", "g", "t").mapInArrow(sets, "node long, g long, x binary")
+    placed = texts.join(F.broadcast(big), "g", "left").withColumn("s", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))))
+    met = placed.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1)))
+    tasks = max(8, min(TASKS, -(-total // held)))
+    deal = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("g"), F.lit(tasks))).otherwise(F.col("g"))
+    pairs = met.select(F.col("parts").isNotNull().alias("big"), deal.alias("d"), F.least("s", "o").alias("p"), F.greatest("s", "o").alias("q"), "s", "node", "g", "x")
+
+    def judge(found: pa.Table) -> pa.Table:
+        names, of_group, side = (found.column(c).to_numpy() for c in ("node", "g", "s"))
+        rows, out = found.column("x").to_pylist(), []
+        _, once = np.unique(names, return_index=True)  # rows that repeat
+        sized = sorted(once.tolist(), key=lambda i: (of_group[i], len(rows[i]), names[i]))
+        for part in np.split(np.array(sized), np.flatnonzero(np.diff(of_group[sized])) + 1):
+            ids = [part[side[part] == s] for s in np.unique(side[part])]
+            cross = found.column("p")[0].as_py() != found.column("q")[0].as_py()
+            if len(part) < 2 or cross and len(ids) < 2:
+                continue
+            a, b = ids[0], ids[-1] if cross else ids[0]
+            read = lambda which: [np.frombuffer(rows[i], np.uint64) for i in which]
+            out += [(int(names[a[i]]), int(names[b[j]])) for i, j in near_sets(read(a), read(b) if cross else None, least)]
+        return _edges(out)
+
+    keys = ["big", "d", "p", "q"]
+    return components(pairs.repartition(int(tasks), *keys).groupBy(*keys).applyInArrow(judge, "a long, b long"))
+
+
+def with_copy_marks(docs: DataFrame, words_in_shingle: int = COPY_SHINGLE) -> DataFrame:
+    """``(k, h, node, n, f0, f1, f2, f3)`` of each row of ``docs(k, h, t)``: ``node`` is a hash of the text's set of
+    shingles, so texts with equal sets are one node; ``n`` is its size, the rest a SimHash of 256 bits."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t, words_in_shingle) for t in raw_texts(batch.column(1))]
-            made = [(*wide(x), len(x)) for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([x[i] for x in made], pa.int64()) for i in range(3)]], ["node", "f0", "f1", "n"])
+            made = [(xxh64_intdigest(x.tobytes()), len(x), *wide(x)) for x in (shingles(t, words_in_shingle) for t in raw_texts(batch.column(2)))]
+            node = pa.array(np.fromiter((x[0] for x in made), np.uint64, len(made)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), node, *[pa.array([x[i] for x in made], pa.int64()) for i in range(1, 6)]], ["k", "h", "node", "n", "f0", "f1", "f2", "f3"])
 
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ta, tb = raw_texts(batch.column(2)), raw_texts(batch.column(3))
-            said = [similarity(shingles(x, words_in_shingle), shingles(y, words_in_shingle)) >= least for x, y in zip(ta, tb, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(said, pa.bool_())], ["a", "b", "linked"])
-
-    whole = docs.select(F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    nodes = cut(whole.mapInArrow(sign, "node long, f0 long, f1 long, n long").distinct())
-    state = nodes.select("*", F.col("node").alias("label"), F.lit(None).cast("array<long>").alias("failed"))
-    judged, most = None, 1
-    while True:
-        parts = max(8, -(-state.count() // block))
-        pairs = cut(candidate_pairs(state, parts, most, least))
-        if pairs.isEmpty():
-            break
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        texts = whole.join(ends, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t"))
-        with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
-        with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
-        new = with_b.mapInArrow(decide, "a long, b long, linked boolean")
-        judged = cut(new if judged is None else judged.unionByName(new))
-        # from here on only texts with a pair can be in another
-        active = judged.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        bad = judged.where("not linked")
-        apart = bad.select(F.col("a").alias("node"), F.col("b").alias("o")).groupBy("node").agg(F.collect_list("o").alias("failed"))
-        label = components(judged.where("linked").select("a", "b")).withColumnRenamed("root", "label")
-        joined = nodes.join(active, "node", "left_semi").join(label, "node", "left").join(apart, "node", "left")
-        state = cut(joined.select("node", "f0", "f1", "n", F.coalesce("label", "node").alias("label"), "failed"))
-        most *= 4
-    return state.where("node <> label").select("node", F.col("label").alias("root"))
+    return docs.mapInArrow(sign, f"k {docs.schema['k'].dataType.simpleString()}, h long, node long, n long, f0 long, f1 long, f2 long, f3 long")
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words_in_shingle: int = COPY_SHINGLE, least: float = SIMILARITY) -> DataFrame:
     """One row of each group of near copies: that with the smallest key, of rows with equal keys the one with the
     smallest text hash. Groups are of texts, so rows with equal keys and different texts are each in their own.
 
-    Rows with a null key have no identity that a decision could name, so they stay.
+    Texts are near copies at a Jaccard index of ``least`` or more of their sets of shingles, A-Z lowered. Null texts are
+    empty, and texts without words are copies of each other. Of rows equal in key and text one stays, by a hash of all
+    columns. Rows with a null key have no identity that a decision could name, so they stay. Columns may have any name;
+    an empty table gives no rows.
     """
-    names = docs.columns
-    hashed = docs.withColumn("__h", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    roots = copies(docs, text, words_in_shingle, least).select(F.col("node").alias("__h"), F.col("root").alias("__r"))
-    # copies are met by aggregation before they are by root
-    known = hashed.where(F.col(key).isNotNull()).groupBy("__h").agg(F.min(key).alias("__k")).join(roots, "__h", "left")
-    chosen = known.groupBy(F.coalesce("__r", "__h").alias("__r")).agg(F.min(F.struct("__k", "__h")).alias("__m")).select("__m.__k", "__m.__h")
-    kept = hashed.join(chosen.withColumnRenamed("__h", "__g"), (F.col(key) == F.col("__k")) & (F.col("__h") == F.col("__g")), "left_semi")
-    first = kept.withColumn("__n", F.row_number().over(Window.partitionBy(key, "__h").orderBy("__h"))).where("__n = 1")
-    return first.select(*names).unionByName(docs.where(F.col(key).isNull()))
+    plain, at = sealed(docs)
+    k = at(key)
+    hashed = plain.withColumn("h", F.xxhash64(F.coalesce(F.col(at(text)), F.lit(""))))
+    whole = hashed.select(F.col(k).alias("k"), "h", F.coalesce(F.col(at(text)), F.lit("")).alias("t"))
+    marked = cut(with_copy_marks(whole, words_in_shingle))
+    root = copies(marked, whole, words_in_shingle, least)
+    # equal texts are met by aggregation before groups are
+    known = marked.where("k is not null").groupBy("node").agg(F.min(F.struct("k", "h")).alias("one")).join(root, "node", "left")
+    chosen = known.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("one").alias("one")).select(F.col("one.k").alias("k1"), F.col("one.h").alias("h1"))
+    kept = hashed.join(chosen, (F.col(k) == F.col("k1")) & (F.col("h") == F.col("h1")), "left_semi")
+    every = F.xxhash64(*[F.col(c).cast("string") for c in plain.columns])
+    first = kept.withColumn("n", F.row_number().over(Window.partitionBy(k, "h").orderBy(every))).where("n = 1")
+    return first.select(*plain.columns).unionByName(plain.where(F.col(k).isNull())).toDF(*docs.columns)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
