@@ -35,7 +35,7 @@ SPREAD = 4.3
 SMALL = 8
 #: Texts of about one size in a block: 65,536, or a sixteenth of them, up to 262,144.
 COPY_BLOCK = (65_536, 262_144)
-#: Bytes of shingle sets that a task holds on a side.
+#: Bytes of shingle sets that a task holds on a side of one group.
 SETS = 4 << 20
 #: Tasks that pairs of blocks are dealt to at most.
 TASKS = 4096
@@ -281,8 +281,8 @@ def copies(marked: DataFrame, docs: DataFrame, words_in_shingle: int = COPY_SHIN
     """``(node, root)`` of each text that a chain of texts of similarity ``least`` or more links to a text of another node.
 
     ``docs(k, h, t)`` are the texts, ``marked`` what ``with_copy_marks`` makes of them. SimHash says which nodes may be
-    linked; the shingles of the texts of each of the groups so formed are then compared exactly, a group beyond ``held``
-    bytes in pairs of blocks. So each text of a group travels once, and pairs are never rows.
+    linked; the shingles of the texts of each of the groups so formed are then compared exactly, a large group in
+    pairs of blocks of ``held`` bytes or less. So each text of a small group travels once, and pairs are never rows.
     """
     nodes = cut(marked.select("node", "n", "f0", "f1", "f2", "f3").distinct())
     group = components(copy_edges(nodes, least)).withColumnRenamed("root", "g")
@@ -290,16 +290,17 @@ def copies(marked: DataFrame, docs: DataFrame, words_in_shingle: int = COPY_SHIN
     chosen = cut(marked.join(group, "node").groupBy("node").agg(F.first("g").alias("g"), F.first("n").alias("n"), F.min(F.struct("h", "k")).alias("one")).select("node", "g", "n", F.col("one.h").alias("h1"), F.col("one.k").alias("k1")))
     weight = chosen.groupBy("g").agg((8 * F.sum("n")).alias("size"))
     total = weight.agg(F.sum("size")).first()[0] or 0
-    # at most one group for each ``held`` bytes of sets
-    big = weight.where(F.col("size") > held).select("g", F.ceil(F.col("size") / held).alias("parts"))
+    # up to eight blocks of an eighth, then blocks of ``held`` bytes
+    blocks = F.greatest(F.ceil(F.col("size") / held), F.least(F.lit(8), F.ceil(8 * F.col("size") / held)))
+    chosen = chosen.join(weight.where(8 * F.col("size") > held).select("g", blocks.alias("parts")), "g", "left")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [shingles(t, words_in_shingle).tobytes() for t in raw_texts(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], ["node", "g", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary()), batch.column(3)], ["node", "g", "x", "parts"])
 
-    texts = docs.join(chosen, (F.col("h") == F.col("h1")) & F.col("k").eqNullSafe(F.col("k1"))).select("node", "g", "t").mapInArrow(sets, "node long, g long, x binary")
-    placed = texts.join(F.broadcast(big), "g", "left").withColumn("s", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))))
+    texts = docs.join(chosen, (F.col("h") == F.col("h1")) & F.col("k").eqNullSafe(F.col("k1"))).select("node", "g", "t", "parts").mapInArrow(sets, "node long, g long, x binary, parts long")
+    placed = texts.withColumn("s", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))))
     met = placed.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1)))
     tasks = max(8, min(TASKS, -(-total // held)))
     deal = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("g"), F.lit(tasks))).otherwise(F.col("g"))
