@@ -62,3 +62,25 @@ def test_recall_at_the_threshold():
     found = {(int(i), int(j)) for x, y in links(a, b, False) for i, j in zip(x, y, strict=True)}
     exact = set(zip(*(x.tolist() for x in np.nonzero(a @ b.T >= 0.95)), strict=True))
     assert found <= exact and len(found) >= 0.999 * len(exact) and allowed_misses(16) < 8
+
+
+def test_query_against_sql(spark, tmp_path):
+    """The given tables have no links, so a table with links, copies and bad vectors is held against the SQL."""
+    import duckdb
+
+    from trivox.llm.embeddings import OP8_SQL, op8_embeddings
+
+    rows = [(int(i), [float(y) for y in v]) for i, v in enumerate(made(5, 400, 64, 0.2))]
+    rows += [(900, None), (901, [0.0] * 64), (902, [1.0, None]), (903, [float("nan")] * 64), (904, rows[3][1]), (905, rows[399][1])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = duck.execute(OP8_SQL).fetchall()
+    got = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in op8_embeddings(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want) and sum(1 for _, n, *_ in want if n) > 20
+
+
+def test_keys_of_text(spark):
+    rows = [("b", [1.0, 0.0]), ("a", [1.0, 0.01]), (None, [1.0, 0.02]), ("c", [0.0, 1.0])]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id string, embedding array<float>")).collect()
+    assert sorted(map(str, map(tuple, got))) == ["('a', 2, 'a', True)", "('b', 2, 'a', False)", "('c', 0, 'c', True)", "(None, 2, 'a', False)"]

@@ -1,10 +1,11 @@
 """Near-duplicate vectors by collision-counting projections (operator 8).
 
 Unit vectors are turned by a random rotation, which gives as many one-dimensional projections as there are dimensions.
-A pair collides in a projection if one lies in the window centred on the other. For a pair at the threshold the number
-of windows missed is binomial, whatever the pair, so the count that it must pass is set from the wanted recall; pairs
-that pass are verified by their cosine. Blocks of vectors meet in pairs, one task each. There one projection is sorted,
-so a tile of queries reads a contiguous range, and counts go on over further projections for pairs that still can pass.
+Blocks of vectors meet in pairs, one task each, and there each of many projections is sorted. A query's window in a
+projection, centred on its value, is then a range of ranks, found by two binary searches; a vector collides with the query
+if its rank lies in it. Collisions are counted per pair. For a pair at the threshold the number of windows missed is
+binomial, whatever the pair, so the count that it must pass is set from the wanted recall; pairs that pass are verified
+by their cosine. The order of the first projection also bounds the columns that a tile of queries can meet at all.
 
 Equal vectors are one node from the start, and tasks return numbers of links by node and a spanning forest, not links.
 """
@@ -29,6 +30,8 @@ WIDTH = 2.5
 MISS = 1e-6
 #: Vectors in a block, on average at most.
 BLOCK = 8192
+#: Tasks that pairs of blocks are dealt to at most.
+TASKS = 4096
 _ROWS, _COLS, _DENSE, _VERIFY = 256, 2048, 16, 1 << 15
 
 
@@ -61,14 +64,23 @@ def links(a: np.ndarray, b: np.ndarray, same: bool, cosine: float = COSINE) -> I
     first, later = allowed_misses(dense), min(2 * _DENSE, dim)
     last = allowed_misses(later)
     reach = np.float32(radius + 1e-5)  # no projection of a link differs by more
+    sorted_b = np.sort(qb[:dense], axis=1)
+    kind = np.uint16 if len(b) < 1 << 16 else np.uint32
+    ranks = np.empty((dense, len(b)), kind)
+    for p in range(dense):
+        ranks[p, np.argsort(qb[p], kind="stable")] = np.arange(len(b), dtype=kind)
     for i in range(0, len(a), _ROWS):
         rows = qa[:, i : i + _ROWS]
         lo, hi = np.searchsorted(qb[0], [rows[0, 0] - reach, rows[0, -1] + reach])
+        # windows as ranges of ranks, centred on the queries
+        opens = np.array([np.searchsorted(sorted_b[p], rows[p] - window, side="left") for p in range(dense)], kind)
+        sizes = np.array([np.searchsorted(sorted_b[p], rows[p] + window, side="right") for p in range(dense)], kind) - opens
         for j in range(int(lo), int(hi), _COLS):
             cols = qb[:, j : min(j + _COLS, int(hi))]
             missed = np.zeros((rows.shape[1], cols.shape[1]), np.uint8)
             for p in range(dense):
-                missed += np.abs(rows[p][:, None] - cols[p][None, :]) > window
+                # ranks below the window wrap round to large numbers
+                missed += ranks[p, None, j : j + cols.shape[1]] - opens[p, :, None] >= sizes[p, :, None]
                 if p == dense // 2 and missed.min() > first:
                     break
             r, c = np.nonzero(missed <= first)
@@ -103,8 +115,10 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     """
     rows = vectors.select(F.col(key).alias("k"), F.col(vector).alias("e"), _finite(vector).alias("valid"))
     name = F.concat(F.lpad(F.hex(F.xxhash64("e")), 16, "0"), F.lpad(F.hex(F.xxhash64(F.reverse("e"), F.lit(1))), 16, "0"))
-    rows = rows.withColumn("node", F.when(F.col("valid"), name))
-    nodes = cut(rows.where("valid").groupBy("node").agg(F.first("e").alias("e"), F.count("*").alias("n"), F.min("k").alias("m")))
+    rows = rows.withColumn("h", F.when(F.col("valid"), name))
+    each = rows.where("valid").groupBy("h").agg(F.first("e").alias("e"), F.count("*").alias("n"), F.min("k").alias("m"))
+    # a node starts with its smallest key, so the smallest node of a component has the component's
+    nodes = cut(each.select(F.struct(F.when(F.col("m").isNull(), 1).when(F.col("m").isNotNull(), 0).alias("z"), "m", "h").alias("node"), "e", "n"))
     dims = {r["d"]: -(-r["n"] // block) for r in nodes.groupBy(F.size("e").alias("d")).agg(F.count("*").alias("n")).collect()}
     shape = vectors.sparkSession.createDataFrame(list(dims.items()), "d int, parts long")
     placed = nodes.withColumn("d", F.size("e")).join(F.broadcast(shape), "d").withColumn("s", F.pmod(F.xxhash64("node"), "parts"))
@@ -118,7 +132,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
             one = found.column("v")[i].values
             e = one.field("e").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(one), -1)
             e = e / np.abs(e).max(axis=1, keepdims=True)
-            sides.append((np.array(one.field("node").to_pylist(), object), e / np.linalg.norm(e, axis=1, keepdims=True), one.field("n").to_numpy()))
+            sides.append((one.field("node"), e / np.linalg.norm(e, axis=1, keepdims=True), one.field("n").to_numpy()))
         (ids, a, na), (jds, b, nb) = sides[0], sides[-1]
         same, counts, edges = len(sides) == 1, [np.zeros(len(x[0]), np.int64) for x in sides], []
         for x, y in links(a, b, same, cosine):
@@ -126,21 +140,22 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
             counts[-1] += np.bincount(y, na[x], len(jds)).astype(np.int64)
             shift = 0 if same else len(ids)
             edges = forest(edges + [(int(r), int(c) + shift) for r, c in _thinned(x, y)])
-        names = ids if same else np.concatenate((ids, jds))
-        some = [np.flatnonzero(c) for c in counts]
-        return pa.table({
-            "a": pa.array([ids[i] for i in some[0]] + ([] if same else [jds[i] for i in some[1]]) + [names[a] for a, _ in edges], pa.string()),
-            "b": pa.array([None] * sum(len(x) for x in (some if not same else some[:1])) + [names[b] for _, b in edges], pa.string()),
-            "n": pa.array([int(counts[0][i]) for i in some[0]] + ([] if same else [int(counts[1][i]) for i in some[1]]) + [0] * len(edges), pa.int64()),
-        })
-
-    found = cut(pairs.groupBy("d", "p", "q").applyInArrow(compare, "a string, b string, n long"))
+        names = ids if same else pa.concat_arrays([ids, jds])
+        some = np.flatnonzero(np.concatenate(counts[: 1 if same else 2]))
+        ends = np.array(edges, np.int64).reshape(-1, 2)
+        n = np.concatenate((np.concatenate(counts[: 1 if same else 2])[some], np.zeros(len(ends), np.int64)))
+        a_, b_ = names.take(pa.array(np.concatenate((some, ends[:, 0])))), pa.concat_arrays([pa.nulls(len(some), names.type), names.take(pa.array(ends[:, 1]))])
+        return pa.table({"a": a_, "b": b_, "n": pa.array(n)})
+
+    kind = nodes.schema["node"].dataType.simpleString()
+    tasks = sum(p * (p + 1) // 2 for p in dims.values())
+    dealt = pairs.repartition(max(1, min(TASKS, tasks)), "d", "p", "q")
+    found = cut(dealt.groupBy("d", "p", "q").applyInArrow(compare, f"a {kind}, b {kind}, n long"))
     counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("l"))
     root = components(found.where("b is not null").select("a", "b"))
-    rooted = nodes.select("node", "n", "m").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("m").alias("component_id"))
-    facts = cut(rooted.join(least, "root").join(counts, "node", "left").select("node", (F.coalesce("l", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"))
-    good, bad = rows.where("valid").join(facts, "node"), rows.where("not valid")
+    facts = nodes.select("node", "n").join(root, "node", "left").join(counts, "node", "left")
+    facts = cut(facts.select(F.col("node.h").alias("h"), (F.coalesce("l", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "node")["m"].alias("component_id")))
+    good, bad = rows.where("valid").join(facts, "h"), rows.where("not valid")
     both = good.select("k", "n_links", "component_id").unionByName(bad.select("k", F.lit(0).cast("long").alias("n_links"), F.col("k").alias("component_id")))
     return both.select(F.col("k").alias(key), "n_links", "component_id", F.col("k").eqNullSafe(F.col("component_id")).alias("kept"))
 
@@ -160,3 +175,16 @@ def _thinned(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT c.vec_id AS vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id AS component_id, c.vec_id = c.component_id AS kept
+FROM c LEFT JOIN n ON n.vec_id = c.vec_id
+"""

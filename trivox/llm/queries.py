@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trivox.llm.bpe import op7_bpe
-from trivox.llm.embeddings import op8_embeddings
+from trivox.llm.embeddings import OP8_SQL, op8_embeddings
 from trivox.llm.langid import op3_langid
 from trivox.llm.linededup import OP6_SQL, op6_linededup
 from trivox.llm.mixing import op10_mixing
@@ -23,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_linededup": OP6_SQL}
+    return {"op6_linededup": OP6_SQL, "op8_embeddings": OP8_SQL}
