@@ -1,12 +1,16 @@
 """Byte-level BPE over a corpus by a global shuffle of distinct words (operator 7).
 
 1. Tasks split texts into pre-tokens and take chunks of documents together. A chunk has each distinct word once and, for
-   every position, the number of its word: the exploded pre-tokens, in columns.
-2. The words of all chunks meet by a hash of the word; each distinct one is encoded once by the merge ranks.
+   every position, the number of its word: the exploded pre-tokens, in columns. Chunks are dealt out by their number.
+2. From there the words of all chunks meet by a hash of the word, in parts whose number follows the size of the corpus;
+   each distinct one is encoded once by the merge ranks. A task holds the distinct words of one part at a time.
 3. The ids go back to the chunk, whose tasks join them to the positions in order and so put the documents together.
 
-Words and positions travel as compressed columns of a chunk, so a shuffle moves less than the texts. The token-byte
-table for decoding is as large as the vocabulary, not the corpus, and is read by each worker.
+Words and positions travel as compressed columns of a chunk, so a shuffle moves less than the texts; positions move once.
+The token-byte table for decoding is as large as the vocabulary, not the corpus, and is read by each worker.
+
+A chunk's number is that of its task and its place in it, so a task that is run again must read the same rows in the same
+order, as it does from files and checkpoints: a result of a shuffle should be written first.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -30,8 +34,9 @@ from trivox.llm.common import table
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Characters of the documents in a chunk, unless one document has more.
 CHUNK = 12_000_000
-#: Parts into which a hash deals out words: a task holds the distinct words of a part. 65,536 at most.
-PARTS = 256
+#: Bytes of text for each part into which a hash deals out words, and the fewest and most parts.
+PART_TEXT = 64 << 20
+PARTS = (64, 65_536)
 _SLICE = 1 << 18
 _LETTER, _NUMBER, _OTHER, _SPACE = range(4)
 
@@ -144,7 +149,7 @@ def _unpack(data: bytes, *kinds: type | None) -> list:
     return out
 
 
-def _chunk(keys: list, texts: list[str]) -> Iterator[tuple[int, bytes, list | None, list | None]]:
+def _chunk(keys: list, texts: list[str], parts: int = PARTS[0]) -> Iterator[tuple[int, bytes, list | None, list | None]]:
     """``(part, data, keys, counts)``: the positions (part -1) and the words of each part."""
     number: dict[str, int] = {}
     counts, places = [], []
@@ -158,50 +163,56 @@ def _chunk(keys: list, texts: list[str]) -> Iterator[tuple[int, bytes, list | No
     rank[order] = np.arange(len(number), dtype=np.uint32)
     all_words = [w.encode() for w in number]
     words = [all_words[i] for i in order.tolist()]
-    part = np.fromiter((crc32(w) % PARTS for w in words), np.uint16, len(words))
+    part = np.fromiter((crc32(w) % parts for w in words), np.uint16, len(words))
     yield -1, _pack(rank[place] if len(place) else place, part), keys, counts
     for p in np.unique(part).tolist():
         own = [words[i] for i in np.flatnonzero(part == p).tolist()]
         yield p, _pack(np.array([len(w) for w in own], np.uint32), b"".join(own)), None, None
 
 
-def _encoded(docs: DataFrame, key: str, text: str, path: str) -> DataFrame:
-    """``(chunk, part, data, keys, counts)``, the words of parts replaced by their ids."""
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"route int, chunk long, part int, data binary, keys array<{kind}>, counts array<int>"
+def _joined(docs: DataFrame, key: str, text: str, path: str, join: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """What ``join`` makes of each chunk's positions ``(part -1, data, keys, counts)`` and encoded words ``(part, data)``."""
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    kind = rows.schema["k"].dataType.simpleString()
+    size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    n_parts = max(PARTS[0], min(PARTS[1], -(-size // PART_TEXT)))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, keys, texts, held = TaskContext.get().partitionId() << 32, [], [], 0
 
-        def rows() -> pa.RecordBatch:
-            parts, data, of_keys, of_counts = zip(*_chunk(keys, texts), strict=True)
-            routes = [p if p >= 0 else crc32(str(chunk).encode()) % PARTS for p in parts]
+        def made() -> pa.RecordBatch:
+            parts, data, of_keys, of_counts = zip(*_chunk(keys, texts, n_parts), strict=True)
             return pa.RecordBatch.from_arrays(
-                [pa.array(routes, pa.int32()), pa.array([chunk] * len(parts), pa.int64()), pa.array(parts, pa.int32()), pa.array(data, pa.binary()), pa.array(of_keys, pa.list_(key_type)), pa.array(of_counts, pa.list_(pa.int32()))],
-                ["route", "chunk", "part", "data", "keys", "counts"],
+                [pa.array([chunk] * len(parts), pa.int64()), pa.array(parts, pa.int32()), pa.array(data, pa.binary()), pa.array(of_keys, pa.list_(key_type)), pa.array(of_counts, pa.list_(pa.int32()))],
+                ["chunk", "part", "data", "keys", "counts"],
             )
 
         for batch in batches:
             key_type = batch.schema.field(0).type
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if texts and held + len(t or "") > CHUNK:
-                    yield rows()
+                    yield made()
                     chunk, keys, texts, held = chunk + 1, [], [], 0
                 keys.append(k)
                 texts.append(t or "")
                 held += len(t or "")
         if texts:
-            yield rows()
+            yield made()
+
+    def only_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # in Python, as a filter would go below the shuffle and each side would make its own
+            some = pa.array([p >= 0 for p in batch.column(1).to_pylist()], pa.bool_())
+            yield pa.RecordBatch.from_arrays(batch.columns[:3], ["chunk", "part", "data"]).filter(some)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, list[int]] = {}
-        coder = vocabulary(path)
+        coder, at_part = vocabulary(path), None
         for batch in batches:
             made = []
-            for p, data in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if p < 0:
-                    made.append(data)
-                    continue
+            for p, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if p != at_part:  # rows come by part
+                    known, at_part = {}, p
                 sizes, raw = _unpack(data, np.uint32, None)
                 ids, lengths, at = [], np.empty(len(sizes), np.uint32), 0
                 for i, n in enumerate(sizes.tolist()):
@@ -212,27 +223,30 @@ def _encoded(docs: DataFrame, key: str, text: str, path: str) -> DataFrame:
                     lengths[i] = len(own)
                     ids += own
                 made.append(_pack(lengths, np.array(ids, np.uint32)))
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(made, pa.binary()), batch.column(4), batch.column(5)], ["chunk", "part", "data", "keys", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], ["chunk", "part", "data"])
 
-    exploded = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(explode, schema)
-    return exploded.repartition("route").mapInArrow(encode, schema.removeprefix("route int, "))
+    columns = "chunk long, part int, data binary"
+    # both sides below read this one shuffle
+    chunks = rows.mapInArrow(explode, f"{columns}, keys array<{kind}>, counts array<int>").repartition("chunk")
+    words = chunks.mapInArrow(only_words, columns).repartitionByRange(int(n_parts), "part").sortWithinPartitions("part").mapInArrow(encode, columns)
+    return chunks.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(join, schema)
 
 
-def _assembled(table: pa.Table) -> Iterator[tuple[object, np.ndarray]]:
+def _assembled(chunk: pa.Table, words: pa.Table) -> Iterator[tuple[object, np.ndarray]]:
     """Each key of a chunk with the ids of its text."""
-    rows = {p: i for i, p in enumerate(table.column("part").to_pylist())}
-    first = rows.pop(-1)
-    place, part = _unpack(table.column("data")[first].as_py(), np.uint32, np.uint16)
+    first = chunk.column("part").to_pylist().index(-1)
+    place, part = _unpack(chunk.column("data")[first].as_py(), np.uint32, np.uint16)
+    rows = {p: i for i, p in enumerate(words.column("part").to_pylist())}
     lengths, starts, flat, at = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64), [], 0
     for p, i in rows.items():
-        n, ids = _unpack(table.column("data")[i].as_py(), np.uint32, np.uint32)
+        n, ids = _unpack(words.column("data")[i].as_py(), np.uint32, np.uint32)
         own = np.flatnonzero(part == p)
         lengths[own] = n
         starts[own] = at + np.cumsum(n, dtype=np.int64) - n
         flat.append(ids)
         at += len(ids)
     ids, at = np.concatenate(flat) if flat else np.zeros(0, np.uint32), 0
-    for key, n in zip(table.column("keys")[first].as_py(), table.column("counts")[first].as_py(), strict=True):
+    for key, n in zip(chunk.column("keys")[first].as_py(), chunk.column("counts")[first].as_py(), strict=True):
         yield key, gather(ids, starts, lengths, place[at : at + n])
         at += n
 
@@ -244,11 +258,11 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
     """
     kind = docs.schema[key].dataType.simpleString()
 
-    def join(table: pa.Table) -> pa.Table:
-        keys, ids = zip(*_assembled(table), strict=True)
-        return pa.table({"k": pa.array(keys, table.schema.field("keys").type.value_type), "ids": pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))})
+    def join(chunk: pa.Table, words: pa.Table) -> pa.Table:
+        keys, ids = zip(*_assembled(chunk, words), strict=True)
+        return pa.table({"k": pa.array(keys, chunk.schema.field("keys").type.value_type), "ids": pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))})
 
-    return _encoded(docs, key, text, path).groupBy("chunk").applyInArrow(join, f"k {kind}, ids array<int>").withColumnRenamed("k", key)
+    return _joined(docs, key, text, path, join, f"k {kind}, ids array<int>").withColumnRenamed("k", key)
 
 
 def decode(encoded: DataFrame, key: str = "doc_id", path: str = RANKS) -> DataFrame:
@@ -264,17 +278,19 @@ def decode(encoded: DataFrame, key: str = "doc_id", path: str = RANKS) -> DataFr
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = RANKS) -> DataFrame:
-    """``(key, n_tokens, ids_sha256, decoded_sha256)``: encodes and decodes in one pass, and keeps only digests."""
+    """``(key, n_tokens, ids_sha256, decoded_sha256)``: encodes and decodes in one pass, and keeps only digests.
+
+    Null texts are empty. Rows that repeat have a row each, null keys too; an empty table gives no rows."""
     kind = docs.schema[key].dataType.simpleString()
 
-    def join(table: pa.Table) -> pa.Table:
+    def join(chunk: pa.Table, words: pa.Table) -> pa.Table:
         out: dict[str, list] = {"k": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        for k, ids in _assembled(table):
+        for k, ids in _assembled(chunk, words):
             for column, value in zip(out.values(), (k, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(vocabulary(path).decode(ids)).hexdigest()), strict=True):
                 column.append(value)
-        return pa.table({"k": pa.array(out.pop("k"), table.schema.field("keys").type.value_type), "n_tokens": pa.array(out.pop("n_tokens"), pa.int64()), **out})
+        return pa.table({"k": pa.array(out.pop("k"), chunk.schema.field("keys").type.value_type), "n_tokens": pa.array(out.pop("n_tokens"), pa.int64()), **out})
 
-    made = _encoded(docs, key, text, path).groupBy("chunk").applyInArrow(join, f"k {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    made = _joined(docs, key, text, path, join, f"k {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return made.withColumnRenamed("k", key)
 
 
@@ -282,12 +298,12 @@ def tokenized(docs: DataFrame, key: str = "doc_id", text: str = "text", path: st
     """``(key, n_tokens, ids, decoded_sha256)`` for each row: the ids of its text, and the digest of what they decode to."""
     kind = docs.schema[key].dataType.simpleString()
 
-    def join(table: pa.Table) -> pa.Table:
-        keys, ids = zip(*_assembled(table), strict=True)
+    def join(chunk: pa.Table, words: pa.Table) -> pa.Table:
+        keys, ids = zip(*_assembled(chunk, words), strict=True)
         back = [hashlib.sha256(vocabulary(path).decode(x)).hexdigest() for x in ids]
-        return pa.table({"k": pa.array(keys, table.schema.field("keys").type.value_type), "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "ids": pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), "decoded_sha256": back})
+        return pa.table({"k": pa.array(keys, chunk.schema.field("keys").type.value_type), "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "ids": pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), "decoded_sha256": back})
 
-    made = _encoded(docs, key, text, path).groupBy("chunk").applyInArrow(join, f"k {kind}, n_tokens long, ids array<int>, decoded_sha256 string")
+    made = _joined(docs, key, text, path, join, f"k {kind}, n_tokens long, ids array<int>, decoded_sha256 string")
     return made.withColumnRenamed("k", key)
 
 
