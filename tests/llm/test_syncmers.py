@@ -56,3 +56,76 @@ def test_few_words_and_no_blanks(spark):
     got = {r.doc_id: r for r in fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(0.1 < r.near_edited < 1 for r in got.values()), {d: r.near_edited for d, r in got.items()}
     assert all(got[i].near_next < 0.1 for i in range(7))
+
+
+def brute_print(text):
+    """Fingerprint and steps of a text, written without Spark."""
+    import re
+
+    import xxhash
+
+    long = lambda x: (x & (2**64 - 1)).to_bytes(8, "little")
+
+    def chained(values):
+        h = 42
+        for v in values:
+            h = xxhash.xxh64_intdigest(v, h)
+        return h
+
+    words = [w for w in re.split(r"[ \t-\r]+", text) if w]
+    joined = " ".join(words)
+    if len(words) < 16 or len(joined) > 24 * len(words):
+        words = list(joined)
+    h = [chained([w.encode()]) for w in words]
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    found = []
+    if 0 < len(h) < 4:
+        found = [(0, chained([" ".join(str(signed(x)) for x in h).encode()]))]
+    m = [chained([long(h[i]), long(h[i + 1])]) for i in range(len(h) - 1)]
+    for i in range(len(h) - 3):
+        inner = [signed(x) for x in m[i : i + 3]]
+        if min(inner) in (inner[0], inner[-1]):
+            found.append((i, chained([long(m[i]), long(m[i + 2])])))
+    low = [x & 0xFFFFFFFF for _, x in found]
+    gaps = [p - (found[i - 1][0] if i else 0) for i, (p, _) in enumerate(found)]
+    code = [g << 32 | x for g, x in zip(gaps, low, strict=True)]
+    steps = {chained([long(low[i - 1]), long(code[i])]) for i in range(1, len(code))} if len(code) > 1 else {chained([long(x)]) for x in low}
+    return "".join(f"{c:09x}" for c in code), steps
+
+
+def test_against_brute_force(spark):
+    """Fingerprints and likenesses of real texts, of short ones and of scripts without blanks."""
+    import duckdb
+
+    rows = duckdb.sql("select doc_id, text from '/root/testdata/sf0.001/documents.parquet'").fetchall()
+    rows += [(10**9, None), (10**9 + 1, "a b"), (10**9 + 2, "é" * 70), (10**9 + 3, "漢字かな混じり文" * 30), (10**9 + 4, "漢字かな混じり文" * 29 + "終わり")]
+    got = {r.doc_id: r for r in fingerprints(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, `x.y` int")).collect()}
+    order = sorted(rows, reverse=True, key=lambda r: r[0])
+    like = lambda a, b: 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
+    for i, (d, t) in enumerate(order):
+        t, follows = t or "", order[(i + 1) % len(order)][1] or ""
+        take = len(t) // 3
+        (own, a), (changed, b) = brute_print(t), brute_print(t[: len(t) - take] + follows[:take])
+        assert (got[d].fingerprint, got[d].edited_fingerprint) == (own, changed)
+        assert abs(got[d].near_edited - like(a, b)) < 1e-12 and abs(got[d].near_next - like(a, brute_print(follows)[1])) < 1e-12
+
+
+def test_chinese_text_with_a_third_replaced(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(i, "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(900))) for i in range(3)]
+    assert all(0.6 < r.near_edited < 0.7 and r.near_next < 0.05 for r in fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
+def test_keys_of_text(spark):
+    rows = [(f"key{i:03d}", " ".join(f"w{i * 31 + j}" for j in range(30))) for i in range(50)] + [(None, "x y z")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: (r.n_chars, r.edited_sha256) for r in fingerprints(df).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or ""), reverse=True)
+    for i, (d, t) in enumerate(order):
+        take = len(t) // 3
+        assert got[d] == (len(t), hashlib.sha256((t[: len(t) - take] + order[(i + 1) % len(order)][1][:take]).encode()).hexdigest())
+    led = with_next(df.withColumn("__order", F.lit(0)), "doc_id", ["text"], range_rows=7)
+    follows = {d: order[(i + 1) % len(order)][1] for i, (d, _) in enumerate(order)}
+    assert {r.doc_id: r.next_text for r in led.collect()} == follows

@@ -2,27 +2,30 @@
 
 Words are hashed; a k-mer is k words in a row and an s-mer s words. A k-mer is an anchor if the smallest of its s-mer
 hashes is the first or the last one, which depends on nothing outside of it: the same passage has the same anchors
-wherever it stands. A fingerprint is the sorted smallest anchor hashes. Texts of few words, or of few for their length,
-as in scripts without blanks, have characters in place of words.
+wherever it stands. A fingerprint has all anchors of a text with their positions. Two fingerprints are matched by
+position: an anchor counts with the one behind it, if both texts have the two at the same distance. Texts of few words,
+or of few for their length, as in scripts without blanks, have characters in place of words.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from trivox.llm.common import table
+from trivox.llm.common import cut, sealed, table
 
 K = 4
 S = 2
-#: Anchor hashes in a fingerprint, 8 hex digits each.
-SIZE = 64
 #: A text of fewer words, or of more characters a word, is taken by its characters.
 FEW_WORDS = 16
 LONG_WORDS = 24
 #: Documents in a range of neighbours, and the most ranges.
 RANGE_ROWS = 4096
 MAX_RANGES = 100_000
+_LOW = 0xFFFFFFFF
 
 
 def _words(text: Column) -> Column:
@@ -61,11 +64,13 @@ def _anchors(hashes: Column, k: int, s: int) -> Column:
 
     def of_smers(x: Column) -> Column:
         h, m, inner = x["h"], x["m"], k - s
+        # s-mers that cover the k-mer
+        over = [*range(0, inner, s), inner]
         places = F.sequence(F.lit(0), F.size(h) - k)
         edge = lambda i: F.least(F.get(m, i), F.get(m, i + inner))
         inside = lambda i: F.least(*[F.get(m, i + j) for j in range(1, inner)], F.lit(2**63 - 1))
         chosen = F.filter(places, lambda i: edge(i) <= inside(i)) if inner > 1 else places
-        return F.transform(chosen, lambda i: F.struct(i.alias("pos"), F.xxhash64(*[F.get(h, i + j) for j in range(k)]).alias("hash")))
+        return F.transform(chosen, lambda i: F.struct(i.alias("pos"), F.xxhash64(*[F.get(m, i + j) for j in over]).alias("hash")))
 
     def given(h: Column) -> Column:
         whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(F.array_join(F.transform(h, lambda x: x.cast("string")), " ")).alias("hash")))
@@ -75,77 +80,106 @@ def _anchors(hashes: Column, k: int, s: int) -> Column:
     return F.get(F.transform(F.array(hashes), given), F.lit(0))
 
 
-def sketch(text: Column, k: int = K, s: int = S, size: int = SIZE) -> Column:
-    """The ``size`` smallest distinct anchor hashes, of words or characters, cut to 32 bits, in order."""
-    low = F.transform(_anchors(_units(F.coalesce(text, F.lit(""))), k, s), lambda a: a["hash"].bitwiseAND(F.lit(0xFFFFFFFF)))
-    return F.slice(F.array_sort(F.array_distinct(low)), 1, size)
+def fingerprint(text: Column, k: int = K, s: int = S) -> Column:
+    """All anchors of a text in their order, each as a long: its distance from the one before (the first one's from the
+    start) in the high half, 32 bits of its hash in the low one. A text without words, or null, has none."""
+
+    def coded(found: Column) -> Column:
+        at = lambda i: F.get(found, i)["pos"]
+        low = lambda i: F.get(found, i)["hash"].bitwiseAND(F.lit(_LOW))
+        gap = lambda i: (at(i) - F.when(i > 0, at(i - 1)).otherwise(0)).cast("long")
+        codes = F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.shiftleft(gap(i), 32).bitwiseOR(low(i)))
+        return F.when(F.size(found) > 0, codes).otherwise(F.array().cast("array<long>"))
+
+    found = F.array(_anchors(_units(F.coalesce(text, F.lit(""))), k, s))
+    return F.get(F.transform(found, coded), F.lit(0))
 
 
 def printed(made: Column) -> Column:
-    return F.array_join(F.transform(made, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    """A fingerprint as text, nine hex digits an anchor: one of distance, eight of hash."""
+    return F.array_join(F.transform(made, lambda x: F.lpad(F.lower(F.hex(x)), 9, "0")), "")
 
 
-def likeness(a: Column, b: Column, size: int = SIZE) -> Column:
-    """The share of the smallest hashes of both that are in either: an estimate of the Jaccard index of all anchors.
-    Two empty sketches are alike, an empty and another are not."""
-    both = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
-    share = F.size(F.array_intersect(F.array_intersect(a, b), both)) / F.size(both)
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(share)
+def steps(made: Column) -> Column:
+    """The distinct steps of a fingerprint: a hash of two neighbouring anchors and their distance. A single anchor is a
+    step of its own."""
+    low = lambda x: x.bitwiseAND(F.lit(_LOW))
+    pairs = F.transform(F.sequence(F.lit(1), F.size(made) - 1), lambda i: F.xxhash64(low(F.get(made, i - 1)), F.get(made, i)))
+    return F.when(F.size(made) > 1, F.array_distinct(pairs)).otherwise(F.transform(made, lambda x: F.xxhash64(low(x))))
 
 
-def with_next(docs: DataFrame, key: str, values: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
-    """``docs`` with ``next_<value>`` of the row that follows in descending order of ``key``; the first follows the last.
+def likeness(a: Column, b: Column) -> Column:
+    """Twice the steps that two arrays of steps share, over the steps of both: 1 for equal texts and about 2/3 where
+    two thirds are equal. Two empty ones are alike, an empty and another are not."""
+    both = F.size(a) + F.size(b)
+    return F.when(both == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(a, b)) / both)
 
-    Rows with equal keys go by ``__order``. The keys are cut into ranges at quantiles, so one sort and one shuffle of
-    the rows serve; the first row of each range is also sent to the range above, where it ends the order.
-    """
+
+def _ranged(docs: DataFrame, key: str, range_rows: int) -> DataFrame:
+    """``docs`` with ``__at``: ranges of the key in its order, a null key in one below all."""
     n = docs.count()
     ranges = max(1, min(MAX_RANGES, -(-n // range_rows)))
-    steps = [i / ranges for i in range(1, ranges)]
-    bounds = docs.agg(F.percentile_approx(F.col(key), steps, max(10_000, 10 * ranges)).alias("b")).first()["b"] if steps else None
-    bounds = sorted(set(bounds or []))
-    # ranges by binary search; a null key is below all
     low = F.lit(-1).cast("int")
-    if bounds:
-        from pyspark.ml.feature import Bucketizer
-
-        cut = Bucketizer(splits=[float("-inf"), *map(float, bounds), float("inf")], inputCol="__key", outputCol="__at", handleInvalid="keep")
-        at = cut.transform(docs.withColumn("__key", F.col(key).cast("double"))).drop("__key")
-        at = at.withColumn("__at", F.when(F.col(key).isNull(), low).otherwise(F.col("__at").cast("int")))
-    else:
-        at = docs.withColumn("__at", F.when(F.col(key).isNull(), low).otherwise(F.lit(0)))
-    heads = sorted((r["__at"], r["m"]) for r in at.groupBy("__at").agg(F.max(key).alias("m")).collect())
+    if not isinstance(docs.schema[key].dataType, NumericType):
+        dealt = docs.repartitionByRange(ranges, F.col(key).asc_nulls_first())
+        # kept, as another run might cut the ranges elsewhere
+        return cut(dealt.withColumn("__at", F.when(F.col(key).isNull(), low).otherwise(F.spark_partition_id())))
+    parts = [i / ranges for i in range(1, ranges)]
+    bounds = docs.agg(F.percentile_approx(F.col(key), parts, max(10_000, 10 * ranges)).alias("b")).first()["b"] if parts else None
+    bounds = sorted(set(map(float, bounds or [])))
+    if not bounds:
+        return docs.withColumn("__at", F.when(F.col(key).isNull(), low).otherwise(F.lit(0)))
+    from pyspark.ml.feature import Bucketizer
+
+    # by binary search
+    find = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="__key", outputCol="__at", handleInvalid="keep")
+    at = find.transform(docs.withColumn("__key", F.col(key).cast("double"))).drop("__key")
+    return at.withColumn("__at", F.when(F.col(key).isNull(), low).otherwise(F.col("__at").cast("int")))
+
+
+def with_next(docs: DataFrame, key: str, values: list[str], range_rows: int = RANGE_ROWS, made: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``docs`` with ``next_<value>`` of the row that follows in descending order of ``key``; the first follows the last.
+
+    Rows with equal keys go by ``__order``. The keys are cut into ranges at quantiles, so one sort and one shuffle of
+    the rows serve; the first row of each range is also sent to the range above, where it ends the order. ``made`` adds
+    columns when the rows have moved.
+    """
+    kind, at = docs.schema[key].dataType.simpleString(), _ranged(docs, key, range_rows)
+    # a row for each range
+    heads = sorted(((r["__at"], r["m"]) for r in at.groupBy("__at").agg(F.max(key).alias("m")).collect()), key=lambda x: x[0])
     above = [*[a for a, _ in heads[1:]], heads[0][0]] if heads else []
-    tops = docs.sparkSession.createDataFrame([(a, m, up) for (a, m), up in zip(heads, above, strict=True)], "__a int, __m long, __up int")
+    tops = docs.sparkSession.createDataFrame([(a, m, up) for (a, m), up in zip(heads, above, strict=True)], f"__a int, __m {kind}, __up int")
     sent = at.join(F.broadcast(tops), (F.col("__at") == F.col("__a")) & F.col(key).eqNullSafe(F.col("__m")), "left")
-    rows = sent.withColumn(
-        "__to",
-        F.explode(F.when(F.col("__up").isNull(), F.array(F.struct(F.col("__at").alias("to"), F.lit(False).alias("guest")))).otherwise(
-            F.array(F.struct(F.col("__at").alias("to"), F.lit(False).alias("guest")), F.struct(F.col("__up").alias("to"), F.lit(True).alias("guest"))))),
-    )
-    order = Window.partitionBy("__to.to").orderBy("__to.guest", F.desc_nulls_last(key), "__order")
+    here, guest = F.struct(F.col("__at").alias("to"), F.lit(False).alias("guest")), F.struct(F.col("__up").alias("to"), F.lit(True).alias("guest"))
+    rows = sent.withColumn("__e", F.explode(F.when(F.col("__up").isNull(), F.array(here)).otherwise(F.array(here, guest))))
+    rows = rows.select(*docs.columns, F.col("__e.to").alias("__to"), F.col("__e.guest").alias("__guest")).repartition("__to")
+    rows = made(rows) if made else rows
+    columns = [c for c in rows.columns if c not in ("__to", "__guest")]
+    order = Window.partitionBy("__to").orderBy("__guest", F.desc_nulls_last(key), "__order")
     led = rows.select("*", *[F.lead(v).over(order).alias(f"next_{v}") for v in values])
-    return led.where("not __to.guest").select(*docs.columns, *[f"next_{v}" for v in values])
+    return led.where("not __guest").select(*columns, *[f"next_{v}" for v in values])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, s: int = S) -> DataFrame:
     """``(key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)`` for each row.
 
     The edited text has its last floor(n_chars / 3) code points replaced by the first as many (or all) of the next row's
     text, in descending order of the key (rows with equal keys by text hash, null keys last; the first row follows the
-    last, so a single row follows itself). Null texts are empty. An empty table gives no rows.
+    last, so a single row follows itself). Null texts are empty. Rows that repeat have a row each; columns of any name
+    are left out. An empty table gives no rows.
     """
-    own = docs.select(F.col(key).alias("__k"), F.coalesce(F.col(text), F.lit("")).alias("__t"))
-    own = own.withColumn("__order", F.xxhash64("__t")).withColumn("__s", sketch(F.col("__t"), k, s, size))
-    led = with_next(own, "__k", ["__t", "__s"])
+    plain, of = sealed(docs)
+    own = plain.select(F.col(of(key)).alias("__k"), F.coalesce(F.col(of(text)), F.lit("")).alias("__t"))
+    own = own.withColumn("__order", F.xxhash64("__t"))
+    led = with_next(own, "__k", ["__t", "__s"], made=lambda rows: rows.withColumn("__s", fingerprint(F.col("__t"), k, s)))
     n = F.char_length("__t").cast("long")
     take = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("__t", F.lit(1), (n - take).cast("int")), F.substring("next___t", F.lit(1), take))
-    made = led.select("__k", n.alias("n_chars"), edited.alias("__e"), "__s", F.col("next___s").alias("__ns"))
-    made = made.withColumn("__es", sketch(F.col("__e"), k, s, size))
-    return made.select(
+    rows = led.select("__k", n.alias("n_chars"), edited.alias("__e"), "__s", steps(F.col("__s")).alias("__a"), steps(F.col("next___s")).alias("__n"))
+    rows = rows.withColumn("__es", fingerprint(F.col("__e"), k, s))
+    return rows.select(
         F.col("__k").alias(key), "n_chars", F.sha2("__e", 256).alias("edited_sha256"), printed(F.col("__s")).alias("fingerprint"), printed(F.col("__es")).alias("edited_fingerprint"),
-        likeness(F.col("__s"), F.col("__es"), size).alias("near_edited"), likeness(F.col("__s"), F.col("__ns"), size).alias("near_next"),
+        likeness(F.col("__a"), steps(F.col("__es"))).alias("near_edited"), likeness(F.col("__a"), F.col("__n")).alias("near_next"),
     )
 
 
