@@ -55,7 +55,9 @@ def content_hash(text: Column) -> Column:
 
 
 def author_hash(platform: Column, author: Column, salt: str) -> Column:
-    """An author's anonymous, stable name; null where the author is not known."""
+    """An author's anonymous, stable name; null where the author is not known. Without a salt it could be guessed."""
+    if not salt:
+        raise ValueError("author hashes need a salt")
     return F.when(author.isNotNull(), F.sha2(F.concat_ws("\u0001", F.lit(salt), platform, author), 256))
 
 
@@ -65,8 +67,9 @@ def expired(ingested: Column, now: Column, days: int = RETENTION_DAYS) -> Column
 
 
 def ran_today(started: Column, now: Column, timezone: str) -> Column:
-    """Whether a start falls on the local day of ``now``."""
-    return F.to_date(F.from_utc_timestamp(started, timezone)) == F.to_date(F.from_utc_timestamp(now, timezone))
+    """Whether a start falls on the local day of ``now``, whatever the session's time zone."""
+    local = lambda t: F.to_date(F.from_utc_timestamp(F.to_utc_timestamp(t, F.current_timezone()), F.lit(timezone)))
+    return local(started) == local(now)
 
 
 def next_due(now, at: str = "09:00", timezone: str = "UTC"):

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from trivox.functions.text import filled, is_deictic, is_generic_path
 
-CHAIN = "array<struct<seq:int,title:string,kind:string,body:string,basis:string,evidence_refs:array<string>>>"
+CHAIN = "array<struct<seq:int,title:string,kind:string,body:string,basis:string,evidence_refs:array<string>,topics:array<string>>>"
 CANDIDATE = f"title string, summary string, target_user string, scenario string, pain string, current_solution string, software_form string, core_value string, ops_rationale string, acquisition_path string, risks string, is_software boolean, passes_ops boolean, passes_acq boolean, chain {CHAIN}"
 REQUIRED = ("title", "summary", "target_user", "scenario", "pain", "current_solution", "software_form", "core_value", "ops_rationale", "acquisition_path", "risks")
 KINDS = ("fact", "inference")
-TOPICS = 6
+# What a chain must cover.
+TOPICS = ("原始场景", "三位不同用户的共同需求", "需求抽象", "软件机会", "不依赖重运营的理由", "自然获客路径")
 
 
 def parsed(outputs: DataFrame, raw: str = "output") -> DataFrame:
@@ -62,14 +63,36 @@ def admitted(candidates: DataFrame) -> DataFrame:
     )
     for name in REQUIRED:
         by = by.when(~filled(F.col(name)), f"missing_{name}")
-    by = by.when(~chain_complete(F.col("chain")), "incomplete_chain")
+    named = "topics" in candidates.schema["chain"].dataType.elementType.names
+    by = by.when(~chain_complete(F.col("chain"), named), "incomplete_chain")
     return candidates.withColumn("rejected_by", by).withColumn("admitted", F.col("rejected_by").isNull())
 
 
-def chain_complete(chain: Column) -> Column:
-    """Whether a chain covers its topics, each node is a fact or an inference with a text, and facts name evidence."""
-    nodes = F.forall(chain, lambda n: n["kind"].isin(*KINDS) & filled(n["body"]) & ((n["kind"] != "fact") | (F.size(n["evidence_refs"]) > 0)))
-    return F.coalesce((F.size(chain) >= TOPICS) & nodes, F.lit(False))
+def topics_missing(chain: Column) -> Column:
+    """The topics that no node of a chain names, in their order; a node may carry several, and any number of nodes do."""
+    named = F.flatten(F.transform(chain, lambda n: F.coalesce(n["topics"], F.array().cast("array<string>"))))
+    return F.array_except(F.array(*map(F.lit, TOPICS)), F.coalesce(named, F.array().cast("array<string>")))
+
+
+def chain_complete(chain: Column, topics: bool = True) -> Column:
+    """Whether a chain covers its topics, each node is a fact or an inference with a title and a text, and facts name
+    evidence.
+
+    Nodes say which topics they carry. An answer whose nodes name none, as of prompts that did not ask for it, cannot be
+    held to them and must have a node for each. ``topics`` is whether the nodes have that field at all.
+    """
+    nodes = F.forall(chain, lambda n: n["kind"].isin(*KINDS) & filled(n["title"]) & filled(n["body"]) & ((n["kind"] != "fact") | (F.size(n["evidence_refs"]) > 0)))
+    enough = F.size(chain) >= len(TOPICS)
+    if topics:
+        silent = ~F.exists(chain, lambda n: F.coalesce(F.size(n["topics"]) > 0, F.lit(False)))
+        enough = F.when(silent, enough).otherwise(F.size(topics_missing(chain)) == 0)
+    return F.coalesce(enough & nodes, F.lit(False))
+
+
+def able(text_input: bool, image_input: bool, clusters: DataFrame) -> DataFrame:
+    """Clusters with ``can_run``: a model that reads text is needed for all, one that reads images for those in need of
+    context; without it they end as context_insufficient and not as a guess."""
+    return clusters.withColumn("can_run", F.lit(text_input) & (~F.coalesce("needs_context", F.lit(False)) | F.lit(image_input)))
 
 
 def ordered_chain(chain: Column) -> Column:

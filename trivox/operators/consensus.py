@@ -29,7 +29,9 @@ def clusters(members: DataFrame, comments: DataFrame) -> DataFrame:
     retention window with ``countable`` and ``author_key``; a comment may be in several clusters.
     """
     group = ["platform", "video_id", "cluster_id"]
-    facts = comments.select("platform", "video_id", "comment_id", "countable", "author_key").dropDuplicates(["platform", "comment_id"])
+    # a comment that came more than once counts by its smallest row, whichever was read first
+    fact = F.struct("video_id", "countable", "author_key")
+    facts = comments.groupBy("platform", "comment_id").agg(F.min(fact).alias("_f")).select("platform", "comment_id", "_f.*")
     joined = members.join(facts, ["platform", "video_id", "comment_id"], "left")
     person = F.when(F.coalesce("countable", F.lit(False)), F.col("author_key"))
     each = joined.withColumn("_person", person).groupBy(*group, "_person").agg(F.min(F.coalesce("stable", F.lit(False))).alias("_stable"))
@@ -37,6 +39,23 @@ def clusters(members: DataFrame, comments: DataFrame) -> DataFrame:
     return made.select(*group, "users", ((F.col("users") >= PEOPLE) & F.col("_stable")).alias("passed"))
 
 
+def carried(new: DataFrame, known: DataFrame, same: DataFrame, live: DataFrame) -> DataFrame:
+    """Members of clusters after a run: new comments join a suspected cluster of the same video that is still known.
+
+    ``same(platform, video_id, cluster_id, known_id)`` are stored judgements that a new cluster is an older one's need;
+    the smallest such id counts. Members of ``known`` stay while their comments are in ``live``, so a third person counts
+    within the retention window and not behind it. One row for each cluster and comment; it is stable if all rows are.
+    """
+    item = ["platform", "video_id"]
+    ids = known.select(*item, F.col("cluster_id").alias("known_id")).distinct()
+    route = same.join(ids, [*item, "known_id"], "left_semi").groupBy(*item, "cluster_id").agg(F.min("known_id").alias("_to"))
+    moved = new.join(route, [*item, "cluster_id"], "left").withColumn("cluster_id", F.coalesce("_to", "cluster_id")).select(*new.columns)
+    kept = known.join(live.select(*item, "comment_id"), [*item, "comment_id"], "left_semi").select(*new.columns)
+    rest = [c for c in new.columns if c not in (*item, "cluster_id", "comment_id", "stable")]
+    stable = F.min(F.coalesce("stable", F.lit(False))).alias("stable")
+    return kept.unionByName(moved).groupBy(*item, "cluster_id", "comment_id").agg(stable, *[F.max(c).alias(c) for c in rest]).select(*new.columns)
+
+
 def first_of_each(rows: DataFrame, group: list[str], person: str, order: list[str]) -> DataFrame:
     """Each known person's first row in each group: all rows that may be evidence, dealt out by group and person."""
     own = Window.partitionBy(*group, person).orderBy(*order)

@@ -26,7 +26,8 @@ def eligible(comments: DataFrame, videos: DataFrame) -> DataFrame:
     A comment counts if its author is known and is not the video's own, and no noise rule holds. Both levels count, and
     popularity is not read. Comments that do not count stay as context.
     """
-    own = videos.select("platform", "video_id", F.col("author_id").alias("_owner"))
+    # a video that came more than once is one video
+    own = videos.groupBy("platform", "video_id").agg(F.min("author_id").alias("_owner"))
     joined = comments.drop("like_count").join(own, ["platform", "video_id"], "left")
     known = F.col("author_id").isNotNull() & ~F.col("author_id").eqNullSafe(F.col("_owner")) & F.col("level").isin(1, 2)
     return (

@@ -34,6 +34,28 @@ def merged_evidence(known: DataFrame, new: DataFrame, routes: DataFrame) -> Data
     return both.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_new")
 
 
+def opportunity_ids(clusters: DataFrame) -> DataFrame:
+    """Clusters with ``opportunity_id``, which follows from platform, video and cluster: a run that is repeated makes the
+    same opportunities and not new ones."""
+    return clusters.withColumn("opportunity_id", F.sha2(F.concat_ws("\u0001", "platform", "video_id", "cluster_id"), 256))
+
+
+def merged_by_hand(wanted: DataFrame, relations: DataFrame, opportunities: DataFrame, at) -> tuple[DataFrame, DataFrame]:
+    """``(relations, audit)`` to append for ``wanted(from_id, to_id, actor)``: one opportunity declared a duplicate.
+
+    Both must exist and differ; one that already leads elsewhere stays as it is, and of several wishes for one the
+    smallest target counts. Nothing is deleted: the relation is the trace, and ``primaries`` follows it.
+    """
+    ids = opportunities.select("opportunity_id").distinct()
+    known = relations.where("type = 'duplicate'").select("from_id").distinct()
+    one = wanted.where("from_id <> to_id").groupBy("from_id").agg(F.min(F.struct("to_id", "actor")).alias("_w")).select("from_id", "_w.*")
+    good = one.join(ids.withColumnRenamed("opportunity_id", "from_id"), "from_id", "left_semi").join(ids.withColumnRenamed("opportunity_id", "to_id"), "to_id", "left_semi").join(known, "from_id", "left_anti")
+    made = good.select("from_id", "to_id", F.lit("duplicate").alias("type"), F.lit(at).alias("at"))
+    name = F.sha2(F.concat_ws("\u0001", F.lit("merge"), "from_id", "to_id"), 256)
+    audit = good.select(name.alias("event_id"), F.lit(at).alias("at"), "actor", F.lit("merge.duplicate").alias("action"), F.col("from_id").alias("object_id"), F.lit(None).cast("string").alias("before"), F.col("to_id").alias("after"))
+    return made, audit
+
+
 def primaries(relations: DataFrame, rounds: int = 32) -> DataFrame:
     """``(from_id, primary_id)``: where each duplicate leads in the end.
 

@@ -22,6 +22,20 @@ def incubating(opportunities: DataFrame, stages: DataFrame) -> DataFrame:
     return opportunities.join(inside.select("opportunity_id", "stage", "updated_at"), "opportunity_id").orderBy(F.desc("updated_at"), "opportunity_id")
 
 
+def home(opportunities: DataFrame, stages: DataFrame, progress: DataFrame, n: int = 3) -> DataFrame:
+    """The ``n`` opportunities of a person's that were updated last, with what to do next in each."""
+    rows = incubating(opportunities, stages).join(progress.select("opportunity_id", "stage", "done", "total", "next_action"), ["opportunity_id", "stage"], "left")
+    return newest(rows, "updated_at", "opportunity_id", n)
+
+
+def listed(df: DataFrame, **wanted: list) -> DataFrame:
+    """Rows whose columns have one of the wanted values; a column without wishes, or with none, lets all rows by."""
+    for name, values in wanted.items():
+        if values:
+            df = df.where(F.col(name).isin(*values))
+    return df
+
+
 def archive(opportunities: DataFrame, stages: DataFrame, transitions: DataFrame) -> DataFrame:
     """Those that ended, with the stage before and the reason, last ended first."""
     last = transitions.groupBy("opportunity_id").agg(F.max_by("reason", "seq").alias("reason"), F.max("at").alias("ended_at"))
@@ -55,6 +69,40 @@ def run_status(results: DataFrame, found: DataFrame) -> DataFrame:
     return by_run.join(found.select("run_id", "opportunities"), "run_id", "left").withColumn("status", status).select("run_id", "platforms_ok", "platforms", "status")
 
 
+def run_states(runs: DataFrame, results: DataFrame, found: DataFrame) -> DataFrame:
+    """``(run_id, platforms_ok, platforms, status)`` of every run in one of the nine states.
+
+    A run that waits, is under way or was cancelled says so itself; one with results has the state that follows from
+    them; one without any was not run.
+    """
+    made = run_status(results, found).withColumnRenamed("status", "_made")
+    own = F.when(F.col("status").isin("waiting", "running", "cancelled"), F.col("status"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return runs.select("run_id", "status").join(made, "run_id", "left").select("run_id", zero("platforms_ok"), zero("platforms"), F.coalesce(own, F.col("_made"), F.lit("not_run")).alias("status"))
+
+
+def run_list(runs: DataFrame, results: DataFrame, calls: DataFrame, status: str | None = None, day: Column | None = None) -> DataFrame:
+    """The table of runs, last started first: start, state, seconds, platforms, videos, comments, tokens, opportunities.
+
+    ``status`` and ``day`` (a date of the session's zone) choose among them. A run that goes on has no seconds.
+    """
+    chosen = runs if status is None else runs.where(F.col("status") == status)
+    chosen = chosen if day is None else chosen.where(F.to_date("started_at") == day)
+    ok = results.groupBy("run_id").agg(F.count_if(F.col("status") == "ok").alias("platforms_ok"), F.count("*").alias("platforms"))
+    used = calls.groupBy("run_id").agg(F.sum(F.coalesce("tokens_in", F.lit(0)) + F.coalesce("tokens_out", F.lit(0))).alias("tokens"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    rows = chosen.join(ok, "run_id", "left").join(used, "run_id", "left")
+    seconds = F.timestamp_diff("SECOND", F.col("started_at"), F.col("ended_at"))
+    made = rows.select("run_id", "started_at", "status", seconds.alias("seconds"), *map(zero, ("platforms_ok", "platforms", "videos", "comments", "tokens", "opportunities")))
+    return made.orderBy(F.desc_nulls_last("started_at"), "run_id")
+
+
+def tokens_of_last_run(calls: DataFrame, runs: DataFrame) -> DataFrame:
+    """Tokens by model of the run that started last, whatever became of it."""
+    last = newest(runs.where("started_at is not null"), "started_at", "run_id", 1).select("run_id")
+    return tokens(calls.join(last, "run_id", "left_semi"), "model")
+
+
 def run_counters(videos: DataFrame, comments: DataFrame, calls: DataFrame, opportunities: DataFrame) -> DataFrame:
     """Rows of each kind by run; a run without rows of a kind has 0."""
     kinds = {"videos": videos, "comments": comments, "model_calls": calls, "opportunities": opportunities}

@@ -36,6 +36,21 @@ def purge(rows: DataFrame, evidence: DataFrame, keys: list[str], now, days: int
     return marked.where(~going).drop("_cited"), marked.where(going).drop("_cited")
 
 
+def purge_table(spark, base: str, evidence: DataFrame, keys: list[str], now) -> int:
+    """Replaces a versioned table by what ``purge`` keeps, and returns how many rows went.
+
+    Readers see the table before or after. A fault before the switch leaves it as it was, so the next cycle purges the
+    same rows again; nothing to purge writes nothing.
+    """
+    from trivox.sources.landing import commit_version, read_version
+
+    kept, gone = purge(read_version(spark, base), evidence, keys, now)
+    n = gone.count()
+    if n:
+        commit_version(kept, base)
+    return n
+
+
 def live(rows: DataFrame, now, days: int = RETENTION_DAYS) -> DataFrame:
     """Rows inside the window, those that the gate may count."""
     return rows.where(~expired(F.col("first_ingested_at"), F.lit(now), days))

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trivox.sources.landing import claimed, released
 from trivox.sources.schemas import AUDITED
 
 
@@ -16,6 +17,15 @@ def current_run(runs: DataFrame) -> DataFrame:
     return runs.where("status in ('waiting', 'running')").orderBy("started_at", "run_id").limit(1)
 
 
+def begun(spark, base: str) -> bool:
+    """Whether this caller may run: one of all who start at once gets the lock, the others see the run under way."""
+    return claimed(spark, f"{base}/_run")
+
+
+def ended(spark, base: str) -> None:
+    released(spark, f"{base}/_run")
+
+
 def run_steps(steps: Iterable[tuple[str, Callable[[], None]]], cancelled: Callable[[], bool]) -> tuple[list[str], str | None]:
     """Run steps in order; ``(done, stopped_before)``. A cancel takes effect between steps, never inside a write, and what
     was committed stays."""

@@ -34,6 +34,27 @@ def ask(inputs: DataFrame, stored: DataFrame, keys: list[str], text: str, model:
     return open_.mapInPandas(work, f"{kinds}, output string")
 
 
+def ask_until_valid(inputs: DataFrame, keys: list[str], text: str, model: Callable[[list[str]], list[str]], name: str, prompt_version: str, path: str, valid: Callable[[DataFrame], DataFrame], most: int = 3) -> DataFrame:
+    """``(*keys, model, prompt_version, output)`` of the inputs whose answers meet ``valid``, asked ``most`` times at most.
+
+    Each attempt is written below ``path`` under its number before it is judged, and is part of the prompt version, so
+    only inputs without a valid answer are asked again and a run that is repeated asks nothing twice.
+    """
+    spark, found = inputs.sparkSession, None
+    for i in range(1, most + 1):
+        version = prompt_version if i == 1 else f"{prompt_version}#{i}"
+        left = inputs if found is None else to_ask(inputs, found, keys)
+        kinds = ", ".join(f"`{c}` {inputs.schema[c].dataType.simpleString()}" for c in keys)
+        schema = f"{kinds}, model string, prompt_version string, output string"
+        at = f"{path}/attempt={i}"
+        ask(left, spark.createDataFrame([], schema), keys, text, model, name, version).write.mode("ignore").parquet(at)
+        good = valid(spark.read.schema(schema).parquet(at))
+        found = good if found is None else found.unionByName(good)
+        if to_ask(inputs.dropna(subset=keys), found, keys).isEmpty():
+            break
+    return found
+
+
 def clusters_by_item(comments: DataFrame, item: list[str], key: str, text: str, judge: Callable[[list[str]], list[int]], order: list[str], most: int = PER_ITEM) -> DataFrame:
     """``(*item, key, cluster)``: ``judge`` numbers the texts of one item; it never sees two items together.
 

@@ -76,6 +76,20 @@ def checked(requests: DataFrame, transitions: DataFrame, progress: DataFrame) ->
     return joined.withColumn("refused_by", refused).withColumn("accepted", F.col("refused_by").isNull()).select(*requests.columns, F.col("stage").alias("from_stage"), (F.coalesce("seq", F.lit(0)) + 1).alias("seq"), "accepted", "refused_by")
 
 
+def to_append(asked: DataFrame, at: Column, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(transitions, refused)`` of what ``checked`` gave: rows to append, and the requests that change nothing.
+
+    Of several requests for one opportunity that would be accepted the first by ``order`` (all columns without it) is;
+    the others are refused as ``superseded``, as they were judged by a stage that is left.
+    """
+    first = F.row_number().over(Window.partitionBy("opportunity_id", "accepted").orderBy(*(order or []), *asked.columns))
+    ranked = asked.withColumn("_n", first)
+    late = F.col("accepted") & (F.col("_n") > 1)
+    made = ranked.withColumn("refused_by", F.when(late, "superseded").otherwise(F.col("refused_by"))).withColumn("accepted", F.col("accepted") & ~late).drop("_n")
+    taken = made.where("accepted").select("opportunity_id", F.col("seq").cast("long").alias("seq"), "from_stage", "to_stage", "reason", "actor", at.alias("at"))
+    return taken, made.where("not accepted")
+
+
 def definitions(spark) -> DataFrame:
     """The fixed items, 30 in five stages."""
     rows = [(stage, i, item) for stage, items in CHECKLIST.items() for i, item in enumerate(items, 1)]
@@ -89,7 +103,9 @@ def checklist(stages: DataFrame, ticks: DataFrame, conclusions: DataFrame, defs:
     open_item = F.when(~F.col("done"), F.struct("item_no", "item"))
     made = marked.groupBy("opportunity_id", "stage").agg(F.count_if("done").alias("done"), F.count("*").alias("total"), F.min(open_item)["item"].alias("first_open"))
     said = conclusions.select("opportunity_id", "stage", (F.length(F.trim("text")) > 0).alias("concluded"))
-    made = made.join(said, ["opportunity_id", "stage"], "left").withColumn("concluded", F.coalesce("concluded", F.lit(False)))
+    # the entry stage has no items: what is left is to go on
+    entry = stages.where("stage = 'interested'").select("opportunity_id", "stage", F.lit(0).cast("long").alias("done"), F.lit(0).cast("long").alias("total"), F.lit(None).cast("string").alias("first_open"))
+    made = made.unionByName(entry).join(said, ["opportunity_id", "stage"], "left").withColumn("concluded", F.coalesce("concluded", F.lit(False)) | (F.col("total") == 0))
     action = F.coalesce("first_open", F.when(~F.col("concluded"), WRITE_CONCLUSION).when(F.col("stage") == STAGES[-1], DECIDE).otherwise(NEXT_STAGE))
     return made.withColumn("complete", (F.col("done") == F.col("total")) & F.col("concluded")).withColumn("next_action", action)
 
@@ -101,6 +117,27 @@ def note_versions(notes: DataFrame) -> DataFrame:
     return last.orderBy("opportunity_id", "stage", "position", "note_id")
 
 
+def note_changes(notes: DataFrame, changes: DataFrame, at: Column) -> DataFrame:
+    """Note versions to append: ``changes(note_id, action, text, position)`` on the last versions of notes.
+
+    ``edit`` sets the text, ``move`` the position, ``delete`` marks the note, which keeps its versions. Of several changes
+    of a note in one batch the smallest by (action, position, text) counts; a change of an unknown or deleted note, or an
+    edit to a blank text, makes nothing.
+    """
+    last = note_versions(notes)
+    one = changes.groupBy("note_id").agg(F.min(F.struct("action", "position", "text")).alias("_c"))
+    joined = last.join(one, "note_id").where("_c.action in ('move', 'delete') or (_c.action = 'edit' and length(trim(_c.text)) > 0)")
+    action = F.col("_c.action")
+    made = (
+        joined.withColumn("version", F.col("version") + 1)
+        .withColumn("text", F.when(action == "edit", F.col("_c.text")).otherwise(F.col("text")))
+        .withColumn("position", F.when(action == "move", F.coalesce("_c.position", "position")).otherwise(F.col("position")))
+        .withColumn("deleted", action == "delete")
+        .withColumn("updated_at", at)
+    )
+    return made.select(*notes.columns)
+
+
 def valid_note() -> Column:
     """Text, and at most one link and one photo."""
     few = lambda c: F.coalesce(F.size(c) <= 1, F.lit(True)) | (F.size(c) < 0)

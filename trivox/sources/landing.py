@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trivox.sources.schemas import PLATFORMS, SCHEMAS, keyed
+from trivox.sources.schemas import CRAWL_STATES, PLATFORMS, SCHEMAS, keyed
 
-SECRET = ("api_key", "cookie", "token_secret", "password", "login_session")
+#: A column is secret if its name, lowered and without signs, contains one of these.
+SECRET = ("apikey", "cookie", "secret", "password", "passwd", "session", "accesstoken", "refreshtoken", "authtoken", "bearer", "credential", "privatekey")
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,15 @@ class Settings:
     image_input: bool = False
     salt: str = field(default="", repr=False)
 
+    @classmethod
+    def load(cls, path: str) -> Settings:
+        """Settings from a JSON file; unknown names are refused."""
+        import json
+
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in said.items()})
+
 
 def read_contract(spark: SparkSession, path: str, name: str, kind: str = "json") -> tuple[DataFrame, DataFrame]:
     """``(rows, quarantine)`` of one landing folder: rows that meet the schema and have their key, and the others raw."""
@@ -38,15 +48,33 @@ def read_contract(spark: SparkSession, path: str, name: str, kind: str = "json")
     return raw.where(good).drop("_bad"), raw.where(~good)
 
 
-def platform_union(frames: dict[str, DataFrame], settings: Settings) -> DataFrame:
-    """Rows of the enabled platforms that could be read; a platform that failed is simply not among the frames."""
+def platform_union(frames: dict[str, DataFrame], settings: Settings, none: DataFrame | None = None) -> DataFrame:
+    """Rows of the enabled platforms that could be read; a platform that failed is simply not among the frames.
+
+    ``none`` is an empty frame of the schema, for the case that no platform is left; without it that is refused.
+    """
     used = [df for name, df in frames.items() if name in settings.platforms]
-    return reduce(DataFrame.unionByName, used)
+    if not used and none is None:
+        raise ValueError("no platform is left, and no empty frame says what its rows would be")
+    return reduce(DataFrame.unionByName, used) if used else none
+
+
+def ready_platforms(accounts: DataFrame, settings: Settings) -> DataFrame:
+    """``(platform, ready, error_kind)`` of the enabled platforms: only one whose login was found valid is visited.
+
+    A login that expired, or of which nothing is known, needs a person; the other platforms go on.
+    """
+    last = accounts.groupBy("platform").agg(F.max_by("login_state", F.struct("checked_at", "login_state")).alias("login_state"))
+    named = accounts.sparkSession.createDataFrame([(p,) for p in settings.platforms], "platform string").join(last, "platform", "left")
+    ready = F.coalesce(F.col("login_state") == "ok", F.lit(False))
+    kind = F.when(ready, None).when(F.col("login_state").isin(*[s for s in CRAWL_STATES if s != "ok"]), F.col("login_state")).otherwise("login_expired")
+    return named.select("platform", ready.alias("ready"), kind.alias("error_kind"))
 
 
 def redacted(df: DataFrame) -> DataFrame:
     """Without the columns that hold secrets."""
-    return df.drop(*[c for c in df.columns if c.lower() in SECRET])
+    plain = lambda c: "".join(x for x in c.lower() if x.isalnum())
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if not any(s in plain(c) for s in SECRET)])
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -56,14 +84,21 @@ def append(df: DataFrame, path: str) -> None:
 def commit_version(df: DataFrame, base: str) -> int:
     """Write ``df`` as a new version below ``base`` and make it current; readers see the old version or the new one.
 
-    The pointer is replaced by one rename through Spark's file system, so a crash before it changes nothing.
+    The pointer is replaced by one rename through Spark's file system, so a crash before it changes nothing. A number is
+    claimed by a file that only one writer can make, so two writers never share a folder; the one that finds another
+    version current than it started from is refused.
     """
     spark = df.sparkSession
-    version = (current_version(spark, base) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{base}/v={version}")
+    before = current_version(spark, base)
+    version = (before or 0) + 1
     jvm = spark.sparkContext._jvm
     path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
     fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    while not claimed(spark, f"{base}/_claim-{version}"):
+        version += 1
+    df.write.parquet(f"{base}/v={version}")
+    if current_version(spark, base) != before:
+        raise RuntimeError(f"{base} was changed by another writer; version {version} is not current")
     stream = fs.create(path(f"{base}/_next"), True)
     stream.writeBytes(str(version))
     stream.close()
@@ -74,6 +109,28 @@ def commit_version(df: DataFrame, base: str) -> int:
     return version
 
 
+def claimed(spark: SparkSession, file: str) -> bool:
+    """Makes an empty file, unless it is there: true for one caller only."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path.getParent())
+    if fs.exists(path):
+        return False
+    try:
+        fs.create(path, False).close()
+    except Exception as e:  # the file came in between
+        if fs.exists(path):
+            return False
+        raise e
+    return True
+
+
+def released(spark: SparkSession, file: str) -> None:
+    """Removes what ``claimed`` made."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
+
+
 def current_version(spark: SparkSession, base: str) -> int | None:
     jvm = spark.sparkContext._jvm
     pointer = jvm.org.apache.hadoop.fs.Path(f"{base}/_current")

@@ -30,11 +30,15 @@ KEYS = {
     "video": ("platform", "video_id"), "comment": ("platform", "comment_id"), "cluster_member": ("platform", "video_id", "cluster_id", "comment_id"),
     "opportunity": ("opportunity_id",), "opportunity_evidence": ("opportunity_id", "platform", "comment_id"), "content_fingerprint": ("platform", "kind", "id"),
     "lifecycle_transition": ("opportunity_id", "seq"), "stage_note": ("note_id", "version"), "exploration_run": ("run_id",), "crawl_result": ("run_id", "platform"),
+    "platform_account": ("platform",), "opportunity_relation": ("from_id", "to_id"), "stage_checklist": ("opportunity_id", "stage", "item_no"), "stage_conclusion": ("opportunity_id", "stage"),
+    "model_invocation": ("invocation_id",), "audit_event": ("event_id",),
 }
 
 CRAWL_STATES = ("ok", "login_expired", "captcha", "rate_limited", "structure_changed", "failed")
 RUN_STATES = ("not_run", "waiting", "running", "success_empty", "success_found", "partial_failure", "failed", "cancelled", "login_expired")
-AUDITED = ("run", "tag", "model_call", "gate", "opportunity", "stage", "merge", "purge", "settings")
+#: Kinds of actions that are audited: an opportunity made, a merge, a change of stage, an end or a restoring, a checklist
+#: item, a tag, the schedule, a purge, a fault of a model or a platform.
+AUDITED = ("opportunity", "merge", "stage", "decision", "checklist", "tag", "schedule", "purge", "error")
 #: Columns that no result may have: strength, rank and score of needs are not part of the model.
 FORBIDDEN = ("strength", "rank", "score", "heat")
 
