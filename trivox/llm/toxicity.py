@@ -134,7 +134,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Fit on rows outside the held-out fold: up to ``POSITIVES`` that a label calls toxic, ``UNLABELLED`` of all.
 
     The class prior is the share of toxic rows among labelled ones; half a row is added to either side. The driver gets
-    hashed features of the bounded sample.
+    hashed features of the bounded sample, of one text for each key. Null keys and null labels are passed over, null texts
+    are empty, and without positive or unlabelled rows every score is the prior.
     """
     kind = docs.schema[key].dataType.simpleString()
     open_ = lambda df: df.where(F.col(key).isNotNull() & (remainder(F.col(key), FOLDS) != HELD))
@@ -149,7 +150,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             made = [features(t).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(made, pa.binary())], ["p", "u", "x"])
 
-    found = docs.join(F.broadcast(chosen), F.col(key) == F.col("c")).select(F.col(text).alias("t"), "p", "u")
+    # a key has one text, its smallest, so the sample is bounded whatever repeats
+    found = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), F.col("k") == F.col("c")).groupBy("c", "p", "u").agg(F.min("t").alias("t")).select("t", "p", "u")
     rows = [(r["p"], r["u"], bytes(r["x"])) for r in found.mapInArrow(work, "p boolean, u boolean, x binary").collect()]
     rows.sort()
     as_array = lambda x: np.frombuffer(x, np.uint32)
