@@ -68,6 +68,19 @@ def evidence(rows: DataFrame, group: list[str], person: str, order: list[str], k
     return first.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("place") <= k)
 
 
+def gated_evidence(rows: DataFrame, group: list[str], person: str, order: list[str], k: int | None = PEOPLE, least: int = PEOPLE) -> DataFrame:
+    """``(*group, person, *order, place, users)``: each known person's first row in the groups that pass the gate, the
+    first ``k`` of them or all. ``order`` tells rows apart.
+
+    One aggregation finds the first rows, partly before the shuffle; one window over them counts and places people.
+    """
+    first = rows.where(F.col(person).isNotNull()).groupBy(*group, person).agg(F.min(F.struct(*order)).alias("_f"))
+    whole = Window.partitionBy(*group)
+    made = first.withColumn("place", F.row_number().over(whole.orderBy("_f"))).withColumn("users", F.count("*").over(whole)).where(F.col("users") >= least)
+    made = made if k is None else made.where(F.col("place") <= k)
+    return made.select(*group, person, *[F.col("_f")[o].alias(o) for o in order], "place", "users")
+
+
 def reached(rows: DataFrame, group: list[str], person: str, at: str, least: int = PEOPLE) -> DataFrame:
     """``(*group, reached_at)``: when each group first had ``least`` people, as rows add up over days."""
     seen = rows.where(F.col(person).isNotNull()).groupBy(*group, person).agg(F.min(at).alias("reached_at"))

@@ -7,7 +7,7 @@ of the engine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trivox.functions.text import author_hash, content_hash, is_deictic, noise_rule
@@ -34,6 +34,17 @@ def _cutoff(t) -> DataFrame:
     return t("events").agg((F.max("ts") - F.expr("INTERVAL 10 DAYS")).alias("cutoff"))
 
 
+def _days_back(t, days: int) -> Column:
+    """A literal, so that a filter by it reaches the scan: ``days`` days before the last event."""
+    from datetime import timedelta
+
+    kind = t("events").schema["ts"].dataType
+    last = t("events").agg(F.max("ts")).first()[0]
+    at = None if last is None else last - timedelta(days=days)
+    # a time without a zone goes as text, which no zone shifts
+    return F.lit(str(at) if at and kind.simpleString() == "timestamp_ntz" else at).cast(kind)
+
+
 @query(f"WITH {_GATE} SELECT * FROM g WHERE users >= 3")
 def consensus_gate(t):
     return consensus.gate(_events(t), GROUP, "user_id")
@@ -60,16 +71,14 @@ e AS (SELECT *, row_number() OVER (PARTITION BY k, week, event_type ORDER BY ts,
 @query(f"""WITH {_GATE}, {_FIRST} SELECT k, week, event_type, user_id, event_id, CAST(place AS INTEGER) AS place
 FROM e JOIN g USING (k, week, event_type) WHERE place <= 3 AND users >= 3""")
 def representative_evidence(t):
-    ev = _events(t)
-    found = consensus.evidence(ev, GROUP, "user_id", ["ts", "event_id"])
-    return found.join(consensus.gate(ev, GROUP, "user_id").select(*GROUP), GROUP, "left_semi").select(*GROUP, "user_id", "event_id", "place")
+    return consensus.gated_evidence(_events(t), GROUP, "user_id", ["ts", "event_id"]).select(*GROUP, "user_id", "event_id", "place")
 
 
 @query(f"""WITH {_GATE}, {_FIRST} SELECT k, week, event_type, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY place) AS event_ids
 FROM e JOIN g USING (k, week, event_type) WHERE place <= 3 AND users >= 3 GROUP BY k, week, event_type""")
 def evidence_list(t):
-    found = consensus.evidence(_events(t), GROUP, "user_id", ["ts", "event_id"])
-    rows = consensus.collected(found, GROUP, ["event_id"]).where(F.size("evidence") >= 3)
+    found = consensus.gated_evidence(_events(t), GROUP, "user_id", ["ts", "event_id"])
+    rows = consensus.collected(found, GROUP, ["event_id"])
     return rows.select(*GROUP, F.concat_ws(",", F.transform("evidence", lambda e: e["event_id"].cast("string"))).alias("event_ids"))
 
 
@@ -91,20 +100,19 @@ def cross_source_duplicates(t):
 
 @query("SELECT event_id, user_id, event_type FROM events WHERE ts < (SELECT max(ts) - INTERVAL 10 DAY FROM events)")
 def retention_expired(t):
-    return t("events").join(F.broadcast(_cutoff(t)), F.col("ts") < F.col("cutoff")).select("event_id", "user_id", "event_type")  # one row
+    return t("events").where(F.col("ts") < _days_back(t, 10)).select("event_id", "user_id", "event_type")
 
 
 @query("SELECT event_id, user_id, event_type FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 10 DAY FROM events)")
 def retention_live(t):
-    return t("events").join(F.broadcast(_cutoff(t)), F.col("ts") >= F.col("cutoff")).select("event_id", "user_id", "event_type")  # one row
+    return t("events").where(F.col("ts") >= _days_back(t, 10)).select("event_id", "user_id", "event_type")
 
 
 @query(f"""WITH {_GATE}, {_FIRST} SELECT event_id, user_id FROM ev WHERE ts < (SELECT max(ts) - INTERVAL 10 DAY FROM events)
 AND NOT EXISTS (SELECT 1 FROM e JOIN g USING (k, week, event_type) WHERE g.users >= 3 AND e.event_id = ev.event_id)""")
 def purge_unreferenced(t):
-    ev = _events(t)
-    gone = ev.join(F.broadcast(_cutoff(t)), F.col("ts") < F.col("cutoff"))
-    cited = consensus.first_of_each(ev, GROUP, "user_id", ["ts", "event_id"]).join(consensus.gate(ev, GROUP, "user_id").select(*GROUP), GROUP, "left_semi")
+    gone = t("events").where(F.col("ts") < _days_back(t, 10)).select("event_id", "user_id")
+    cited = consensus.gated_evidence(_events(t), GROUP, "user_id", ["ts", "event_id"], None)
     return gone.join(cited.select("event_id"), "event_id", "left_anti").select("event_id", "user_id")
 
 
@@ -148,8 +156,7 @@ def accumulate_days(t):
 @query("""SELECT event_type, count(*) AS calls, count(*) FILTER (WHERE value <= 1) AS failures, CAST(sum(user_id) AS BIGINT) AS tokens_in, CAST(sum(event_id) AS BIGINT) AS tokens_out,
 CAST(sum(user_id) + sum(event_id) AS BIGINT) AS tokens FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 7 DAY FROM events) GROUP BY event_type""")
 def token_usage_7d(t):
-    since = t("events").agg((F.max("ts") - F.expr("INTERVAL 7 DAYS")).alias("since"))
-    calls = t("events").join(F.broadcast(since), F.col("ts") >= F.col("since"))  # one row
+    calls = t("events").where(F.col("ts") >= _days_back(t, 7))
     return reports.tokens(calls.select("event_type", "ts", (F.col("value") > 1).alias("ok"), F.col("user_id").alias("tokens_in"), F.col("event_id").alias("tokens_out")), "event_type")
 
 
@@ -290,9 +297,8 @@ m AS (SELECT max(ts) - INTERVAL 10 DAY AS cutoff FROM events)
 SELECT count(*) FILTER (WHERE ts >= cutoff) AS live, count(*) FILTER (WHERE ts < cutoff) AS expired,
 count(*) FILTER (WHERE ts < cutoff AND event_id NOT IN (SELECT event_id FROM c)) AS to_purge FROM ev, m""")
 def purge_preview(t):
-    ev = _events(t)
-    cited = consensus.first_of_each(ev, GROUP, "user_id", ["ts", "event_id"]).join(consensus.gate(ev, GROUP, "user_id").select(*GROUP), GROUP, "left_semi")
-    return runs.purge_sizes(ev, cited, ["event_id"], "ts", _cutoff(t))
+    cited = consensus.gated_evidence(_events(t), GROUP, "user_id", ["ts", "event_id"], None)
+    return runs.purge_sizes(t("events"), cited, ["event_id"], "ts", _cutoff(t))
 
 
 @query("SELECT o_orderkey AS run_id, o_custkey AS started_by FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderdate DESC, o_orderkey LIMIT 1")

@@ -38,7 +38,7 @@ CRAWL_STATES = ("ok", "login_expired", "captcha", "rate_limited", "structure_cha
 RUN_STATES = ("not_run", "waiting", "running", "success_empty", "success_found", "partial_failure", "failed", "cancelled", "login_expired")
 #: Kinds of actions that are audited: an opportunity made, a merge, a change of stage, an end or a restoring, a checklist
 #: item, a tag, the schedule, a purge, a fault of a model or a platform.
-AUDITED = ("opportunity", "merge", "stage", "decision", "checklist", "tag", "schedule", "purge", "error")
+AUDITED = ("opportunity", "merge", "stage", "decision", "checklist", "tag", "schedule", "purge", "fault")
 #: Columns that no result may have: strength, rank and score of needs are not part of the model.
 FORBIDDEN = ("strength", "rank", "score", "heat")
 
