@@ -76,13 +76,13 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """``(doc_id, n_tokens, ids, decoded_sha256)`` of each row, in the order of the mix.
 
     That is the order of the files that the stage before wrote and of the rows in them; what this stage writes is dealt
-    and sorted by it, so the files of the result, by name and row, are the schedule. Rows that come from no file have no
-    such order. Null texts are empty and have no ids; rows that repeat are encoded as often; an empty table gives no
+    and sorted by it, so the files of the result, by name and row, are the schedule. Rows that come from no file, or from
+    one without a part number, have no such order. Null texts are empty and have no ids; rows that repeat are encoded as often; an empty table gives no
     rows; other columns are left out.
     """
     out = ["doc_id", "n_tokens", "ids", "decoded_sha256"]
     try:
-        number = F.regexp_extract(docs["_metadata"]["file_name"], r"^part-(\d+)", 1).cast("long")
+        number = F.regexp_extract(docs["_metadata"]["file_name"], r"^part-(\d+)", 1).try_cast("long")
         row = docs["_metadata"]["row_index"]
     except AnalysisException:  # not read from files
         return bpe.tokenized(docs).select(*out)
