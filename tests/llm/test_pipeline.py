@@ -145,3 +145,24 @@ def test_equal_ids_of_different_texts(spark):
     rows = [(5, "alpha beta gamma"), (2, "X"), (5, "X"), (7, "zeta eta"), (7, "other text"), (7, "other text")]
     kept = representatives(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, h int"))
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, "X"), (5, "alpha beta gamma"), (7, "other text"), (7, "zeta eta")]
+
+
+def test_stages_beside_near_dedup(spark):
+    """The stages that the Jaccard index does not touch, each against brute force on its own input."""
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    profiles = langid.learn(docs)
+    least = langid.bounds(docs, profiles)
+    said = {i: profiles.measured(t) for i, t in rows}
+    want = {i: t for i, t in rows if said[i][0] != "und" and said[i][1] >= least[said[i][2]]}
+    assert {r.doc_id: r.text for r in cp.keep_known_languages(spark, docs, D).collect()} == want
+    lines = brute_lines(rows)
+    made = cp.drop_repeated_lines(spark, docs, D).collect()
+    assert {r.doc_id: r.text for r in made} == lines and all(r.n_chars == len(r.text) for r in made)
+    mixed = cp.mix_sources(spark, docs, D)
+    assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, docs.collect()))
+    last = {r.doc_id: r for r in cp.encode_texts(spark, docs, D).collect()}
+    assert last.keys() == dict(rows).keys()
+    for i, t in rows:
+        ids = [x for w in bpe.pretokens(t) for x in bpe.vocabulary().encode(w.encode())]
+        assert last[i].ids == ids and last[i].n_tokens == len(ids) and last[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
