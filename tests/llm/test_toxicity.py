@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from trivox.llm.toxicity import Model, features, fit, learn, op4_toxicity, score
+from trivox.llm.toxicity import Model, candidates, features, fit, learn, op4_toxicity, score, shares
 
 
 def corpus(n, seed=0):
@@ -58,3 +58,20 @@ def test_held_out(spark):
     held = got[got.held_out].join(truth, how="inner")
     caught = ((held.predicted == 1) & (held.toxic == 1)).sum()
     assert len(got) == 10_000 and caught / (held.toxic == 1).sum() > 0.85 and caught / (held.predicted == 1).sum() > 0.7
+
+
+def test_shares_of_all_rows(spark):
+    """Counts over every row, repeated and empty ones too, against counting each text's features."""
+    rows = corpus(600)
+    names, count = candidates([features(t) for _, t, y in rows if y])
+    texts = [t for _, t, _ in rows] + [rows[0][1]] * 3 + [None, "", "vile " * 30000]
+    docs = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "text string, i long").repartition(7)
+    got, n = shares(docs, names)
+    made = [features(t) for t in texts]
+    assert n == len(texts) and len(names) > 50 and (count >= 3).all()
+    assert got.tolist() == [sum(bool(np.isin(x, m)) for m in made) for x in names]
+    assert shares(docs.limit(0), names)[1] == 0 and shares(docs, names[:0])[1] == len(texts)
+    whole = [features(t) for t in texts]
+    bad = [features(t) for _, t, y in rows if y]
+    one, other = fit(bad, whole, 0.1), fit(bad, whole, 0.1, (got, n))
+    assert (one.names == other.names).all() and np.allclose(one.weights, other.weights)

@@ -54,6 +54,30 @@ def features(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate((codes, *more)))
 
 
+def finder(names: np.ndarray) -> Callable[[str | None], list[int]]:
+    """Which of ``names`` a text has, as places in it: what ``features`` would say, but looking at those words only that
+    some name could come from."""
+    rules: dict[int, list[tuple[int, int]]] = {}
+    back = pow(int(_ODD), -1, 1 << 32)
+    for i, code in enumerate(names.tolist()):
+        rules.setdefault(code, []).append((1, i))
+        for k in REPEATS:
+            rules.setdefault((code - k) * back % (1 << 32), []).append((k, i))
+
+    @functools.lru_cache(1 << 18)
+    def known(word: str) -> tuple[int, ...]:
+        return tuple(c for c in _of_word(word) if c in rules)
+
+    def find(text: str | None) -> list[int]:
+        count: dict[int, int] = {}
+        for word in set(_WORD.findall((text or "").lower())):
+            for code in known(word):
+                count[code] = count.get(code, 0) + 1
+        return sorted({i for code, n in count.items() for k, i in rules[code] if n >= k})
+
+    return find
+
+
 @dataclass
 class Model:
     names: np.ndarray
@@ -61,24 +85,10 @@ class Model:
     bias: float
 
     def scorer(self) -> Callable[[str | None], float]:
-        """Scores a text as by ``features``, but looks at those words only that some weight could come from."""
-        rules: dict[int, list[tuple[int, int]]] = {}
-        back = pow(int(_ODD), -1, 1 << 32)
-        for i, code in enumerate(self.names.tolist()):
-            rules.setdefault(code, []).append((1, i))
-            for k in REPEATS:
-                rules.setdefault((code - k) * back % (1 << 32), []).append((k, i))
-
-        @functools.lru_cache(1 << 18)
-        def known(word: str) -> tuple[int, ...]:
-            return tuple(c for c in _of_word(word) if c in rules)
+        find = finder(self.names)
 
         def score(text: str | None) -> float:
-            count: dict[int, int] = {}
-            for word in set(_WORD.findall((text or "").lower())):
-                for code in known(word):
-                    count[code] = count.get(code, 0) + 1
-            hit = sorted({i for code, n in count.items() for k, i in rules[code] if n >= k})
+            hit = find(text)
             z = self.bias + float(self.weights[hit].sum()) if hit else self.bias
             return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
@@ -88,18 +98,45 @@ class Model:
         return self.scorer()(text)
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
-    """Fit by the non-negative risk. Without positives or unlabelled texts every score is the prior."""
+def candidates(positive: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Features that ``LEAST`` positives have, and how many have each."""
+    names, count = np.unique(np.concatenate([np.zeros(0, np.uint32), *positive]), return_counts=True)
+    return names[count >= LEAST], count[count >= LEAST]
+
+
+def shares(docs: DataFrame, names: np.ndarray, text: str = "text") -> tuple[np.ndarray, int]:
+    """How many rows have each of ``names``, and how many rows there are: whole texts, added up in the executors. The
+    driver gets a number for each name."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, count = finder(names), np.zeros(len(names) + 1, np.int64)
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                count[find(t)] += 1
+                count[-1] += 1
+        at = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(count[at], pa.int64())], ["i", "n"])
+
+    found = np.zeros(len(names) + 1, np.int64)
+    for r in docs.select(F.col(text).alias("t")).mapInArrow(work, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        found[r["i"]] = r["n"]
+    return found[:-1], int(found[-1])
+
+
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seen: tuple[np.ndarray, int] | None = None) -> Model:
+    """Fit by the non-negative risk. Without positives or unlabelled texts every score is the prior.
+
+    ``seen`` is what ``shares`` says of the ``candidates`` over the corpus; without it the unlabelled texts are counted.
+    """
     prior = min(max(prior, 1e-6), 1 - 1e-6)
     base = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return Model(np.zeros(0, np.uint32), np.zeros(0), base)
-    names, count = np.unique(np.concatenate(positive), return_counts=True)
-    names, count = names[count >= LEAST], count[count >= LEAST]
-    others, many = np.unique(np.concatenate(unlabelled), return_counts=True)
-    at = np.minimum(np.searchsorted(others, names), max(len(others) - 1, 0))
-    found = np.where(others[at] == names, many[at], 0) if len(others) else np.zeros(len(names))
-    p, u = count / len(positive), (found + 0.5) / (len(unlabelled) + 1)
+    names, count = candidates(positive)
+    if seen is None:
+        every = np.concatenate([names, *[np.intersect1d(names, x, assume_unique=True) for x in unlabelled]])
+        seen = np.unique(every, return_counts=True)[1] - 1, len(unlabelled)
+    p, u = count / len(positive), (seen[0] + 0.5) / (seen[1] + 1)
     names = names[np.abs(p - u) >= DEVIATIONS * np.sqrt(u * (1 - u) / len(positive))]
 
     def rows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -133,9 +170,11 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Model:
     """Fit on rows outside the held-out fold: up to ``POSITIVES`` that a label calls toxic, ``UNLABELLED`` of all.
 
-    The class prior is the share of toxic rows among labelled ones; half a row is added to either side. The driver gets
-    hashed features of the bounded sample, of one text for each key. Null keys and null labels are passed over, null texts
-    are empty, and without positive or unlabelled rows every score is the prior.
+    The class prior is the share of toxic rows among labelled ones; half a row is added to either side. Which features of
+    the positives are chosen follows from their shares in all rows outside the fold, each counted as often as it comes; the
+    sample of unlabelled texts is for the steps of the fit alone. The driver gets hashed features of the bounded sample, of
+    one text for each key. Null keys and null labels are passed over, null texts are empty, and without positive or
+    unlabelled rows every score is the prior.
     """
     kind = docs.schema[key].dataType.simpleString()
     open_ = lambda df: df.where(F.col(key).isNotNull() & (remainder(F.col(key), FOLDS) != HELD))
@@ -155,7 +194,9 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = [(r["p"], r["u"], bytes(r["x"])) for r in found.mapInArrow(work, "p boolean, u boolean, x binary").collect()]
     rows.sort()
     as_array = lambda x: np.frombuffer(x, np.uint32)
-    return fit([as_array(x) for p, _, x in rows if p], [as_array(x) for _, u, x in rows if u], (k + 0.5) / (n + 1))
+    toxic_rows, others = [as_array(x) for p, _, x in rows if p], [as_array(x) for _, u, x in rows if u]
+    names = candidates(toxic_rows)[0]
+    return fit(toxic_rows, others, (k + 0.5) / (n + 1), shares(open_(docs), names, text) if len(names) else None)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
