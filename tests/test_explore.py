@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from trivox import __main__ as commands
 from trivox.functions.text import author_hash
-from trivox.operators import admission, consensus, eligibility, reports, runs, semantics, workflow
+from trivox.operators import admission, consensus, eligibility, reports, retention, runs, semantics, workflow
 from trivox.operators.explore import explore
 from trivox.sources import landing, schemas
+from trivox.sources.store import Store
 
 NOW = datetime(2026, 1, 5, 9)
 SETTINGS = landing.Settings(salt="pepper")
@@ -21,6 +22,12 @@ def write(path, rows):
     (path / "a.json").write_text("\n".join(json.dumps(r, ensure_ascii=False) for r in rows))
 
 
+def put(store, name, df):
+    changes = store.changes()
+    changes.put(name, df)
+    changes.commit()
+
+
 def said(**change):
     chain = [{"seq": 1, "title": "t", "kind": "inference", "body": "b", "basis": "x", "evidence_refs": [], "topics": list(admission.TOPICS)}]
     return json.dumps({n: "文字" for n in admission.REQUIRED} | {"acquisition_path": "在原视频评论区回复", "is_software": True, "passes_ops": True, "passes_acq": True, "chain": chain} | change)
@@ -34,24 +41,26 @@ def test_explore(spark, tmp_path):
     write(files / "douyin/video", [{"platform": "douyin", "video_id": "v", "author_id": "o", "title": "一个足够清楚的标题说明", "first_ingested_at": day}])
     write(files / "douyin/comment", [comment(str(i), who, text) for i, (who, text) in enumerate([("a", "想要记账"), ("b", "想要记账"), ("c", "想要记账"), ("c", "想要记账"), ("d", "想要菜谱"), ("e", "想要菜谱"), ("o", "想要菜谱")])])
     accounts = [("douyin", "ok", NOW, None), ("bilibili", "login_expired", NOW, None)]
-    landing.commit_version(spark.createDataFrame(accounts, schemas.SCHEMAS["platform_account"]), f"{base}/platform_account")
+    store = Store(spark, base)
+    put(store, "platform_account", spark.createDataFrame(accounts, schemas.SCHEMAS["platform_account"]))
     answer = said()
     describe = lambda texts: [answer for _ in texts]
     run = lambda name, at=NOW, **more: explore(spark, base, str(files), SETTINGS, name, at, semantics.same_text, describe, **more)
     assert run("r0", cancelled=lambda: True) == "cancelled"
     assert run("r1") == "partial_failure"
-    table = lambda name: landing.read_version(spark, f"{base}/{name}")
+    table = store.read
     assert table("opportunity").count() == 1 and table("lifecycle_transition").first().to_stage == "new"
     cited = table("opportunity_evidence").collect()
     assert sorted(r.comment_id for r in cited) == ["0", "1", "2"] and all(r.is_representative for r in cited)
-    assert run("r2") == "partial_failure" and table("opportunity").count() == 1 and table("audit_event").count() == 1
+    assert run("r2") == "partial_failure" and table("opportunity").count() == 1 and table("audit_event").where("action = 'opportunity.create'").count() == 1
     assert {r.run_id: (r.opportunities, r.model_calls) for r in table("exploration_run").collect()} == {"r0": (0, 0), "r1": (1, 1), "r2": (0, 0)}
     assert runs.audit_faults(table("audit_event")).isEmpty()
-    assert runs.begun(spark, base) and run("r3") == "running"
-    runs.ended(spark, base)
+    held = store.take("another")
+    assert run("r3") == "running"
+    store.release(held)
     # after the window only what evidence cites is left
     assert run("r4", NOW + timedelta(days=20)) == "partial_failure"
-    assert {r.comment_id for r in table("comment").collect()} == {"0", "1", "2"} and table("content_fingerprint").count() == 7
+    assert {r.comment_id for r in table("comment").collect()} == {"0", "1", "2"} and retention.latest(table("content_fingerprint").where("kind = 'comment'")).count() == 7
 
 
 def test_topics(spark):
@@ -76,9 +85,6 @@ def test_rules_of_landing(spark, tmp_path):
     assert landing.redacted(frame).columns == ["a.b", "tokens"]
     with pytest.raises(ValueError):
         author_hash(F.lit("p"), F.lit("a"), "")
-    base = str(tmp_path / "store")
-    landing.commit_version(none, base)
-    assert landing.claimed(spark, f"{base}/_claim-2") and landing.commit_version(none, base) == 3 and landing.current_version(spark, base) == 3
     (tmp_path / "settings.json").write_text('{"platforms": ["douyin"], "salt": "x"}')
     assert landing.Settings.load(str(tmp_path / "settings.json")).platforms == ("douyin",)
 

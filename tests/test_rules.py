@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from trivox.functions.text import is_generic_path, next_due, noise_rule
 from trivox.operators import admission, consensus, eligibility, registry, reports, retention, runs, semantics, workflow
 from trivox.sources import landing, schemas
+from trivox.sources.store import Store
 from trivox.streaming import accumulate
 
 T0 = datetime(2024, 1, 1)
@@ -193,9 +194,12 @@ def test_landing_and_versions(spark, tmp_path):
     (tmp_path / "in/a.json").write_text("\n".join([json.dumps(good), json.dumps({"platform": "douyin"}), "{broken"]))
     rows, bad = landing.read_contract(spark, str(tmp_path / "in"), "comment")
     assert (rows.count(), bad.count()) == (1, 2) and rows.columns == schemas.empty(spark, "comment").columns
-    base = str(tmp_path / "store")
-    assert [landing.commit_version(rows, base), landing.commit_version(rows.unionByName(rows), base)] == [1, 2]
-    assert landing.current_version(spark, base) == 2 and landing.read_version(spark, base).count() == 2
+    store = Store(spark, str(tmp_path / "store"))
+    for i, made in enumerate((rows, rows.unionByName(rows)), 1):
+        changes = store.changes()
+        changes.put("comment", made)
+        assert changes.commit().version == i
+    assert store.entry().version == 2 and store.read("comment").count() == 2
     frames = {"douyin": rows, "bilibili": rows}
     assert landing.platform_union(frames, landing.Settings(platforms=("douyin",))).count() == 1
     assert landing.redacted(spark.createDataFrame([(1, "x")], "a int, api_key string")).columns == ["a"]

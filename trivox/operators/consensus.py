@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trivox.functions.lineage import cut
+
 PEOPLE = 3
 
 
@@ -91,3 +95,53 @@ def reached(rows: DataFrame, group: list[str], person: str, at: str, least: int
 def collected(found: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
     """Evidence rows of a group as one ordered array; a group has few, as ``evidence`` bounds them."""
     return found.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("place", *columns))).alias("evidence"))
+
+
+_ITEM = ["platform", "video_id"]
+_SAME = "platform string, video_id string, cluster_id string, known_id string"
+
+
+def _signed(members: DataFrame) -> DataFrame:
+    """Clusters with ``sign``, which tells them apart by their comments and not by their numbers."""
+    comment = F.col("comment_id")
+    return members.groupBy(*_ITEM, "cluster_id").agg(F.struct(F.min(comment).alias("first"), F.count("*").alias("n"), F.sum(F.xxhash64(comment).cast("decimal(38,0)")).alias("all")).alias("sign"))
+
+
+def assigned(new: DataFrame, known: DataFrame, verdicts: DataFrame | None = None) -> DataFrame:
+    """``(platform, video_id, cluster_id, known_id)``: which older cluster of the same video each new one is.
+
+    A new cluster may be one that it shares comments with, or that a stored verdict ``(platform, video_id, cluster_id,
+    known_id)`` calls the same need. Each is assigned once at most, on both sides, the pair with the most shared comments
+    first, then the smaller known id, then the new cluster's comments: a total order, which a new numbering of clusters
+    doesn't change. Pairs that are the best of both their clusters are taken together, round by round, until none is left.
+    """
+    met = new.select(*_ITEM, "cluster_id", "comment_id").distinct().join(known.select(*_ITEM, F.col("cluster_id").alias("known_id"), "comment_id").distinct(), [*_ITEM, "comment_id"])
+    edges = met.groupBy(*_ITEM, "cluster_id", "known_id").agg(F.count("*").alias("shared"))
+    if verdicts is not None:
+        there = known.select(*_ITEM, F.col("cluster_id").alias("known_id")).distinct()
+        told = verdicts.select(*_ITEM, "cluster_id", "known_id").distinct().join(there, [*_ITEM, "known_id"], "left_semi")
+        edges = edges.unionByName(told.withColumn("shared", F.lit(0).cast("long"))).groupBy(*_ITEM, "cluster_id", "known_id").agg(F.max("shared").alias("shared"))
+    order = F.struct((-F.col("shared")).alias("less"), "known_id", "sign", "cluster_id").alias("order")
+    left = cut(edges.join(_signed(new), [*_ITEM, "cluster_id"]).select(*_ITEM, "cluster_id", "known_id", order))
+    done = []
+    while not left.isEmpty():
+        best = lambda side: left.groupBy(*_ITEM, side).agg(F.min("order").alias("order"))  # noqa: B023, E731
+        taken = cut(best("cluster_id").join(best("known_id"), [*_ITEM, "order"]).select(*_ITEM, "cluster_id", "known_id"))
+        done.append(taken)
+        left = cut(left.join(taken, [*_ITEM, "cluster_id"], "left_anti").join(taken, [*_ITEM, "known_id"], "left_anti").select(*left.columns))
+    return reduce(DataFrame.unionByName, done) if done else new.sparkSession.createDataFrame([], _SAME)
+
+
+def identified(new: DataFrame, known: DataFrame, live: DataFrame, run: str, verdicts: DataFrame | None = None) -> DataFrame:
+    """Members of all clusters after a run, under ids that last: ``new`` ones numbered anew, ``known`` with their ids.
+
+    A new cluster gets the id of the older one that it is ``assigned`` to, or one minted from its comments and the run,
+    which nothing changes later. A comment that was judged again is where the newer judgement puts it; the others stay
+    while they are in ``live``.
+    """
+    name = F.sha2(F.concat_ws("\u0001", *_ITEM, F.col("sign.first"), F.col("sign.n").cast("string"), F.col("sign.all").cast("string"), F.lit(run)), 256)
+    minted = _signed(new).select(*_ITEM, "cluster_id", name.alias("minted"))
+    same = assigned(new, known, verdicts).join(minted, [*_ITEM, "cluster_id"]).select(*_ITEM, F.col("minted").alias("cluster_id"), "known_id")
+    named = new.join(minted, [*_ITEM, "cluster_id"]).withColumn("cluster_id", F.col("minted")).select(*new.columns)
+    untouched = live.join(new.select(*_ITEM, "comment_id"), [*_ITEM, "comment_id"], "left_anti")
+    return carried(named, known.select(*new.columns), same, untouched)

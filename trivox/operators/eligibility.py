@@ -50,20 +50,22 @@ def in_pool(df: DataFrame, pool: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(pool.select(*keys), keys, "left_semi")
 
 
-def within_budget(videos: DataFrame, comments: DataFrame, max_videos: int, max_comments: int, per_video: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(videos, comments, flag)`` of a run: videos in (platform, hot rank) order up to either limit.
+def within_budget(videos: DataFrame, comments: DataFrame, max_videos: int, max_comments: int, per_video: int, first: list[Column | str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(videos, comments, flag)`` of a run: videos in (platform, hot rank) order up to either limit, and of a video's
+    comments the first by ``first`` (their ids).
 
     The flag has one row, ``budget_exhausted``. A run has a few thousand rows, so one ordered window serves; the running
     count is over one row for each video, not over comments.
     """
-    kept = top_per_group(comments, ["platform", "video_id"], ["comment_id"], per_video)
+    first = first or ["comment_id"]
+    kept = top_per_group(comments, ["platform", "video_id"], first, per_video)
     sizes = kept.groupBy("platform", "video_id").agg(F.count("*").alias("_c"))
     order = Window.orderBy("platform", F.col("hot_rank").asc_nulls_last(), "video_id")
     ranked = videos.join(sizes, ["platform", "video_id"], "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
     ranked = ranked.withColumn("_v", F.row_number().over(order)).withColumn("_before", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c"))
     inside = ranked.where((F.col("_v") <= max_videos) & (F.col("_before") < max_comments))
     left = kept.join(inside.select("platform", "video_id", "_before"), ["platform", "video_id"])
-    place = F.row_number().over(Window.partitionBy("platform", "video_id").orderBy("comment_id"))
+    place = F.row_number().over(Window.partitionBy("platform", "video_id").orderBy(*first))
     taken = left.withColumn("_p", place).where(F.col("_before") + F.col("_p") <= max_comments).drop("_p", "_before")
     flag = ranked.agg((F.coalesce(F.max("_v"), F.lit(0)) > max_videos).alias("_a"), (F.coalesce(F.sum("_c"), F.lit(0)) > max_comments).alias("_b"))
     return inside.drop("_c", "_v", "_before"), taken, flag.select((F.col("_a") | F.col("_b")).alias("budget_exhausted"))

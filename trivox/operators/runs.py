@@ -5,10 +5,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trivox.sources.landing import claimed, released
 from trivox.sources.schemas import AUDITED
 
 
@@ -17,15 +16,6 @@ def current_run(runs: DataFrame) -> DataFrame:
     return runs.where("status in ('waiting', 'running')").orderBy("started_at", "run_id").limit(1)
 
 
-def begun(spark, base: str) -> bool:
-    """Whether this caller may run: one of all who start at once gets the lock, the others see the run under way."""
-    return claimed(spark, f"{base}/_run")
-
-
-def ended(spark, base: str) -> None:
-    released(spark, f"{base}/_run")
-
-
 def run_steps(steps: Iterable[tuple[str, Callable[[], None]]], cancelled: Callable[[], bool]) -> tuple[list[str], str | None]:
     """Run steps in order; ``(done, stopped_before)``. A cancel takes effect between steps, never inside a write, and what
     was committed stays."""
@@ -38,13 +28,30 @@ def run_steps(steps: Iterable[tuple[str, Callable[[], None]]], cancelled: Callab
     return done, None
 
 
-def attempts(step: Callable[[], None], most: int = 3, wait: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> str | None:
-    """Try a step ``most`` times, waiting twice as long each time. Null if it went well, else the last error's text."""
+def repeated(steps: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The steps that a retry of each run repeats, of ``steps(run_id, platform, stage, place)``.
+
+    ``ledger(run_id, platform, stage, state)`` says what a run did. A step that did not end as ``ok`` is repeated, and so
+    is every step of a later place than one that is, as it worked on what that one left.
+    """
+    keys = ["run_id", "platform", "stage"]
+    done = ledger.where("state = 'ok'").select(*keys).distinct().withColumn("_ok", F.lit(True))
+    joined = steps.join(done, keys, "left")
+    first = F.min(F.when(F.col("_ok").isNull(), F.col("place"))).over(Window.partitionBy("run_id"))
+    return joined.withColumn("_first", first).where(F.col("_ok").isNull() | (F.col("place") > F.col("_first"))).drop("_ok", "_first")
+
+
+def attempts(step: Callable[[], None], most: int = 3, wait: float = 1.0, sleep: Callable[[float], None] = time.sleep, unless: type[Exception] | tuple = ()) -> str | None:
+    """Try a step ``most`` times, waiting twice as long each time. Null if it went well, else the last error's text.
+
+    An error of the kind ``unless`` is not tried again but raised."""
     error = None
     for i in range(most):
         try:
             step()
             return None
+        except unless:
+            raise
         except Exception as e:  # noqa: BLE001  any fault of a platform ends as its error text
             error = f"{type(e).__name__}: {e}"
             if i + 1 < most:

@@ -71,6 +71,22 @@ def clusters_by_item(comments: DataFrame, item: list[str], key: str, text: str,
     return bounded.select(*columns).groupBy(*item).applyInPandas(work, f"{kinds}, cluster int")
 
 
+def judged_twice(judge: Callable[[list[str]], list[int]]) -> Callable[[list[str]], list[int]]:
+    """``judge`` asked a second time with the texts the other way round; a cluster that does not come out the same gets a
+    negative number, as its judgement is not stable."""
+
+    def run(texts: list[str]) -> list[int]:
+        first, second = judge(texts), judge(texts[::-1])[::-1]
+        of_first: dict[int, set[int]] = {}
+        of_second: dict[int, set[int]] = {}
+        for a, b in zip(first, second, strict=True):
+            of_first.setdefault(a, set()).add(b)
+            of_second.setdefault(b, set()).add(a)
+        return [a if of_second[b] == {a} and of_first[a] == {b} else -1 - abs(a) for a, b in zip(first, second, strict=True)]
+
+    return run
+
+
 def same_text(texts: list[str]) -> list[int]:
     """A stand-in for the model in tests: equal texts are one need; needs are numbered in their order."""
     number = {t: i for i, t in enumerate(sorted({t or "" for t in texts}), 1)}

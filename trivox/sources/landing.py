@@ -1,4 +1,4 @@
-"""Reading landing files into the contract, and sinks that append or switch versions."""
+"""Reading landing files into the contract, settings and logins. Tables are written through ``store``."""
 
 from __future__ import annotations
 
@@ -75,74 +75,3 @@ def redacted(df: DataFrame) -> DataFrame:
     """Without the columns that hold secrets."""
     plain = lambda c: "".join(x for x in c.lower() if x.isalnum())
     return df.select(*[F.col(f"`{c}`") for c in df.columns if not any(s in plain(c) for s in SECRET)])
-
-
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
-def commit_version(df: DataFrame, base: str) -> int:
-    """Write ``df`` as a new version below ``base`` and make it current; readers see the old version or the new one.
-
-    The pointer is replaced by one rename through Spark's file system, so a crash before it changes nothing. A number is
-    claimed by a file that only one writer can make, so two writers never share a folder; the one that finds another
-    version current than it started from is refused.
-    """
-    spark = df.sparkSession
-    before = current_version(spark, base)
-    version = (before or 0) + 1
-    jvm = spark.sparkContext._jvm
-    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    while not claimed(spark, f"{base}/_claim-{version}"):
-        version += 1
-    df.write.parquet(f"{base}/v={version}")
-    if current_version(spark, base) != before:
-        raise RuntimeError(f"{base} was changed by another writer; version {version} is not current")
-    stream = fs.create(path(f"{base}/_next"), True)
-    stream.writeBytes(str(version))
-    stream.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(base).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(path(f"{base}/_next"), path(f"{base}/_current"), options)
-    return version
-
-
-def claimed(spark: SparkSession, file: str) -> bool:
-    """Makes an empty file, unless it is there: true for one caller only."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(path.getParent())
-    if fs.exists(path):
-        return False
-    try:
-        fs.create(path, False).close()
-    except Exception as e:  # the file came in between
-        if fs.exists(path):
-            return False
-        raise e
-    return True
-
-
-def released(spark: SparkSession, file: str) -> None:
-    """Removes what ``claimed`` made."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
-
-
-def current_version(spark: SparkSession, base: str) -> int | None:
-    jvm = spark.sparkContext._jvm
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{base}/_current")
-    fs = pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(pointer):
-        return None
-    stream = fs.open(pointer)
-    try:
-        return int(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
-def read_version(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/v={current_version(spark, base)}")
