@@ -96,9 +96,9 @@ def benchmark_windows(items: DataFrame, item: str, text: str, length: int) -> tu
     by_length = F.lit(None).cast("array<struct<n:int,g:bigint,s:int,x:array<bigint>>>")
     for n in lengths:
         by_length = F.when(F.col("len") == n, runs(F.col("h"), n)).otherwise(by_length)
-    held = cut(windows(each.select("item", F.explode(by_length).alias("r")).select("item", "r.*"), ["item"]).select("n", "g", "a", "b", "item").distinct())
+    held = windows(each.select("item", F.explode(by_length).alias("r")).select("item", "r.*"), ["item"]).select("n", "g", "a", "b", "item").distinct()
     one, two = F.xxhash64("item").cast("decimal(38,0)"), F.xxhash64("item", F.lit(1)).cast("decimal(38,0)")
-    made = cut(held.groupBy("n", "g", "a", "b").agg(F.xxhash64(F.sum(one), F.sum(two), F.count("*")).alias("sid")))
+    made = held.groupBy("n", "g", "a", "b").agg(F.xxhash64(F.sum(one), F.sum(two), F.count("*")).alias("sid"))
     # the items of a set are those of any of its windows
     chosen = made.groupBy("sid").agg(F.min(F.struct("n", "g", "a", "b")).alias("w")).select("sid", "w.*")
     return made, chosen.join(held, ["n", "g", "a", "b"]).select("sid", "item"), lengths
@@ -115,8 +115,9 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     added name gets ``_in`` behind it, other names do not matter. Empty tables give no hits or no rows.
     """
     known, sets, lengths = benchmark_windows(items, item, item_text, length)
-    # a bound that is looked at: a benchmark beyond it takes the other way
-    send = F.broadcast if known.count() <= SENT else lambda df: df
+    # a bound that is looked at: a benchmark beyond it is written and joined by shuffles, whose hot keys can be split
+    small = known.count() <= SENT
+    known, send = (known, F.broadcast) if small else (cut(known), lambda df: df)
     plain, of = sealed(docs)
     own = F.col(of(text))
     named = plain.select(F.col(of(key)).alias("k"), F.xxhash64(own).alias("th"), own.alias("t"))
@@ -132,7 +133,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     mine = mine.withColumn("sig", F.sha2(F.array_join(F.transform("sids", lambda x: x.cast("string")), ","), 256))
     lists = mine.groupBy("sig").agg(F.first("sids").alias("sids")).select("sig", F.explode("sids").alias("sid")).join(sets, "sid").groupBy("sig").agg(F.array_sort(F.collect_set("item")).alias("items"))
     told = lists.select("sig", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("sha"))
-    result = cut(n_hit.join(mine.select("k", "th", "sig"), (n_hit["k"].eqNullSafe(mine["k"])) & (n_hit["th"] == mine["th"])).select(n_hit["k"], n_hit["th"], "n_hit", "sig").join(told, "sig"))
+    result = n_hit.join(mine.select("k", "th", "sig"), (n_hit["k"].eqNullSafe(mine["k"])) & (n_hit["th"] == mine["th"])).select(n_hit["k"], n_hit["th"], "n_hit", "sig").join(told, "sig")
 
     side = plain.withColumn("__th", F.xxhash64(own)).withColumn("__n", F.size(words(own)).cast("long"))
     joined = side.join(result, F.col(of(key)).eqNullSafe(F.col("k")) & (F.col("__th") == F.col("th")), "left")
