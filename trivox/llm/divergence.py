@@ -21,8 +21,8 @@ LEAST = 30
 #: What is added to each count, and the unit of shares.
 ADDED, UNIT = 5, 1_000_000_000
 TOP = 50
-#: Counts (vectors times sources) of a block, and pairs of sources that one task evaluates.
-COUNTS, PAIRS = 1 << 22, 1 << 20
+#: Vectors of a block, counts (vectors times sources) of a block at most, and pairs of sources that one task evaluates.
+VECTORS, COUNTS, PAIRS = 1 << 12, 1 << 22, 1 << 20
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -78,8 +78,9 @@ def pair_sums(kept: DataFrame, found: DataFrame) -> DataFrame:
     """
     each = kept.groupBy("lang", "vector").agg(F.count("*").alias("times"))
     langs = cut(found.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("source", "total"))).alias("sources"), F.max("terms").alias("terms")))
-    sizes = langs.agg(F.max(F.size("sources") * F.col("terms")), F.max(F.size("sources"))).first()
-    blocks, tiles = max(1, -(-(sizes[0] or 0) // COUNTS)), max(1, -(-((sizes[1] or 0) ** 2) // (2 * PAIRS)))
+    most, width = (x or 0 for x in langs.agg(F.max("terms"), F.max(F.size("sources"))).first())
+    blocks = max(1, -(-most // max(1, min(VECTORS, COUNTS // max(1, width)))))
+    tiles = max(1, -(-(width**2) // (2 * PAIRS)))
     to_all = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = langs.withColumn("block", to_all(blocks)).withColumn("tile", to_all(tiles))
     right = each.withColumn("block", F.pmod(F.xxhash64("vector"), F.lit(blocks)).cast("int")).withColumn("tile", to_all(tiles))
