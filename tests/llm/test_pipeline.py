@@ -1,11 +1,10 @@
 import hashlib
 
 import duckdb
-import numpy as np
 import pytest
 
 import corpus_pipeline as cp
-from trivox.llm import bpe, langid, simhash
+from trivox.llm import bpe, langid
 
 D = "/root/testdata/sf0.001"
 
@@ -25,21 +24,16 @@ def brute_lines(rows):
 
 
 def brute_groups(texts):
-    ids = sorted(texts)
-    fps = np.array([simhash.fingerprint(texts[i].encode()) for i in ids], np.uint64)
-    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3
-    kept, seen = set(), set()
-    for i in range(len(ids)):
-        if i not in seen:
-            kept.add(ids[i])
-            todo = [i]
-            seen.add(i)
-            while todo:
-                for j in np.flatnonzero(near[todo.pop()]).tolist():
-                    if j not in seen:
-                        seen.add(j)
-                        todo.append(j)
-    return kept
+    """The smallest id of each group of texts linked by a Jaccard index of 0.8 or more over five words."""
+    words = {d: t.encode().lower().split() for d, t in texts.items()}
+    sets = {d: {b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, w in words.items()}
+    label = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if j < i and label[i] != label[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    return {i for i, x in label.items() if i == x}
 
 
 def test_stages_against_brute_force(spark):
@@ -88,16 +82,9 @@ def test_near_copies_of_the_stage(spark):
     """The third stage against a Jaccard index of 0.8 over five words, by brute force."""
     docs = cp.drop_repeated_lines(spark, spark.read.parquet(f"{D}/documents.parquet"), D)
     docs = spark.createDataFrame(docs.collect(), docs.schema)
-    words = {r.doc_id: r.text.encode().lower().split() for r in docs.collect()}
-    sets = {d: {b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, w in words.items()}
-    label = {i: i for i in sets}
-    for i in sorted(sets):
-        for j in sorted(sets):
-            if j < i and label[i] != label[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                low, high = sorted((label[i], label[j]))
-                label = {k: low if v == high else v for k, v in label.items()}
-    want = {i for i, x in label.items() if i == x}
-    assert {r.doc_id for r in cp.drop_near_duplicates(spark, docs, D).collect()} == want and len(want) < len(sets)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = brute_groups(texts)
+    assert {r.doc_id for r in cp.drop_near_duplicates(spark, docs, D).collect()} == want and len(want) < len(texts)
 
 
 ODD = ["n_lines", "n_removed", "slot", "place", "block", "release", "open_mix", "a.b", "k", "h", "s", "node", "__0", "cover"]

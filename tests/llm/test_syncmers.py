@@ -2,7 +2,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from trivox.llm.syncmers import K, S, anchors, fingerprints, with_next
+from trivox.llm.syncmers import K, S, anchors, fingerprint, fingerprints, likeness, steps, with_next
 
 
 def edited(rows):
@@ -38,12 +38,30 @@ def test_ranges_do_not_change_neighbours(spark):
 
 
 def test_anchors_are_context_free(spark):
-    passage = " ".join(f"p{i}" for i in range(40))
-    df = spark.createDataFrame([("a b c " + passage,), (passage + " x y",), ("p0 p1",), ("",)], "t string")
-    first, second, short, none = (r.a for r in df.select(anchors(F.col("t")).alias("a")).collect())
-    inside = {(x.pos - 3, x.hash) for x in first if x.pos >= 3}
-    assert inside == {(x.pos, x.hash) for x in second if x.pos <= 40 - K} and len(inside) > 8
-    assert len(short) == 1 and none == [] and S < K
+    passage = " ".join(f"p{i}" for i in range(60))
+    df = spark.createDataFrame([("a b c " + passage,), (passage + " x y",), ("p0 p1",), ("",), (None,)], "t string")
+    first, second, short, none, null = (r.a for r in df.select(anchors(F.col("t")).alias("a")).collect())
+    inside = {(x.pos - 3, x.hash) for x in first if x.pos >= K + 2}
+    assert inside == {(x.pos, x.hash) for x in second if K - 1 <= x.pos < 60} and len(inside) > 8
+    assert [x.pos for x in short] == [0, 1] and [(x.pos, x.hash) for x in short] == [(x.pos, x.hash) for x in second[:2]] and none == null == [] and S < K
+
+
+def test_one_rule_for_all_texts(spark):
+    """A word more, a very long word or another script beside a text leave its anchors as they are."""
+    words = [f"w{i * 7919 % 4001}" for i in range(100)]
+    han = "".join(chr(0x4E00 + i * 7919 % 20000) for i in range(300))
+    pairs = [(" ".join(words[:16]), " ".join(words[:15])), (" ".join(words), " ".join(words) + " " + "x1y2z3" * 330), (han, han + " ".join(words[:60]))]
+    df = spark.createDataFrame(pairs, "a string, b string").select(steps(fingerprint(F.col("a"))).alias("a"), steps(fingerprint(F.col("b"))).alias("b"))
+    got = [r[0] for r in df.select(likeness(F.col("a"), F.col("b"))).collect()]
+    assert all(x > 0.5 for x in got), got
+
+
+def test_many_null_keys(spark):
+    rows = [(None, f"t{i}") for i in range(300)] + [(i, f"k{i}") for i in range(20)] + [(None, "t5")] * 3
+    df = spark.createDataFrame(rows, "k long, t string").withColumn("__order", F.xxhash64("t"))
+    got = [(r.t, r.next_t) for r in with_next(df, "k", ["t"], range_rows=10).collect()]
+    order = [r.t for r in df.orderBy(F.desc_nulls_last("k"), "__order").collect()]
+    assert sorted(got) == sorted(zip(order, [*order[1:], order[0]], strict=True))
 
 
 def test_few_words_and_no_blanks(spark):
@@ -72,24 +90,19 @@ def brute_print(text):
             h = xxhash.xxh64_intdigest(v, h)
         return h
 
-    words = [w for w in re.split(r"[ \t-\r]+", text) if w]
-    joined = " ".join(words)
-    if len(words) < 16 or len(joined) > 24 * len(words):
-        words = list(joined)
-    h = [chained([w.encode()]) for w in words]
+    units = re.findall("[^ \t-\r\u0e00-\u0eff\u2e80-\U0010ffff]{1,6}|[^ \t-\r]", text)
+    h = [chained([u.encode()]) for u in units]
     signed = lambda x: x - 2**64 if x >= 2**63 else x
-    found = []
-    if 0 < len(h) < 4:
-        found = [(0, chained([" ".join(str(signed(x)) for x in h).encode()]))]
-    m = [chained([long(h[i]), long(h[i + 1])]) for i in range(len(h) - 1)]
-    for i in range(len(h) - 3):
-        inner = [signed(x) for x in m[i : i + 3]]
+    found = [(i, chained([i.to_bytes(4, "little"), *[long(x) for x in h[: i + 1]]])) for i in range(min(len(h), 7))]
+    m = [chained([long(x) for x in h[i : i + 3]]) for i in range(len(h) - 2)]
+    for i in range(len(h) - 7):
+        inner = [signed(x) for x in m[i : i + 6]]
         if min(inner) in (inner[0], inner[-1]):
-            found.append((i, chained([long(m[i]), long(m[i + 2])])))
+            found.append((i + 7, chained([long(m[i]), long(m[i + 3]), long(m[i + 5])])))
     low = [x & 0xFFFFFFFF for _, x in found]
     gaps = [p - (found[i - 1][0] if i else 0) for i, (p, _) in enumerate(found)]
     code = [g << 32 | x for g, x in zip(gaps, low, strict=True)]
-    steps = {chained([long(low[i - 1]), long(code[i])]) for i in range(1, len(code))} if len(code) > 1 else {chained([long(x)]) for x in low}
+    steps = {chained([long(low[i - 1] if i else -1), long(code[i])]) for i in range(len(code))}
     return "".join(f"{c:09x}" for c in code), steps
 
 

@@ -1,10 +1,11 @@
 """Document fingerprints from closed syncmers (operator 9), in DataFrame functions only.
 
-Words are hashed; a k-mer is k words in a row and an s-mer s words. A k-mer is an anchor if the smallest of its s-mer
-hashes is the first or the last one, which depends on nothing outside of it: the same passage has the same anchors
-wherever it stands. A fingerprint has all anchors of a text with their positions. Two fingerprints are matched by
-position: an anchor counts with the one behind it, if both texts have the two at the same distance. Texts of few words,
-or of few for their length, as in scripts without blanks, have characters in place of words.
+A text is cut into units by one rule for all: up to six characters of a word, or one character of a script that has no
+blanks. Units are hashed; a k-mer is k units in a row and an s-mer s units. A k-mer is an anchor if the smallest of its
+s-mer hashes is the first or the last one, which depends on nothing outside of it: the same passage has the same anchors
+wherever it stands. The beginning of a text, where there are no k units yet, has an anchor for each of its first units, so
+that short texts have some as well. A fingerprint has all anchors with their positions. Two fingerprints are matched by
+position: an anchor counts with the one before it, if both texts have the two at the same distance.
 """
 
 from __future__ import annotations
@@ -17,72 +18,53 @@ from pyspark.sql.types import NumericType
 
 from trivox.llm.common import cut, sealed, table
 
-K = 4
-S = 2
-#: A text of fewer words, or of more characters a word, is taken by its characters.
-FEW_WORDS = 16
-LONG_WORDS = 24
+K = 8
+S = 3
+#: A unit: one character of scripts without blanks (from U+2E80 on, Thai and Lao), else up to six of a word.
+UNIT = r"[^ \t-\r\x{E00}-\x{EFF}\x{2E80}-\x{10FFFF}]{1,6}|[^ \t-\r]"
 #: Documents in a range of neighbours, and the most ranges.
 RANGE_ROWS = 4096
 MAX_RANGES = 100_000
 _LOW = 0xFFFFFFFF
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != "")
-
-
-def _units(text: Column) -> Column:
-    """Hashes of a text's words, or of its characters (of each run of blanks one) by a rule of the text alone."""
-
-    def chosen(words: Column) -> Column:
-        joined = F.array_join(words, " ")
-        few = (F.size(words) < FEW_WORDS) | (F.char_length(joined) > LONG_WORDS * F.size(words))
-        return F.when(few, F.filter(F.split(joined, ""), lambda c: c != "")).otherwise(words)
-
-    # bound once by a one-element transform
-    units = F.get(F.transform(F.array(_words(text)), chosen), F.lit(0))
-    return F.transform(units, lambda w: F.xxhash64(w))
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """``array<struct<pos int, hash bigint>>``: the anchors of a text by word position.
+    """``array<struct<pos int, hash bigint>>``: the anchors of a text, by the place of their last unit.
 
-    A text of fewer than k words has one anchor, of all its words; one without words, or null, has none.
+    The first k - 1 anchors are those of the text's beginning, of one unit, of two and so on. A text without units, or null,
+    has none.
     """
-    return _anchors(F.transform(_words(F.coalesce(text, F.lit(""))), lambda w: F.xxhash64(w)), k, s)
-
-
-def _anchors(hashes: Column, k: int, s: int) -> Column:
-    """The anchors of an array of hashes, of words or characters."""
     if not 0 < s < k:
         raise ValueError("an s-mer must be shorter than a k-mer")
-    # each intermediate array is bound once by a one-element transform
-    def of_words(h: Column) -> Column:
+    inner = k - s
+    # s-mers that cover the k-mer
+    over = [*range(0, inner, s), inner]
+
+    def of_units(h: Column) -> Column:
         smers = F.transform(F.sequence(F.lit(0), F.size(h) - s), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(s)])) if s > 1 else h
-        return F.get(F.transform(F.array(F.struct(h.alias("h"), smers.alias("m"))), of_smers), F.lit(0))
+        first = F.transform(F.sequence(F.lit(0), F.least(F.size(h), F.lit(k - 1)) - 1), lambda i: F.struct(i.alias("pos"), F.xxhash64(i, *[F.get(h, F.when(i >= j, F.lit(j))) for j in range(k - 1)]).alias("hash")))
+        whole = F.when(F.size(h) >= k, F.concat(first, _bound(smers, of_smers))).otherwise(first)
+        return F.when(F.size(h) > 0, whole).otherwise(F.slice(F.array(F.struct(F.lit(0).alias("pos"), F.lit(0).cast("long").alias("hash"))), 1, 0))
 
-    def of_smers(x: Column) -> Column:
-        h, m, inner = x["h"], x["m"], k - s
-        # s-mers that cover the k-mer
-        over = [*range(0, inner, s), inner]
-        places = F.sequence(F.lit(0), F.size(h) - k)
+    def of_smers(m: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(m) - inner - 1)
         edge = lambda i: F.least(F.get(m, i), F.get(m, i + inner))
         inside = lambda i: F.least(*[F.get(m, i + j) for j in range(1, inner)], F.lit(2**63 - 1))
         chosen = F.filter(places, lambda i: edge(i) <= inside(i)) if inner > 1 else places
-        return F.transform(chosen, lambda i: F.struct(i.alias("pos"), F.xxhash64(*[F.get(m, i + j) for j in over]).alias("hash")))
-
-    def given(h: Column) -> Column:
-        whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(F.array_join(F.transform(h, lambda x: x.cast("string")), " ")).alias("hash")))
-        none = F.slice(whole, 1, 0)
-        return F.when(F.size(h) >= k, of_words(h)).when(F.size(h) > 0, whole).otherwise(none)
+        return F.transform(chosen, lambda i: F.struct((i + (k - 1)).alias("pos"), F.xxhash64(*[F.get(m, i + j) for j in over]).alias("hash")))
 
-    return F.get(F.transform(F.array(hashes), given), F.lit(0))
+    units = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(UNIT), F.lit(0))
+    return _bound(F.transform(units, lambda u: F.xxhash64(u)), of_units)
 
 
 def fingerprint(text: Column, k: int = K, s: int = S) -> Column:
     """All anchors of a text in their order, each as a long: its distance from the one before (the first one's from the
-    start) in the high half, 32 bits of its hash in the low one. A text without words, or null, has none."""
+    start) in the high half, 32 bits of its hash in the low one. A text without units, or null, has none."""
 
     def coded(found: Column) -> Column:
         at = lambda i: F.get(found, i)["pos"]
@@ -91,21 +73,25 @@ def fingerprint(text: Column, k: int = K, s: int = S) -> Column:
         codes = F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.shiftleft(gap(i), 32).bitwiseOR(low(i)))
         return F.when(F.size(found) > 0, codes).otherwise(F.array().cast("array<long>"))
 
-    found = F.array(_anchors(_units(F.coalesce(text, F.lit(""))), k, s))
-    return F.get(F.transform(found, coded), F.lit(0))
+    return _bound(anchors(text, k, s), coded)
 
 
-def printed(made: Column) -> Column:
-    """A fingerprint as text, nine hex digits an anchor: one of distance, eight of hash."""
-    return F.array_join(F.transform(made, lambda x: F.lpad(F.lower(F.hex(x)), 9, "0")), "")
+def printed(made: Column, k: int = K) -> Column:
+    """A fingerprint as text: for each anchor its distance, in as many hex digits as k has, and eight of its hash."""
+    wide = len(f"{k:x}") + 8
+    return F.array_join(F.transform(made, lambda x: F.lpad(F.lower(F.hex(x)), wide, "0")), "")
 
 
 def steps(made: Column) -> Column:
-    """The distinct steps of a fingerprint: a hash of two neighbouring anchors and their distance. A single anchor is a
-    step of its own."""
-    low = lambda x: x.bitwiseAND(F.lit(_LOW))
-    pairs = F.transform(F.sequence(F.lit(1), F.size(made) - 1), lambda i: F.xxhash64(low(F.get(made, i - 1)), F.get(made, i)))
-    return F.when(F.size(made) > 1, F.array_distinct(pairs)).otherwise(F.transform(made, lambda x: F.xxhash64(low(x))))
+    """The distinct steps of a fingerprint: a hash of an anchor, the one before it, none before the first, and their
+    distance."""
+
+    def of(codes: Column) -> Column:
+        before = lambda i: F.when(i > 0, F.get(codes, i - 1).bitwiseAND(F.lit(_LOW))).otherwise(F.lit(-1).cast("long"))
+        found = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(codes) - 1), lambda i: F.xxhash64(before(i), F.get(codes, i))))
+        return F.when(F.size(codes) > 0, found).otherwise(F.array().cast("array<long>"))
+
+    return _bound(made, of)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -116,12 +102,12 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _ranged(docs: DataFrame, key: str, range_rows: int) -> DataFrame:
-    """``docs`` with ``__at``: ranges of the key in its order, a null key in one below all."""
-    n = docs.count()
-    ranges = max(1, min(MAX_RANGES, -(-n // range_rows)))
-    low = F.lit(-1).cast("int")
+    """``docs`` with ``__at``: ranges of the key in its order, and of ``__order`` below all for rows with a null key."""
+    n, nulls = docs.agg(F.count("*"), F.count_if(F.col(key).isNull())).first()
+    ranges, pieces = (max(1, min(MAX_RANGES, -(-x // range_rows))) for x in (n, nulls))
+    low = (-1 - F.least(F.floor((F.col("__order").cast("double") / 2.0**64 + 0.5) * pieces), F.lit(pieces - 1))).cast("int")
     if not isinstance(docs.schema[key].dataType, NumericType):
-        dealt = docs.repartitionByRange(ranges, F.col(key).asc_nulls_first())
+        dealt = docs.repartitionByRange(ranges, F.col(key).asc_nulls_first(), F.col("__order").desc())
         # kept, as another run might cut the ranges elsewhere
         return cut(dealt.withColumn("__at", F.when(F.col(key).isNull(), low).otherwise(F.spark_partition_id())))
     parts = [i / ranges for i in range(1, ranges)]
@@ -140,16 +126,18 @@ def _ranged(docs: DataFrame, key: str, range_rows: int) -> DataFrame:
 def with_next(docs: DataFrame, key: str, values: list[str], range_rows: int = RANGE_ROWS, made: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``docs`` with ``next_<value>`` of the row that follows in descending order of ``key``; the first follows the last.
 
-    Rows with equal keys go by ``__order``. The keys are cut into ranges at quantiles, so one sort and one shuffle of
-    the rows serve; the first row of each range is also sent to the range above, where it ends the order. ``made`` adds
-    columns when the rows have moved.
+    Rows with equal keys go by ``__order``, null keys last. The keys are cut into ranges at quantiles, null ones into equal
+    parts of ``__order``, so one sort and one shuffle of the rows serve; the first row of each range is also sent to the
+    range above, where it ends the order. ``made`` adds columns when the rows have moved.
     """
     kind, at = docs.schema[key].dataType.simpleString(), _ranged(docs, key, range_rows)
     # a row for each range
-    heads = sorted(((r["__at"], r["m"]) for r in at.groupBy("__at").agg(F.max(key).alias("m")).collect()), key=lambda x: x[0])
-    above = [*[a for a, _ in heads[1:]], heads[0][0]] if heads else []
-    tops = docs.sparkSession.createDataFrame([(a, m, up) for (a, m), up in zip(heads, above, strict=True)], f"__a int, __m {kind}, __up int")
-    sent = at.join(F.broadcast(tops), (F.col("__at") == F.col("__a")) & F.col(key).eqNullSafe(F.col("__m")), "left")
+    heads = sorted(at.groupBy("__at").agg(F.max(key).alias("m"), F.min("__order").alias("o")).collect(), key=lambda r: r["__at"])
+    above = [*[r["__at"] for r in heads[1:]], heads[0]["__at"]] if heads else []
+    order_kind = docs.schema["__order"].dataType.simpleString()
+    tops = docs.sparkSession.createDataFrame([(r["__at"], r["m"], r["o"], up) for r, up in zip(heads, above, strict=True)], f"__a int, __m {kind}, __o {order_kind}, __up int")
+    is_top = F.when(F.col(key).isNull(), F.col("__order") == F.col("__o")).otherwise(F.col(key) == F.col("__m"))
+    sent = at.join(F.broadcast(tops), (F.col("__at") == F.col("__a")) & is_top, "left")
     here, guest = F.struct(F.col("__at").alias("to"), F.lit(False).alias("guest")), F.struct(F.col("__up").alias("to"), F.lit(True).alias("guest"))
     rows = sent.withColumn("__e", F.explode(F.when(F.col("__up").isNull(), F.array(here)).otherwise(F.array(here, guest))))
     rows = rows.select(*docs.columns, F.col("__e.to").alias("__to"), F.col("__e.guest").alias("__guest")).repartition("__to")
@@ -178,7 +166,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     rows = led.select("__k", n.alias("n_chars"), edited.alias("__e"), "__s", steps(F.col("__s")).alias("__a"), steps(F.col("next___s")).alias("__n"))
     rows = rows.withColumn("__es", fingerprint(F.col("__e"), k, s))
     return rows.select(
-        F.col("__k").alias(key), "n_chars", F.sha2("__e", 256).alias("edited_sha256"), printed(F.col("__s")).alias("fingerprint"), printed(F.col("__es")).alias("edited_fingerprint"),
+        F.col("__k").alias(key), "n_chars", F.sha2("__e", 256).alias("edited_sha256"), printed(F.col("__s"), k).alias("fingerprint"), printed(F.col("__es"), k).alias("edited_fingerprint"),
         likeness(F.col("__a"), steps(F.col("__es"))).alias("near_edited"), likeness(F.col("__a"), F.col("__n")).alias("near_next"),
     )
 
