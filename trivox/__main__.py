@@ -17,7 +17,7 @@ from trivox.functions.text import next_due
 from trivox.operators import reports, retention, runs, workflow
 from trivox.operators.explore import explore
 from trivox.sources.landing import Settings
-from trivox.sources.schemas import SCHEMAS, empty
+from trivox.sources.schemas import SCHEMAS
 from trivox.sources.store import Store
 
 
@@ -25,8 +25,7 @@ def init(spark: SparkSession, base: str) -> list[str]:
     """Makes the tables that are not there yet, empty, and returns their names; the others stay as they are."""
     changes = Store(spark, base).changes()
     made = [name for name in SCHEMAS if name not in changes.base.tables]
-    for name in made:
-        changes.put(name, empty(spark, name))
+    changes.tables |= {name: [] for name in made}
     if made:
         changes.commit()
     return made

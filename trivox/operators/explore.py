@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from datetime import datetime, timedelta
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +12,11 @@ from pyspark.sql import functions as F
 from trivox.functions.text import RULES_VERSION, author_hash
 from trivox.operators import admission, consensus, eligibility, registry, retention, runs, semantics, similar
 from trivox.sources import files
-from trivox.sources.landing import Settings, read_contract, ready_platforms
+from trivox.sources.adapters import PLAIN, Adapter
+from trivox.sources.landing import Settings, ready_platforms
 from trivox.sources.schemas import SCHEMAS
 from trivox.sources.store import Changes, Fenced, Store
+from trivox.streaming.intake import intake
 
 GROUP = ["platform", "video_id", "cluster_id"]
 #: The stages behind the platforms' own fetches, in order; each works on what the one before left.
@@ -29,11 +30,13 @@ ALL = "*"
 def explore(
     spark: SparkSession, base: str, landing: str, settings: Settings, run_id: str, now: datetime, cluster: Callable[[list[str]], list[int]], describe: Callable[[list[str]], list[str]],
     cancelled: Callable[[], bool] = lambda: False, same: Callable[[list[str]], list[str]] | None = None, resolve: Callable[[list[str]], list[str]] | None = None, retry_of: str | None = None, store: Store | None = None,
+    adapters: dict[str, Adapter] | None = None,
 ) -> str:
     """Runs one exploration and returns the state that it ended in; ``running`` if another one is under way.
 
-    ``landing`` has a folder ``<platform>/video`` and ``<platform>/comment`` of JSON lines for each platform. A platform
-    without a valid login, or whose files cannot be read to the end, fails alone. All rows are kept; as many videos as
+    ``landing`` has a folder ``<platform>/video`` and ``<platform>/comment`` of JSON lines for each platform, in the shape
+    that its adapter names; files that an earlier run took in are not read again. A platform without a valid login, or
+    whose files cannot be read to the end, fails alone. All rows are kept; as many videos as
     the settings allow are judged, those with comments that no run has looked at yet. Their live comments are clustered by
     ``cluster`` inside the video, and clusters keep their ids from run to run. What three people need is described by
     ``describe``; ``same`` says, of the texts of a new and a known opportunity, whether problem and direction are the same
@@ -48,28 +51,40 @@ def explore(
     if lease is None:
         return "running"
     try:
-        return Exploration(spark, store, lease, landing, settings, run_id, now, cluster, describe, cancelled, same, resolve, retry_of).run()
+        return Exploration(spark, store, lease, landing, settings, run_id, now, cluster, describe, cancelled, same, resolve, retry_of, adapters).run()
     finally:
         store.release(lease)
 
 
 class Exploration:
-    def __init__(self, spark, store, lease, landing, settings, run_id, now, cluster, describe, cancelled, same, resolve, retry_of):
+    def __init__(self, spark, store, lease, landing, settings, run_id, now, cluster, describe, cancelled, same, resolve, retry_of, adapters=None):
         self.spark, self.store, self.lease, self.landing, self.settings = spark, store, lease, landing, settings
         self.run_id, self.now, self.judge, self.describe, self.cancelled = run_id, now, cluster, describe, cancelled
-        self.same, self.resolve, self.retry_of = same, resolve, retry_of
+        self.same, self.resolve, self.retry_of, self.adapters = same, resolve, retry_of, adapters or {}
         self.began, self.at = time.monotonic(), F.lit(now)
         self.videos = self.comments = self.calls = self.made = 0
-        self.exhausted = False
+        self.exhausted, self.rows = False, {}
         self.scratch = f"{store.base}/_scratch/{run_id}"
 
-    def stage(self, name: str, platform: str, work: Callable[[Changes], None], after: Callable[[], None] = lambda: None) -> None:
-        """One stage: its changes and its row of the ledger in one commit."""
-        changes = self.store.changes(self.lease)
-        work(changes)
-        changes.add("run_step", self.spark.createDataFrame([(self.run_id, platform, name, "ok", self.now, None)], SCHEMAS["run_step"]))
+    def stage(self, name: str, platform: str, work: Callable[[Changes], None], before: Callable[[], None] = lambda: None, after: Callable[[], None] = lambda: None) -> None:
+        """One stage: its changes and its row of the ledger in one commit; that it runs, or failed, is one of its own."""
+        self.noted(self.store.changes(self.lease), platform, name, "running")
+        try:
+            before()
+            changes = self.store.changes(self.lease)
+            work(changes)
+            self.noted(changes, platform, name, "ok", self.rows.get((platform, name)))
+            after()
+        except Fenced:
+            raise
+        except Exception as e:
+            self.noted(self.store.changes(self.lease), platform, name, "failed", None, f"{type(e).__name__}: {e}"[:2000])
+            raise
+
+    def noted(self, changes: Changes, platform: str, name: str, state: str, n_rows: int | None = None, error: str | None = None) -> None:
+        at = self.now + timedelta(seconds=time.monotonic() - self.began)
+        changes.add("run_step", self.spark.createDataFrame([(self.run_id, platform, name, state, at, n_rows, error)], SCHEMAS["run_step"]), ())
         changes.commit()
-        after()
 
     def todo(self, platforms: list[str]) -> set[tuple[str, str]]:
         """What this run does: all, or of a retry what is to be repeated."""
@@ -87,12 +102,11 @@ class Exploration:
         try:
             # a row for each platform
             ready = {r["platform"]: None if r["ready"] else r["error_kind"] for r in ready_platforms(self.store.read("platform_account"), self.settings).collect()}
-            todo = self.todo([p for p, fault in ready.items()])
-            state = {p: fault for p, fault in ready.items()}
+            todo, state = self.todo(list(ready)), dict(ready)
             steps = [("fetch", lambda: state.update(self.fetched(state, todo)))]
             works = {"cluster": self.clustered, "register": self.registered, "purge": self.purged}
             after = {"purge": lambda: (self.store.vacuum(), files.removed(self.spark, self.scratch))}
-            steps += [(s, lambda s=s: self.stage(s, ALL, works[s], after.get(s, lambda: None))) for s in STAGES if (ALL, s) in todo]
+            steps += [(s, lambda s=s: self.stage(s, ALL, works[s], after=after.get(s, lambda: None))) for s in STAGES if (ALL, s) in todo]
             _, stopped = runs.run_steps(steps, self.cancelled)
         except Fenced:
             raise
@@ -122,14 +136,11 @@ class Exploration:
             if fault is not None or (platform, "fetch") not in todo:
                 continue
 
-            def work(changes: Changes, platform: str = platform) -> None:
-                rows = {kind: read_contract(self.spark, f"{self.landing}/{platform}/{kind}", kind)[0].where(F.col("platform") == platform) for kind in ("video", "comment")}
-                videos = eligibility.first_per_key(rows["video"], ["platform", "video_id"], ["first_ingested_at", "title", "url"])
-                comments = eligibility.first_per_key(rows["comment"], ["platform", "comment_id"], ["first_ingested_at", "video_id", "text"])
-                taken_in(changes, videos, comments, self.settings.salt)
+            def take(platform: str = platform) -> None:
+                self.rows[platform, "fetch"] = intake(self.spark, self.store, self.landing, platform, self.settings.salt, self.lease, self.adapters.get(platform, PLAIN))
 
             # the scan itself is tried, so that a file that cannot be read to its end is this platform's fault alone
-            found[platform] = "failed" if runs.attempts(lambda w=work, p=platform: self.stage("fetch", p, w), 2, 0.0, unless=Fenced) else None
+            found[platform] = "failed" if runs.attempts(lambda t=take, p=platform: self.stage("fetch", p, lambda _: None, before=t), 2, 0.0, unless=Fenced) else None
         return found
 
     def clustered(self, changes: Changes) -> None:
@@ -147,6 +158,7 @@ class Exploration:
         comments.write.mode("overwrite").parquet(f"{self.scratch}/looked")
         looked = self.spark.read.parquet(f"{self.scratch}/looked")
         self.exhausted, self.videos, self.comments = flag.first()["budget_exhausted"], videos.count(), looked.count()
+        self.rows[ALL, "cluster"] = self.comments
         counted = eligibility.eligible(looked, clips).where("countable")
         numbered = semantics.clusters_by_item(counted, ["platform", "video_id"], "comment_id", "text", semantics.judged_twice(self.judge), ["first_ingested_at", "comment_id"], some.comments_per_video)
         number = F.col("cluster")
@@ -203,6 +215,7 @@ class Exploration:
         event = lambda df, kind, after: df.select(F.concat(F.lit(f"{kind}-"), "opportunity_id").alias("event_id"), self.at.alias("at"), F.lit("system").alias("actor"), F.lit(kind).alias("action"), F.col("opportunity_id").alias("object_id"), after.alias("after"))
         changes.add("audit_event", event(born, "opportunity.create", F.lit(None).cast("string")).unionByName(event(moved, "merge.same_need", F.col("primary_id"))))
         self.made = changes.read("lifecycle_transition").join(self.store.read("lifecycle_transition", changes.base), ["opportunity_id", "seq"], "left_anti").count()
+        self.rows[ALL, "register"] = self.made
 
     def resolved(self, passed: DataFrame, told: DataFrame) -> DataFrame:
         """``(platform, video_id, cluster_id, resolved)`` of clusters that need context and could be looked at."""
@@ -261,14 +274,3 @@ class Exploration:
         if n:
             row = (f"purge-{self.run_id}", self.now, "system", "purge.raw", self.run_id, None, str(n))
             changes.add("audit_event", self.spark.createDataFrame([row], SCHEMAS["audit_event"]))
-
-
-def taken_in(changes: Changes, videos: DataFrame, comments: DataFrame, salt: str) -> None:
-    """Adds videos and comments that have no fingerprint yet, and the fingerprints of all of them; a video's has the cursor
-    of its comments."""
-    prints = changes.read("content_fingerprint")
-    changes.add("video", videos)
-    new = eligibility.unprocessed(comments, prints, "comment", "comment_id")
-    changes.add("comment", new, ())
-    both = [retention.fingerprints(comments, salt, "fetched"), retention.cursors(videos, comments)]
-    changes.add("content_fingerprint", reduce(DataFrame.unionByName, both), ())

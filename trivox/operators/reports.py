@@ -138,3 +138,25 @@ def missed_today(runs: DataFrame, now: Column, timezone: str) -> DataFrame:
 
 def durations(steps: DataFrame) -> DataFrame:
     return steps.withColumn("seconds", F.timestamp_diff("SECOND", F.col("started_at"), F.col("ended_at")))
+
+
+def live_steps(steps: DataFrame) -> DataFrame:
+    """``(run_id, platform, stage, state, seconds, n_rows)``: how far each stage is, from a ledger that grows while a run
+    goes on. A stage that has ended is no longer running; seconds are those until its end, null before it."""
+    made = steps.groupBy("run_id", "platform", "stage").agg(F.min(F.when(F.col("state") == "running", F.col("at"))).alias("_from"), F.max_by(F.struct("state", "at", "n_rows"), F.struct("at", F.col("state") != "running")).alias("_l"))
+    seconds = F.when(F.col("_l.state") != "running", F.unix_micros("_l.at") / 1e6 - F.unix_micros("_from") / 1e6)
+    return made.select("run_id", "platform", "stage", F.col("_l.state").alias("state"), F.round(seconds, 3).alias("seconds"), F.col("_l.n_rows").alias("n_rows"))
+
+
+def detail(opportunities: DataFrame, chain: DataFrame, evidence: DataFrame, transitions: DataFrame, notes: DataFrame) -> DataFrame:
+    """Each opportunity as its page shows it: the nodes of its chain in their order, the evidence with the representative
+    rows first, the moves it made and how many notes it has. Nothing of it grades the need."""
+    rows = lambda df, columns, name: df.groupBy("opportunity_id").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
+    shown = evidence.withColumn("place", F.when(F.col("is_representative"), 0).otherwise(1))
+    users = evidence.groupBy("opportunity_id").agg(F.count_distinct("anon_author").alias("users"))
+    alive = notes.groupBy("opportunity_id", "note_id").agg(F.max_by("deleted", "version").alias("_gone")).where(~F.coalesce("_gone", F.lit(False)))
+    joined = opportunities.join(rows(chain, ["seq", "title", "kind", "body", "evidence_refs"], "chain"), "opportunity_id", "left")
+    joined = joined.join(rows(shown, ["place", "platform", "video_id", "comment_id", "anon_author", "text"], "evidence"), "opportunity_id", "left")
+    joined = joined.join(rows(transitions, ["seq", "from_stage", "to_stage", "reason", "at"], "moves"), "opportunity_id", "left").join(users, "opportunity_id", "left")
+    counted = alive.groupBy("opportunity_id").agg(F.count("*").alias("n_notes"))
+    return joined.join(counted, "opportunity_id", "left").withColumn("n_notes", F.coalesce("n_notes", F.lit(0).cast("long"))).withColumn("users", F.coalesce("users", F.lit(0).cast("long")))

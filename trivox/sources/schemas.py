@@ -23,7 +23,10 @@ SCHEMAS = {
     "crawl_result": "run_id string, platform string, status string, error_kind string",
     "model_invocation": "invocation_id string, run_id string, at timestamp, model string, prompt_version string, input_ids array<string>, tokens_in bigint, tokens_out bigint, ok boolean, error string",
     "content_fingerprint": "platform string, kind string, id string, author_hash string, content_hash string, first_seen timestamp, last_seen timestamp, outcome string, cursor string",
-    "run_step": "run_id string, platform string, stage string, state string, at timestamp, error string",
+    "run_step": "run_id string, platform string, stage string, state string, at timestamp, n_rows bigint, error string",
+    "quarantine": "platform string, kind string, reason string, line string, at timestamp",
+    "gate_state": "platform string, video_id string, cluster_id string, person string, last_at timestamp",
+    "photo": "photo_id string, length bigint, content binary",
     "opportunity_chain": "opportunity_id string, seq int, title string, kind string, body string, basis string, evidence_refs array<string>, topics array<string>",
     "need_verdict": "opportunity_id string, known_id string, same_problem boolean, same_solution boolean, at timestamp",
     "audit_event": "event_id string, at timestamp, actor string, action string, object_id string, before string, after string",
@@ -34,10 +37,11 @@ KEYS = {
     "opportunity": ("opportunity_id",), "opportunity_evidence": ("opportunity_id", "platform", "comment_id"), "content_fingerprint": ("platform", "kind", "id"),
     "lifecycle_transition": ("opportunity_id", "seq"), "stage_note": ("note_id", "version"), "exploration_run": ("run_id",), "crawl_result": ("run_id", "platform"),
     "platform_account": ("platform",), "opportunity_relation": ("from_id", "to_id"), "stage_checklist": ("opportunity_id", "stage", "item_no"), "stage_conclusion": ("opportunity_id", "stage"),
-    "model_invocation": ("invocation_id",), "run_step": ("run_id", "platform", "stage"), "opportunity_chain": ("opportunity_id", "seq"), "need_verdict": ("opportunity_id", "known_id"), "audit_event": ("event_id",),
+    "model_invocation": ("invocation_id",), "run_step": ("run_id", "platform", "stage", "state"), "quarantine": ("platform", "kind", "line"), "gate_state": ("platform", "video_id", "cluster_id", "person"), "photo": ("photo_id",), "opportunity_chain": ("opportunity_id", "seq"), "need_verdict": ("opportunity_id", "known_id"), "audit_event": ("event_id",),
 }
 
 CRAWL_STATES = ("ok", "login_expired", "captcha", "rate_limited", "structure_changed", "failed")
+STEP_STATES = ("running", "ok", "failed")
 RUN_STATES = ("not_run", "waiting", "running", "success_empty", "success_found", "partial_failure", "failed", "cancelled", "login_expired")
 #: Kinds of actions that are audited: an opportunity made, a merge, a change of stage, an end or a restoring, a checklist
 #: item, a tag, the schedule, a purge, a fault of a model or a platform.
