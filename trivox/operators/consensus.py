@@ -123,7 +123,7 @@ def assigned(new: DataFrame, known: DataFrame, verdicts: DataFrame | None = None
         edges = edges.unionByName(told.withColumn("shared", F.lit(0).cast("long"))).groupBy(*_ITEM, "cluster_id", "known_id").agg(F.max("shared").alias("shared"))
     order = F.struct((-F.col("shared")).alias("less"), "known_id", "sign", "cluster_id").alias("order")
     left = cut(edges.join(_signed(new), [*_ITEM, "cluster_id"]).select(*_ITEM, "cluster_id", "known_id", order))
-    done = []
+    done: list[DataFrame] = []
     while not left.isEmpty():
         best = lambda side: left.groupBy(*_ITEM, side).agg(F.min("order").alias("order"))  # noqa: B023, E731
         taken = cut(best("cluster_id").join(best("known_id"), [*_ITEM, "order"]).select(*_ITEM, "cluster_id", "known_id"))

@@ -171,51 +171,75 @@ class Exploration:
     def registered(self, changes: Changes) -> None:
         live, clips, members = retention.live(changes.read("comment"), self.now), changes.read("video"), changes.read("cluster_member")
         ready = eligibility.eligible(live, clips)
-        told = members.join(ready.select("platform", "comment_id", "text"), ["platform", "comment_id"])
+        told = members.join(ready.select("platform", "comment_id", "text", "author_id", "commented_at", "countable"), ["platform", "comment_id"])
         passed = admission.needs_context(consensus.clusters(members, ready), told, clips)
         passed = admission.able(True, self.settings.image_input and self.resolve is not None, passed)
         good = registry.opportunity_ids(admission.with_outcome(passed, self.resolved(passed, told), self.settings.image_input).where("status = 'ready'"))
-        # the comments of one video at most, which a budget bounds
-        whole = told.join(good.select(*GROUP, "opportunity_id"), GROUP).groupBy("opportunity_id").agg(F.array_join(F.sort_array(F.collect_list("text")), "\n").alias("text"))
+        # comments of the clusters that passed, written down: what follows reads them several times
+        rows = self.written("passed", told.join(good.select(*GROUP, "opportunity_id"), GROUP))
         known, relations = changes.read("opportunity"), changes.read("opportunity_relation")
-        routed = relations.where("type = 'same_need'").select("from_id", F.col("to_id").alias("primary_id"))
-        texts = whole.join(known, "opportunity_id", "left_anti").join(routed.withColumnRenamed("from_id", "opportunity_id"), "opportunity_id", "left_anti")
+        routed = relations.where("type = 'same_need'").select(F.col("from_id").alias("opportunity_id"), F.col("to_id").alias("primary_id"))
+        # the comments of one video at most, which a budget bounds
+        texts = rows.groupBy("opportunity_id").agg(F.array_join(F.sort_array(F.collect_list("text")), "\n").alias("text"))
+        texts = texts.join(known, "opportunity_id", "left_anti").join(routed, "opportunity_id", "left_anti")
+        none = self.spark.createDataFrame([], "opportunity_id string, primary_id string")
+        born, moved = (None, none) if texts.isEmpty() else self.described(changes, texts, known)
+        self.evidenced(changes, rows, known if born is None else known.select("opportunity_id").unionByName(born.select("opportunity_id")), routed.unionByName(moved), known)
+        if born is not None and not born.isEmpty():
+            self.bear(changes, born)
+
+    def written(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.scratch}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def described(self, changes: Changes, texts: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``(born, moved)``: admitted opportunities that are new, and the way of those that a known one stands for."""
         path = f"{self.scratch}/answers"
         answers = semantics.ask_until_valid(texts, ["opportunity_id"], "text", self.describe, MODEL, PROMPT, path, lambda df: admission.parsed(df).where("valid"))
-        self.invoked(changes, path, "opportunity_id", lambda df: admission.parsed(df))
-        new = admission.admitted(answers).where("admitted")
+        self.invoked(changes, path, "opportunity_id", admission.parsed)
+        new = self.written("new", admission.admitted(answers).where("admitted"))
         moved = self.judged_same(changes, new, known)
-        changes.add("opportunity_relation", moved.select(F.col("opportunity_id").alias("from_id"), F.col("primary_id").alias("to_id"), F.lit("same_need").alias("type"), self.at.alias("at")))
-        born = new.join(moved, "opportunity_id", "left_anti")
+        if self.same is not None:
+            moved = self.written("moved", moved)
+            changes.add("opportunity_relation", moved.select(F.col("opportunity_id").alias("from_id"), F.col("primary_id").alias("to_id"), F.lit("same_need").alias("type"), self.at.alias("at")))
+            changes.add("audit_event", self.event(moved, "merge.same_need", F.col("primary_id")))
+        return new.join(moved, "opportunity_id", "left_anti"), moved
 
-        # evidence of all clusters that passed: under their own id, or under that of the opportunity that has the need
-        leads = routed.unionByName(moved.select(F.col("opportunity_id").alias("from_id"), "primary_id"))
-        final = registry.primaries(relations)
-        routes = good.select("opportunity_id").join(leads.withColumnRenamed("from_id", "opportunity_id"), "opportunity_id", "left").withColumn("primary_id", F.coalesce("primary_id", "opportunity_id"))
-        routes = routes.join(final.withColumnRenamed("primary_id", "_final"), F.col("primary_id") == F.col("from_id"), "left").select("opportunity_id", F.coalesce("_final", "primary_id").alias("primary_id"))
-        there = known.select("opportunity_id").unionByName(born.select("opportunity_id")).withColumnRenamed("opportunity_id", "primary_id")
-        routes = routes.join(there, "primary_id", "left_semi")
-        person = author_hash(F.col("platform"), F.col("author_id"), self.settings.salt)
-        rows = told.join(good.select(*GROUP, "opportunity_id"), GROUP).join(routes, "opportunity_id").join(ready.where("countable").select("platform", "comment_id", "author_id", "commented_at"), ["platform", "comment_id"])
-        rows = rows.withColumn("anon_author", person).withColumn("opportunity_id", F.col("primary_id")).dropDuplicates(["opportunity_id", "platform", "comment_id"])
+    def event(self, df: DataFrame, kind: str, after) -> DataFrame:
+        return df.select(F.concat(F.lit(f"{kind}-"), "opportunity_id").alias("event_id"), self.at.alias("at"), F.lit("system").alias("actor"), F.lit(kind).alias("action"), F.col("opportunity_id").alias("object_id"), after.alias("after"))
+
+    def bear(self, changes: Changes, born: DataFrame) -> None:
+        """New opportunities, in the first stage."""
+        changes.add("opportunity", born.withColumns({"first_found_at": self.at, "last_evidence_at": self.at, "rule_version": F.lit(RULES_VERSION)}))
+        chain = born.select("opportunity_id", F.posexplode(admission.ordered_chain(F.col("chain"))).alias("_at", "c"))
+        changes.add("opportunity_chain", chain.select("opportunity_id", F.col("_at").alias("seq"), *[F.col(f"c.{n}") for n in ("title", "kind", "body", "basis", "evidence_refs", "topics")]))
+        changes.add("lifecycle_transition", born.select("opportunity_id", F.lit(1).alias("seq"), F.lit("new").alias("to_stage"), F.lit("system").alias("actor"), self.at.alias("at")))
+        changes.add("audit_event", self.event(born, "opportunity.create", F.lit(None).cast("string")))
+        self.rows[ALL, "register"] = self.made = born.count()
+
+    def evidenced(self, changes: Changes, rows: DataFrame, there: DataFrame, routed: DataFrame, known: DataFrame) -> None:
+        """Adds the first comment of each new person to the opportunity that a cluster leads to: its own, or the one that
+        has the need, and from there to the one that a person merged it into. What is there stays as it is."""
+        primary = F.coalesce("primary_id", "opportunity_id")
+        led = rows.where("countable").join(routed, "opportunity_id", "left").withColumn("opportunity_id", primary).drop("primary_id")
+        if not changes.read("opportunity_relation").where("type = 'duplicate'").isEmpty():
+            final = registry.primaries(changes.read("opportunity_relation")).withColumnRenamed("from_id", "opportunity_id")
+            led = led.join(final, "opportunity_id", "left").withColumn("opportunity_id", primary).drop("primary_id")
+        led = led.join(there.select("opportunity_id"), "opportunity_id", "left_semi").withColumn("anon_author", author_hash(F.col("platform"), F.col("author_id"), self.settings.salt))
         old = changes.read("opportunity_evidence")
-        fresh = rows.join(old.select("opportunity_id", "anon_author"), ["opportunity_id", "anon_author"], "left_anti")
+        fresh = led.dropDuplicates(["opportunity_id", "platform", "comment_id"]).join(old.select("opportunity_id", "anon_author"), ["opportunity_id", "anon_author"], "left_anti")
         first = consensus.evidence(fresh, ["opportunity_id"], "anon_author", ["commented_at", "platform", "comment_id"], 1 << 30)
         own = old.select("opportunity_id").distinct().withColumn("_old", F.lit(True))
         representative = F.col("_old").isNull() & (F.col("place") <= consensus.PEOPLE)
-        changes.add("opportunity_evidence", first.join(own, "opportunity_id", "left").withColumn("is_representative", representative))
-        grown = changes.read("opportunity_evidence").join(old, ["opportunity_id", "platform", "comment_id"], "left_anti").select("opportunity_id").distinct()
+        added = self.written("evidence", first.join(own, "opportunity_id", "left").withColumn("is_representative", representative))
+        if added.isEmpty():
+            return
+        changes.add("opportunity_evidence", added)
+        grown = added.select("opportunity_id").distinct().withColumn("_grown", F.lit(True))
         if not known.join(grown, "opportunity_id", "left_semi").isEmpty():
-            later = known.join(grown.withColumn("_grown", F.lit(True)), "opportunity_id", "left")
-            changes.put("opportunity", later.withColumn("last_evidence_at", F.when(F.col("_grown"), self.at).otherwise(F.col("last_evidence_at"))))
-        changes.add("opportunity", born.withColumns({"first_found_at": self.at, "last_evidence_at": self.at, "rule_version": F.lit(RULES_VERSION)}))
-        changes.add("opportunity_chain", born.select("opportunity_id", F.posexplode(admission.ordered_chain(F.col("chain"))).alias("_at", "c")).select("opportunity_id", F.col("_at").alias("seq"), *[F.col(f"c.{n}") for n in ("title", "kind", "body", "basis", "evidence_refs", "topics")]))
-        moves = born.select("opportunity_id", F.lit(1).alias("seq"), F.lit("new").alias("to_stage"), F.lit("system").alias("actor"), self.at.alias("at"))
-        changes.add("lifecycle_transition", moves)
-        event = lambda df, kind, after: df.select(F.concat(F.lit(f"{kind}-"), "opportunity_id").alias("event_id"), self.at.alias("at"), F.lit("system").alias("actor"), F.lit(kind).alias("action"), F.col("opportunity_id").alias("object_id"), after.alias("after"))
-        changes.add("audit_event", event(born, "opportunity.create", F.lit(None).cast("string")).unionByName(event(moved, "merge.same_need", F.col("primary_id"))))
-        self.made = changes.read("lifecycle_transition").join(self.store.read("lifecycle_transition", changes.base), ["opportunity_id", "seq"], "left_anti").count()
-        self.rows[ALL, "register"] = self.made
+            later = F.when(F.col("_grown"), self.at).otherwise(F.col("last_evidence_at"))
+            changes.put("opportunity", known.join(grown, "opportunity_id", "left").withColumn("last_evidence_at", later))
 
     def resolved(self, passed: DataFrame, told: DataFrame) -> DataFrame:
         """``(platform, video_id, cluster_id, resolved)`` of clusters that need context and could be looked at."""
