@@ -335,4 +335,5 @@ def clusters_in_item(t):
 
 
 import trivox.plans.decisions  # noqa: E402,F401  registers its queries after those above
+import trivox.plans.state  # noqa: E402,F401
 import trivox.plans.views  # noqa: E402,F401
