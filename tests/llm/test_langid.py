@@ -67,3 +67,30 @@ def test_unlearned_languages_and_junk_are_rejected(spark):
     model = learn(mixed)
     kept = {r.doc_id for r in known_language(mixed, model, least=bounds(mixed, model)).collect()}
     assert not kept & {-1, -2, -3, -4} and len(kept) >= docs.count() - 2
+
+
+def test_ranks_distances_and_ties(spark):
+    """Profiles and out-of-place distances against counting n-grams one by one."""
+    import random
+
+    rng = random.Random(7)
+    text = lambda letters: " ".join("".join(rng.choices(letters, k=rng.randint(1, 5))) for _ in range(rng.randint(1, 40)))
+    rows = [(i, text({"x": "abcd", "y": "cdef", "z": "abcd"}[lang]), lang) for i in range(60) for lang in "xyz"]
+    rows += rows[:5] + [(900, "same", "u"), (901, "same", "v"), (902, None, "x"), (903, "abc", None)]
+    model = learn(spark.createDataFrame(rows, "doc_id int, text string, lang string").repartition(4), size=50)
+    profile = {}
+    for lang in "uvxyz":
+        counts = collections.Counter()
+        for _, t, own in rows:
+            if own == lang and t is not None:
+                counts.update(ngrams(t).tolist())
+        profile[lang] = [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:50]]
+    got = {lang: [int(g) for _, g in sorted(zip(ranks.tolist(), grams.tolist(), strict=True))] for lang, grams, ranks in zip(model.langs, model.grams, model.ranks, strict=True)}
+    assert got == profile
+    for t in [text("abcdef") for _ in range(40)] + ["same", "abc " * 30]:
+        counts = collections.Counter(ngrams(t).tolist())
+        own = [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))][:PROFILE]
+        far = {lang: sum(abs(grams.index(g) - i) if g in grams else PROFILE for i, g in enumerate(own)) for lang, grams in profile.items()}
+        best = min(sorted(far), key=far.get)
+        assert model.closest(t) == (best, max(0.0, 1 - far[best] / (PROFILE * len(own))))
+    assert model.closest("same")[0] == "u"  # equally far: the first by name

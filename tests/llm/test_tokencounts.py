@@ -59,3 +59,18 @@ def test_fields(spark):
     text = "Title\nthe body text"
     assert sum(n for (d, _), n in got.items() if d == 1) == len(LIBRARY.encode(text, add_special_tokens=False).ids)
     assert set(got) == {(1, "a"), (1, "c"), (1, None), (2, None)} and got[2, None] == 0
+
+
+def test_most_against_counting_characters():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        edges = np.sort(rng.choice(60, rng.integers(2, 12), replace=False))
+        keep = rng.random(len(edges) - 1) < 0.8  # gaps between some sections
+        a, b = edges[:-1][keep], edges[1:][keep]
+        starts = np.sort(rng.integers(0, 58, 9))
+        ends = starts + rng.integers(1, 14, 9)
+        found, crossing = allot(starts, ends, a, b, "most")
+        for s, e, at, over in zip(starts.tolist(), ends.tolist(), found.tolist(), crossing.tolist(), strict=True):
+            shared = [max(0, min(e, y) - max(s, x)) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+            want = shared.index(max(shared)) if shared and max(shared) else -1
+            assert at == want and (over or sum(n > 0 for n in shared) <= 1)

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from trivox.llm.toxicity import Model, candidates, features, fit, learn, op4_toxicity, score, shares
+from trivox.llm.toxicity import Model, candidates, descent, features, fit, learn, op4_toxicity, score, shares
 
 
 def corpus(n, seed=0):
@@ -75,3 +75,44 @@ def test_shares_of_all_rows(spark):
     bad = [features(t) for _, t, y in rows if y]
     one, other = fit(bad, whole, 0.1), fit(bad, whole, 0.1, (got, n))
     assert (one.names == other.names).all() and np.allclose(one.weights, other.weights)
+
+
+def test_gradient_against_differences():
+    rng = np.random.default_rng(3)
+    n_p, n_u, width = 13, 40, 6
+    rows = lambda n: tuple(np.nonzero(rng.random((n, width)) < 0.4))
+    (pr, pc), (ur, uc) = rows(n_p), rows(n_u)
+    # all positives and no unlabelled row have the first feature
+    pr, pc = np.append(pr[pc > 0], np.arange(n_p)), np.append(pc[pc > 0], np.zeros(n_p, int))
+    ur, uc = ur[uc > 0], uc[uc > 0]
+
+    def parts(w, b, prior):
+        gp, gu = b + np.bincount(pr, w[pc], n_p), b + np.bincount(ur, w[uc], n_u)
+        return prior * np.logaddexp(0, -gp).mean(), np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+
+    seen = set()
+    for prior, b in ((0.1, -1.0), (0.9, 2.0), (0.5, 0.3), (0.95, -3.0)):
+        w = rng.normal(size=width) + (12 * np.eye(width)[0] if prior > 0.8 else 0)
+        below = bool(parts(w, b, prior)[1] < 0)
+        seen.add(below)
+        risk = lambda w, b, p=prior, low=below: -parts(w, b, p)[1] if low else sum(parts(w, b, p))
+        by_weight, by_bias = descent(w, b, (pr, pc, n_p), (ur, uc, n_u), prior)
+        for i in range(width):
+            step = np.eye(width)[i] * 1e-6
+            assert abs((risk(w + step, b) - risk(w - step, b)) / 2e-6 - by_weight[i]) < 1e-6
+        assert abs((risk(w, b + 1e-6) - risk(w, b - 1e-6)) / 2e-6 - by_bias) < 1e-6
+    assert seen == {False, True}
+
+
+def test_learned_in_executors_as_on_one_machine(spark):
+    """The features chosen in the executors and the fit on them, against fitting on whole texts."""
+    rows = corpus(700)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = learn(docs, labels)
+    from zlib import crc32
+
+    inside = [r for r in rows if crc32(str(r[0]).encode()) % 4 != 2]
+    bad, whole = [features(t) for _, t, y in inside if y], [features(t) for _, t, _ in inside]
+    other = fit(bad, whole, (len(bad) + 0.5) / (len(inside) + 1))
+    assert (model.names == other.names).all() and np.allclose(model.weights, other.weights, atol=1e-9) and abs(model.bias - other.bias) < 1e-9

@@ -287,7 +287,8 @@ def copies(marked: DataFrame, docs: DataFrame, words_in_shingle: int = COPY_SHIN
     nodes = cut(marked.select("node", "n", "f0", "f1", "f2", "f3").distinct())
     group = components(copy_edges(nodes, least)).withColumnRenamed("root", "g")
     # one row for each node that is in a group
-    chosen = cut(marked.join(group, "node").groupBy("node").agg(F.first("g").alias("g"), F.first("n").alias("n"), F.min(F.struct("h", "k")).alias("one")).select("node", "g", "n", F.col("one.h").alias("h1"), F.col("one.k").alias("k1")))
+    once = marked.groupBy("node").agg(F.first("n").alias("n"), F.min(F.struct("h", "k")).alias("one"))
+    chosen = cut(once.join(group, "node").select("node", "g", "n", F.col("one.h").alias("h1"), F.col("one.k").alias("k1")))
     weight = chosen.groupBy("g").agg((8 * F.sum("n")).alias("size"))
     total = weight.agg(F.sum("size")).first()[0] or 0
     # up to eight blocks of an eighth, then blocks of ``held`` bytes
@@ -302,8 +303,9 @@ def copies(marked: DataFrame, docs: DataFrame, words_in_shingle: int = COPY_SHIN
     texts = docs.join(chosen, (F.col("h") == F.col("h1")) & F.col("k").eqNullSafe(F.col("k1"))).select("node", "g", "t", "parts").mapInArrow(sets, "node long, g long, x binary, parts long")
     placed = texts.withColumn("s", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))))
     met = placed.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1)))
-    tasks = max(8, min(TASKS, -(-total // held)))
-    deal = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("g"), F.lit(tasks))).otherwise(F.col("g"))
+    # as many deals of small groups as their bytes make, so that each stays small; a task may have several
+    deals = max(8, -(-total // held))
+    deal = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("g"), F.lit(deals))).otherwise(F.col("g"))
     pairs = met.select(F.col("parts").isNotNull().alias("big"), deal.alias("d"), F.least("s", "o").alias("p"), F.greatest("s", "o").alias("q"), "s", "node", "g", "x")
 
     def judge(found: pa.Table) -> pa.Table:
@@ -322,7 +324,7 @@ def copies(marked: DataFrame, docs: DataFrame, words_in_shingle: int = COPY_SHIN
         return _edges(out)
 
     keys = ["big", "d", "p", "q"]
-    return components(pairs.repartition(int(tasks), *keys).groupBy(*keys).applyInArrow(judge, "a long, b long"))
+    return components(pairs.repartition(int(min(TASKS, deals)), *keys).groupBy(*keys).applyInArrow(judge, "a long, b long"))
 
 
 def with_copy_marks(docs: DataFrame, words_in_shingle: int = COPY_SHINGLE) -> DataFrame:

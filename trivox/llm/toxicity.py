@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trivox.llm.common import remainder, table
+from trivox.llm.common import cut, remainder, table
 
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.3
@@ -123,6 +123,26 @@ def shares(docs: DataFrame, names: np.ndarray, text: str = "text") -> tuple[np.n
     return found[:-1], int(found[-1])
 
 
+def telling(count: np.ndarray, positives: int, seen: tuple[np.ndarray, int]) -> np.ndarray:
+    """Which candidates are ``DEVIATIONS`` from their share in the corpus, ``count`` of ``positives`` having each."""
+    p, u = count / positives, (seen[0] + 0.5) / (seen[1] + 1)
+    return np.abs(p - u) >= DEVIATIONS * np.sqrt(u * (1 - u) / positives)
+
+
+def descent(w: np.ndarray, b: float, p: tuple[np.ndarray, np.ndarray, int], u: tuple[np.ndarray, np.ndarray, int], prior: float) -> tuple[np.ndarray, float]:
+    """The gradient by weights and bias of the risk on sparse rows ``(row, column, number of rows)``, positive and
+    unlabelled ones. Where the risk of calling unlabelled texts clean is below zero, its step is undone instead."""
+    (pr, pc, n_p), (ur, uc, n_u) = p, u
+    gp, gu = b + np.bincount(pr, w[pc], n_p), b + np.bincount(ur, w[uc], n_u)
+    sp, su = 1 / (1 + np.exp(-gp)), 1 / (1 + np.exp(-gu))
+    negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+    # derivatives of the two parts by the scores
+    sign = 1.0 if negative >= 0 else -1.0
+    dp = ((sp - 1) * prior * (negative >= 0) - sign * prior * sp) / n_p
+    du = sign * su / n_u
+    return np.bincount(pc, dp[pr], len(w)) + np.bincount(uc, du[ur], len(w)), dp.sum() + du.sum()
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seen: tuple[np.ndarray, int] | None = None) -> Model:
     """Fit by the non-negative risk. Without positives or unlabelled texts every score is the prior.
 
@@ -136,8 +156,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     if seen is None:
         every = np.concatenate([names, *[np.intersect1d(names, x, assume_unique=True) for x in unlabelled]])
         seen = np.unique(every, return_counts=True)[1] - 1, len(unlabelled)
-    p, u = count / len(positive), (seen[0] + 0.5) / (seen[1] + 1)
-    names = names[np.abs(p - u) >= DEVIATIONS * np.sqrt(u * (1 - u) / len(positive))]
+    names = names[telling(count, len(positive), seen)]
 
     def rows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         row, col = [], []
@@ -152,15 +171,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     n_p, n_u = len(positive), len(unlabelled)
     for step in range(1, STEPS + 1):
-        gp = b + np.bincount(pr, w[pc], n_p)
-        gu = b + np.bincount(ur, w[uc], n_u)
-        sp, su = 1 / (1 + np.exp(-gp)), 1 / (1 + np.exp(-gu))
-        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        # derivatives of the two parts by the scores; where the second is below zero its step is undone
-        sign = 1.0 if negative >= 0 else -1.0
-        dp = ((sp - 1) * prior * (negative >= 0) - sign * prior * sp) / n_p
-        du = sign * su / n_u
-        grad = np.append(np.bincount(pc, dp[pr], len(names)) + np.bincount(uc, du[ur], len(names)) + DECAY * w, dp.sum() + du.sum())
+        by_weight, by_bias = descent(w, b, (pr, pc, n_p), (ur, uc, n_u), prior)
+        grad = np.append(by_weight + DECAY * w, by_bias)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - float(move[-1])
@@ -172,8 +184,9 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     The class prior is the share of toxic rows among labelled ones; half a row is added to either side. Which features of
     the positives are chosen follows from their shares in all rows outside the fold, each counted as often as it comes; the
-    sample of unlabelled texts is for the steps of the fit alone. The driver gets hashed features of the bounded sample, of
-    one text for each key. Null keys and null labels are passed over, null texts are empty, and without positive or
+    sample of unlabelled texts is for the steps of the fit alone. Features are counted and chosen in the executors; the
+    driver gets those that ``LEAST`` positives have, with their counts, and of the bounded sample, one text for each key,
+    which of the chosen ones each text has. Null keys and null labels are passed over, null texts are empty, and without positive or
     unlabelled rows every score is the prior.
     """
     kind = docs.schema[key].dataType.simpleString()
@@ -186,17 +199,30 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [features(t).tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(made, pa.binary())], ["p", "u", "x"])
+            made = [features(t).view(np.int32) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(made, pa.list_(pa.int32()))], ["p", "u", "x"])
 
     # a key has one text, its smallest, so the sample is bounded whatever repeats
     found = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), F.col("k") == F.col("c")).groupBy("c", "p", "u").agg(F.min("t").alias("t")).select("t", "p", "u")
-    rows = [(r["p"], r["u"], bytes(r["x"])) for r in found.mapInArrow(work, "p boolean, u boolean, x binary").collect()]
+    made = cut(found.mapInArrow(work, "p boolean, u boolean, x array<int>"))
+    counted = made.where("p").select(F.explode("x").alias("c")).groupBy("c").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST).collect()
+    both = sorted((r["c"] & 0xFFFFFFFF, r["n"]) for r in counted)
+    names, count = np.array([c for c, _ in both], np.uint32), np.array([n for _, n in both], np.int64)
+    positives, seen = made.where("p").count(), (shares(open_(docs), names, text) if len(names) else (np.zeros(0, np.int64), 1))
+    which = telling(count, positives, seen) if len(names) else np.zeros(0, bool)
+    names, seen = names[which], (seen[0][which], seen[1])
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [(x := np.array(row, np.int32).view(np.uint32))[np.isin(x, names)].tobytes() for row in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.binary())], ["p", "u", "x"])
+
+    # what is left of a text are the features that the model has
+    rows = [(r["p"], r["u"], bytes(r["x"])) for r in made.mapInArrow(told, "p boolean, u boolean, x binary").collect()]
     rows.sort()
     as_array = lambda x: np.frombuffer(x, np.uint32)
     toxic_rows, others = [as_array(x) for p, _, x in rows if p], [as_array(x) for _, u, x in rows if u]
-    names = candidates(toxic_rows)[0]
-    return fit(toxic_rows, others, (k + 0.5) / (n + 1), shares(open_(docs), names, text) if len(names) else None)
+    return fit(toxic_rows, others, (k + 0.5) / (n + 1), seen if len(names) else None)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
