@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trivox.functions.text import next_due
-from trivox.operators import reports, retention, runs, workflow
+from trivox.operators import acts, reports, retention, runs, workflow
 from trivox.operators.explore import explore
 from trivox.sources.landing import Settings
 from trivox.sources.schemas import SCHEMAS
@@ -78,7 +78,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("command", choices=["init", "status", "inbox", "cursors", "explore", "schedule"])
     parser.add_argument("base", help="folder of the tables, any path that Spark reads")
     parser.add_argument("--landing", help="folder of what the platforms' adapters landed")
-    parser.add_argument("--settings", help="JSON file of settings")
+    parser.add_argument("--settings", help="JSON file of settings, in place of those that the store has")
     parser.add_argument("--cluster", type=named, help="module:function that numbers the texts of one video")
     parser.add_argument("--describe", type=named, help="module:function that describes what texts have in common")
     parser.add_argument("--same", type=named, help="module:function that says whether two opportunities are one")
@@ -86,7 +86,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--days", type=int, help="how many daily runs, else without an end")
     said = parser.parse_args(argv)
     spark = spark or SparkSession.builder.appName("trivox").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    settings = Settings.load(said.settings) if said.settings else Settings()
+    settings = Settings.load(said.settings) if said.settings else acts.configured(Store(spark, said.base), None)
 
     def run(now: datetime) -> str:
         made = explore(spark, said.base, said.landing, settings, uuid.uuid4().hex, now, said.cluster, said.describe, same=said.same, retry_of=said.retry_of)

@@ -72,17 +72,26 @@ def evidence(rows: DataFrame, group: list[str], person: str, order: list[str], k
     return first.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("place") <= k)
 
 
-def gated_evidence(rows: DataFrame, group: list[str], person: str, order: list[str], k: int | None = PEOPLE, least: int = PEOPLE) -> DataFrame:
+def gated_evidence(rows: DataFrame, group: list[str], person: str, order: list[str], k: int = PEOPLE, least: int = PEOPLE) -> DataFrame:
     """``(*group, person, *order, place, users)``: each known person's first row in the groups that pass the gate, the
-    first ``k`` of them or all. ``order`` tells rows apart.
+    first ``k`` of them. ``order`` tells rows apart.
 
-    One aggregation finds the first rows, partly before the shuffle; one window over them counts and places people.
+    One aggregation finds the first rows, partly before the shuffle. Of these each task passes on the first ``k`` of a
+    group and the number of its people, so a group that everybody is in is a few rows where it meets.
     """
     first = rows.where(F.col(person).isNotNull()).groupBy(*group, person).agg(F.min(F.struct(*order)).alias("_f"))
-    whole = Window.partitionBy(*group)
-    made = first.withColumn("place", F.row_number().over(whole.orderBy("_f"))).withColumn("users", F.count("*").over(whole)).where(F.col("users") >= least)
-    made = made if k is None else made.where(F.col("place") <= k)
-    return made.select(*group, person, *[F.col("_f")[o].alias(o) for o in order], "place", "users")
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("_f"))
+    top = first.withColumn("place", place).where(F.col("place") <= k)
+    users = first.groupBy(*group).agg(F.count("*").alias("users")).where(F.col("users") >= least)
+    return top.join(users, group).select(*group, person, *[F.col("_f")[o].alias(o) for o in order], "place", "users")
+
+
+def cited(rows: DataFrame, group: list[str], person: str, order: list[str], least: int = PEOPLE) -> DataFrame:
+    """``(*group, person, *order)``: each known person's first row in the groups that pass the gate, all of them: what
+    evidence may cite. No order among people is needed, so no group meets in one place."""
+    first = rows.where(F.col(person).isNotNull()).groupBy(*group, person).agg(F.min(F.struct(*order)).alias("_f"))
+    users = first.groupBy(*group).agg(F.count("*").alias("_u")).where(F.col("_u") >= least)
+    return first.join(users, group, "left_semi").select(*group, person, *[F.col("_f")[o].alias(o) for o in order])
 
 
 def reached(rows: DataFrame, group: list[str], person: str, at: str, least: int = PEOPLE) -> DataFrame:

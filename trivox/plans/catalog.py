@@ -112,7 +112,7 @@ def retention_live(t):
 AND NOT EXISTS (SELECT 1 FROM e JOIN g USING (k, week, event_type) WHERE g.users >= 3 AND e.event_id = ev.event_id)""")
 def purge_unreferenced(t):
     gone = t("events").where(F.col("ts") < _days_back(t, 10)).select("event_id", "user_id")
-    cited = consensus.gated_evidence(_events(t), GROUP, "user_id", ["ts", "event_id"], None)
+    cited = consensus.cited(_events(t), GROUP, "user_id", ["ts", "event_id"])
     return gone.join(cited.select("event_id"), "event_id", "left_anti").select("event_id", "user_id")
 
 
@@ -297,7 +297,7 @@ m AS (SELECT max(ts) - INTERVAL 10 DAY AS cutoff FROM events)
 SELECT count(*) FILTER (WHERE ts >= cutoff) AS live, count(*) FILTER (WHERE ts < cutoff) AS expired,
 count(*) FILTER (WHERE ts < cutoff AND event_id NOT IN (SELECT event_id FROM c)) AS to_purge FROM ev, m""")
 def purge_preview(t):
-    cited = consensus.gated_evidence(_events(t), GROUP, "user_id", ["ts", "event_id"], None)
+    cited = consensus.cited(_events(t), GROUP, "user_id", ["ts", "event_id"])
     return runs.purge_sizes(t("events"), cited, ["event_id"], "ts", _cutoff(t))
 
 
