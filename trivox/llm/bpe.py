@@ -254,7 +254,8 @@ def _assembled(chunk: pa.Table, words: pa.Table) -> Iterator[tuple[object, np.nd
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = RANKS) -> DataFrame:
     """``(key, ids)`` for each row: the ids of the text as the tiktoken library gives them, without special tokens.
 
-    Null texts are empty and have no ids. Rows that repeat are encoded as often. An empty table gives no rows.
+    Null texts are empty and have no ids. Rows that repeat are encoded as often. An empty table gives no rows; other columns
+    are left out, whatever their names.
     """
     kind = docs.schema[key].dataType.simpleString()
 
@@ -266,7 +267,8 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
 
 
 def decode(encoded: DataFrame, key: str = "doc_id", path: str = RANKS) -> DataFrame:
-    """``(key, bytes)``: ids joined with the token-byte table. Null ids give null."""
+    """``(key, bytes)``: ids joined with the token-byte table. Null ids give null; other columns are left out, whatever their
+    names."""
     kind = encoded.schema[key].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

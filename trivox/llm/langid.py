@@ -96,7 +96,8 @@ class Profiles:
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE) -> Profiles:
-    """Profiles from all rows of ``docs`` with a language. The driver gets ``size`` n-grams for each and salt at most."""
+    """Profiles from all rows of ``docs`` with a language and a text, each as often as it comes; other columns may have any
+    name. The driver gets ``size`` n-grams for each and salt at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}

@@ -44,11 +44,13 @@ def buckets(text: bytes | None, n: int = BUCKETS) -> np.ndarray:
 def log_ratios(docs: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", n: int = BUCKETS, most: int = TARGET_ROWS) -> np.ndarray:
     """By bucket: log of its share in the target texts over its share in all texts of ``docs``, both smoothed.
 
-    ``targets`` has the keys of target rows, of which ``most`` at most are used. The driver gets two counts a bucket.
+    ``targets`` has the keys of target rows, of which ``most`` at most are used. The driver gets two counts a bucket. Other
+    columns of either may have any name.
     """
     chosen = targets.select(F.col(key).alias("t")).where("t is not null").distinct().orderBy(F.xxhash64("t"), "t").limit(most)
     keys = docs.sparkSession.createDataFrame([(r["t"], True) for r in chosen.collect()], f"t {docs.schema[key].dataType.simpleString()}, target boolean")
-    marked = docs.join(F.broadcast(keys), F.col(key) == F.col("t"), "left").select(F.coalesce("target", F.lit(False)).alias("target"), F.col(text).alias("x"))
+    own = docs.select(F.col(key).alias("k"), F.col(text).alias("x"))
+    marked = own.join(F.broadcast(keys), F.col("k") == F.col("t"), "left").select(F.coalesce("target", F.lit(False)).alias("target"), "x")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -69,7 +71,7 @@ def log_ratios(docs: DataFrame, targets: DataFrame, key: str = "doc_id", text: s
 
 
 def weighed(docs: DataFrame, ratios: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, log_weight)`` for each row; 0 for a text without words."""
+    """``(key, log_weight)`` for each row; 0 for a text without words. Other columns are left out, whatever their names."""
     n = len(ratios)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
