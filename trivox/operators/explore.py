@@ -159,6 +159,8 @@ class Exploration:
         looked = self.spark.read.parquet(f"{self.scratch}/looked")
         self.exhausted, self.videos, self.comments = flag.first()["budget_exhausted"], videos.count(), looked.count()
         self.rows[ALL, "cluster"] = self.comments
+        if not self.comments:
+            return  # nothing that no run has looked at: all clusters stay as they are
         counted = eligibility.eligible(looked, clips).where("countable")
         numbered = semantics.clusters_by_item(counted, ["platform", "video_id"], "comment_id", "text", semantics.judged_twice(self.judge), ["first_ingested_at", "comment_id"], some.comments_per_video)
         number = F.col("cluster")
