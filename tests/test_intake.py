@@ -129,5 +129,5 @@ def test_photos(spark, tmp_path):
 def test_live_view(spark):
     at = lambda s: T0 + timedelta(seconds=s)
     rows = [("r", "p", "fetch", "running", at(0), None, None), ("r", "p", "fetch", "ok", at(4), 7, None), ("r", "*", "cluster", "running", at(4), None, None), ("q", "*", "cluster", "running", at(1), None, None), ("q", "*", "cluster", "failed", at(1), None, "x")]
-    got = {(r.run_id, r.stage): (r.state, r.seconds, r.n_rows) for r in reports.live_steps(spark.createDataFrame(rows, schemas.SCHEMAS["run_step"])).collect()}
-    assert got == {("r", "fetch"): ("ok", 4.0, 7), ("r", "cluster"): ("running", None, None), ("q", "cluster"): ("failed", 0.0, None)}
+    got = {(r.run_id, r.stage): (r.state, r.micros, r.n_rows) for r in reports.live_steps(spark.createDataFrame(rows, schemas.SCHEMAS["run_step"])).collect()}
+    assert got == {("r", "fetch"): ("ok", 4_000_000, 7), ("r", "cluster"): ("running", None, None), ("q", "cluster"): ("failed", 0, None)}

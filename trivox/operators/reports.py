@@ -141,11 +141,11 @@ def durations(steps: DataFrame) -> DataFrame:
 
 
 def live_steps(steps: DataFrame) -> DataFrame:
-    """``(run_id, platform, stage, state, seconds, n_rows)``: how far each stage is, from a ledger that grows while a run
-    goes on. A stage that has ended is no longer running; seconds are those until its end, null before it."""
+    """``(run_id, platform, stage, state, micros, n_rows)``: how far each stage is, from a ledger that grows while a run
+    goes on. A stage that has ended is no longer running; microseconds are those until its end, null before it."""
     made = steps.groupBy("run_id", "platform", "stage").agg(F.min(F.when(F.col("state") == "running", F.col("at"))).alias("_from"), F.max_by(F.struct("state", "at", "n_rows"), F.struct("at", F.col("state") != "running")).alias("_l"))
-    seconds = F.when(F.col("_l.state") != "running", F.unix_micros("_l.at") / 1e6 - F.unix_micros("_from") / 1e6)
-    return made.select("run_id", "platform", "stage", F.col("_l.state").alias("state"), F.round(seconds, 3).alias("seconds"), F.col("_l.n_rows").alias("n_rows"))
+    micros = F.when(F.col("_l.state") != "running", F.unix_micros("_l.at") - F.unix_micros("_from"))
+    return made.select("run_id", "platform", "stage", F.col("_l.state").alias("state"), micros.alias("micros"), F.col("_l.n_rows").alias("n_rows"))
 
 
 def detail(opportunities: DataFrame, chain: DataFrame, evidence: DataFrame, transitions: DataFrame, notes: DataFrame) -> DataFrame:

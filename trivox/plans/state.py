@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trivox.operators import consensus, gate_state, retention, runs, similar
+from trivox.operators import consensus, gate_state, reports, retention, runs, similar
 from trivox.plans.register import query
 from trivox.sources import adapters
 from trivox.sources.adapters import Adapter, From
@@ -93,3 +93,31 @@ def video_cursors(t):
     early, late = rows.where("cast(comment_id as long) % 5 <> 0"), rows.where("cast(comment_id as long) % 3 <> 1")
     made = [retention.cursors(part.select("platform", "video_id", "first_ingested_at"), part) for part in (early, late)]
     return retention.latest(made[0].unionByName(made[1])).select(F.col("id").alias("video_id"), "cursor", "first_seen", "last_seen")
+
+
+@query("""WITH s AS (SELECT user_id AS run_id, event_type AS stage, CASE WHEN event_id % 3 = 0 THEN 'running' WHEN event_id % 3 = 1 THEN 'ok' ELSE 'failed' END AS state, ts, CAST(floor(value) AS BIGINT) AS n FROM events)
+SELECT run_id, stage, arg_max(state, ts) AS state, CASE WHEN arg_max(state, ts) <> 'running' THEN epoch_us(max(ts)) - epoch_us(min(ts) FILTER (WHERE state = 'running')) END AS micros,
+arg_max(n, ts) AS n_rows FROM s GROUP BY run_id, stage""")
+def live_stages(t):
+    """How far each stage of each run is, from the rows of a ledger."""
+    state = F.when(F.col("event_id") % 3 == 0, "running").when(F.col("event_id") % 3 == 1, "ok").otherwise("failed")
+    steps = t("events").select(F.col("user_id").alias("run_id"), F.lit("*").alias("platform"), F.col("event_type").alias("stage"), state.alias("state"), F.col("ts").cast("timestamp").alias("at"), F.floor("value").alias("n_rows"))
+    made = reports.live_steps(steps)
+    return made.select("run_id", "stage", "state", F.col("micros"), "n_rows")
+
+
+@query("""WITH e AS (SELECT l_orderkey AS o, count(*) AS n_evidence, count(DISTINCT l_suppkey) AS users, min(CASE WHEN l_linenumber = 1 THEN 0 ELSE 1 END) AS first FROM lineitem GROUP BY 1),
+v AS (SELECT o_custkey AS o, o_orderkey AS note, arg_max(o_orderstatus, o_orderdate) AS s FROM orders GROUP BY ALL)
+SELECT o_orderkey AS opportunity_id, coalesce(e.n_evidence, 0) AS n_evidence, coalesce(users, 0) AS users, first = 0 AS representative_first, coalesce(c.n, 0) AS n_notes FROM orders
+LEFT JOIN e ON e.o = o_orderkey LEFT JOIN (SELECT o, count(*) AS n FROM v WHERE s <> 'F' GROUP BY 1) c ON c.o = o_orderkey""")
+def opportunity_pages(t):
+    """Each opportunity's page: its evidence, representative rows first, its people and its notes that were not deleted."""
+    c = F.col
+    found = t("orders").select(c("o_orderkey").alias("opportunity_id"))
+    none = lambda kinds: t("orders").sparkSession.createDataFrame([], kinds)
+    chain = none("opportunity_id long, seq int, title string, kind string, body string, evidence_refs array<string>")
+    moves = none("opportunity_id long, seq long, from_stage string, to_stage string, reason string, at timestamp")
+    evidence = t("lineitem").select(c("l_orderkey").alias("opportunity_id"), F.lit("p").alias("platform"), c("l_partkey").alias("video_id"), c("l_linenumber").alias("comment_id"), c("l_suppkey").alias("anon_author"), F.lit("t").alias("text"), (c("l_linenumber") == 1).alias("is_representative"))
+    notes = t("orders").select(c("o_custkey").alias("opportunity_id"), c("o_orderkey").alias("note_id"), c("o_orderdate").alias("version"), (c("o_orderstatus") == "F").alias("deleted"))
+    made = reports.detail(found, chain, evidence, moves, notes)
+    return made.select("opportunity_id", F.coalesce(F.size("evidence").cast("long"), F.lit(0)).alias("n_evidence"), "users", (F.get("evidence", F.lit(0))["place"] == 0).alias("representative_first"), "n_notes")
