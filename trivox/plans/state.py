@@ -110,7 +110,7 @@ def live_stages(t):
 v AS (SELECT o_custkey AS o, o_orderkey AS note, arg_max(o_orderstatus, o_orderdate) AS s FROM orders GROUP BY ALL)
 SELECT o_orderkey AS opportunity_id, coalesce(e.n_evidence, 0) AS n_evidence, coalesce(users, 0) AS users, first = 0 AS representative_first, coalesce(c.n, 0) AS n_notes FROM orders
 LEFT JOIN e ON e.o = o_orderkey LEFT JOIN (SELECT o, count(*) AS n FROM v WHERE s <> 'F' GROUP BY 1) c ON c.o = o_orderkey""")
-def opportunity_pages(t):
+def pages_of_opportunities(t):
     """Each opportunity's page: its evidence, representative rows first, its people and its notes that were not deleted."""
     c = F.col
     found = t("orders").select(c("o_orderkey").alias("opportunity_id"))
