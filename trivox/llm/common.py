@@ -115,12 +115,16 @@ def tile_edges(mask: np.ndarray) -> Iterator[tuple[int, int]]:
         yield first_row[c], j
 
 
+#: Edges in a file of a round of components, on average at most.
+EDGES = 1 << 16
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs) as ``(node, root)``, root the smallest node; alternating stars.
 
     Each round links the larger neighbours of every node to its smallest neighbour, then the smaller ones. Both work
     on aggregates and equi-joins, so a hub's links are spread by the adaptive skew join, and each round ends in a
-    checkpoint. Nodes without edges are not returned.
+    checkpoint of as many files as the edges of the round before ask for. Nodes without edges are not returned.
     """
     state = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     sign = _sign(state)
@@ -130,7 +134,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        state = cut(small.select("e.u", "e.v").where("u <> v").distinct())
+        # a round has two rows for each edge at most
+        state = cut(small.select("e.u", "e.v").where("u <> v").distinct().coalesce(int(max(1, -(-2 * sign[0] // EDGES)))))
         new = _sign(state)
         if new == sign:
             break
