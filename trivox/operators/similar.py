@@ -7,6 +7,8 @@ until the end. The result is a list of candidates for a judgement, not a judgeme
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,31 +33,54 @@ def _sets(df: DataFrame, key: str, text: str) -> DataFrame:
     return found.select("id", F.sha2(F.array_join("t", "\u0001"), 256).alias("set"), "t")
 
 
-def similar_sets(left: DataFrame, right: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
+def _bits(seed: int) -> Column:
+    """Of a group of tokens, a word of 64 bits with one bit set for each token by its hash."""
+    at = F.pmod(F.xxhash64("token", F.lit(seed)), F.lit(64)).cast("int")
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at))
+
+
+def similar_sets(left: DataFrame, right: DataFrame | None = None, least: tuple[int, int] = LEAST, told: Callable[[Column], Column] | None = None) -> DataFrame:
     """``(left_set, right_set, shared, either)`` of all pairs with ``shared / either >= least``, of frames ``(set, t)`` with
-    a row for each different set: exact, with nothing left out.
+    a row for each different set: exact, with nothing left out. Without ``right`` the pairs are those inside ``left``,
+    each once, ``left_set`` the smaller name. Where a name holds the tokens, ``told`` reads them from it; there is no ``t``
+    then, and nothing is written twice.
 
     A token that many sets have stands behind their rare ones, so it is joined only where a set has nothing rarer; what
-    is still hot is split by the adaptive skew join, since both sides come straight from their shuffles.
+    is still hot is split by the adaptive skew join, since both sides come straight from their shuffles. Sets go by a
+    number, and two words of token bits go along: tokens of one side alone are at least as many as the bits in which the
+    words differ, so most pairs that share too little are gone before anything is written of them.
     """
     num, den = least
     up = lambda a, b: F.floor((a + b - 1) / b).cast("int")
-    every = left.select("set", "t").unionByName(right.select("set", "t")).dropDuplicates(["set"])
-    each = every.select("set", F.explode("t").alias("token"))
+    kept = ["t"] if told is None else []
+    if right is None:
+        every = left.select("set", *kept, F.lit(3).alias("sides"))
+    else:
+        every = left.select("set", *kept, F.lit(1).alias("sides")).unionByName(right.select("set", *kept, F.lit(2).alias("sides")))
+        every = every.groupBy("set").agg(*[F.first(k).alias(k) for k in kept], F.bit_or("sides").alias("sides"))
+    # the two low bits of a number are the sides that have the set
+    every = cut(every.select((F.monotonically_increasing_id() * 4 + F.col("sides")).alias("id"), "set", *kept))
+    t = lambda n="": told(F.col(f"{n}set")) if told else F.col(f"{n}t")
+    each = every.select("id", F.explode(t()).alias("token"))
     rarity = each.groupBy("token").agg(F.count("*").alias("n"))
-    ranked = each.join(rarity, "token").groupBy("set").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias("r"))
+    # plain rows are dealt by set; what collect_list would send ahead of that is larger
+    ranked = each.join(rarity, "token").select("id", "n", "token").repartition("id").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("r"), _bits(1).alias("x"), _bits(2).alias("y"))
     size = F.size("r")
-    indexed = ranked.select("set", size.alias("size"), F.posexplode(F.slice("r", F.lit(1), size - up(num * size, den) + 1)).alias("at", "token"))
-    indexed = cut(indexed)
-    of = lambda df, n: indexed.join(df.select("set").distinct(), "set", "left_semi").toDF(f"{n}_set", f"{n}_size", f"{n}_at", "token")
-    met = cut(of(left, "left")).join(cut(of(right, "right")), "token")
-    l, r, wanted = F.col("left_size"), F.col("right_size"), up(num * (F.col("left_size") + F.col("right_size")), num + den)
-    fits = (num * l <= den * r) & (num * r <= den * l) & (1 + F.least(l - F.col("left_at"), r - F.col("right_at")) - 1 >= wanted)
-    pairs = met.where(fits).select("left_set", "right_set").distinct()
-    of = lambda df, n: df.select(F.col("set").alias(f"{n}_set"), F.col("t").alias(f"{n}_t")).dropDuplicates([f"{n}_set"])
-    both = pairs.join(of(left, "left"), "left_set").join(of(right, "right"), "right_set")
-    counted = both.select("left_set", "right_set", F.size(F.array_intersect("left_t", "right_t")).alias("shared"), (F.size("left_t") + F.size("right_t")).alias("sizes"))
-    return counted.select("left_set", "right_set", "shared", (F.col("sizes") - F.col("shared")).alias("either")).where(F.col("shared") * den >= F.col("either") * num)
+    indexed = ranked.select("id", size.alias("size"), "x", "y", F.posexplode(F.slice("r", F.lit(1), size - up(num * size, den) + 1)).alias("at", "e")).select("id", "size", "x", "y", "at", "e.token")
+    indexed = indexed if right is None else cut(indexed)
+    of = lambda df, n: df.toDF(*[f"{n}_{c}" for c in ("id", "size", "x", "y", "at")], "token")
+    of_side = lambda n, bit: of(indexed if right is None else indexed.where(F.col("id").bitwiseAND(bit) != 0), n)
+    c, l, r, both = F.col, F.col("left_size"), F.col("right_size"), F.col("left_size") + F.col("right_size")
+    fits = (num * l <= den * r) & (num * r <= den * l) & ((num + den) * F.least(l - c("left_at"), r - c("right_at")) >= num * both)
+    for word in ("x", "y"):
+        fits &= (num + den) * (both - F.bit_count(c(f"left_{word}").bitwiseXOR(c(f"right_{word}")))) >= 2 * num * both
+    met = of_side("left", 1).join(of_side("right", 2), "token").where(fits)
+    pairs = (met.where("left_id < right_id") if right is None else met).select("left_id", "right_id").distinct()
+    of = lambda n: every.toDF(*[f"{n}_{c}" for c in every.columns])
+    named = pairs.join(of("left"), "left_id").join(of("right"), "right_id")
+    counted = named.select("left_set", "right_set", F.size(F.array_intersect(t("left_"), t("right_"))).alias("shared"), (F.size(t("left_")) + F.size(t("right_"))).alias("sizes"))
+    made = counted.select("left_set", "right_set", "shared", (F.col("sizes") - F.col("shared")).alias("either")).where(F.col("shared") * den >= F.col("either") * num)
+    return made if right is not None else made.select(F.least("left_set", "right_set").alias("left_set"), F.greatest("left_set", "right_set").alias("right_set"), "shared", "either")
 
 
 def candidates(left: DataFrame, right: DataFrame, key: str, text: str, least: tuple[int, int] = LEAST) -> DataFrame:

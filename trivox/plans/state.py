@@ -54,8 +54,9 @@ SELECT left_set, right_set, CAST(shared AS INTEGER) AS shared, CAST(sizes - shar
 def similar_sets(t):
     """Pairs of different sets, of suppliers of an order, with a Jaccard index of 0.6 or more."""
     token = F.lpad(F.col("l_suppkey").cast("string"), 8, "0")
-    sets = t("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_set(token)).alias("t")).select("t").distinct().select(F.array_join("t", ",").alias("set"), "t")
-    return similar.similar_sets(sets, sets, (6, 10)).where("left_set < right_set")
+    # plain rows are dealt by order; a name holds its tokens
+    named = t("lineitem").select("l_orderkey", token.alias("token")).repartition("l_orderkey").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("token")), ",").alias("set"))
+    return similar.similar_sets(named.where("set <> ''").select("set").distinct(), least=(6, 10), told=lambda s: F.split(s, ","))
 
 
 _SHAPES = Adapter("events", {"comment": {"comment_id": From(("$.id", "$.meta.id")), "video_id": "$.video.k", "author_id": "$.user", "text": "$.kind", "first_ingested_at": From(("$.at",), "microseconds"), "commented_at": "$.said"}}, {"platform": "douyin"})
